@@ -35,7 +35,7 @@ def train_rows(fact: DataFrame) -> DataFrame:
 
 
 # --- product dimension --------------------------------------------------------------------------
-def _name_codes(dim: DataFrame, name: str, code: str) -> DataFrame:
+def name_codes(dim: DataFrame, name: str, code: str) -> DataFrame:
     """Alphabetical code of each distinct name.
 
     The window is unpartitioned but sees distinct names only, at most 32,767 by the SMALLINT
@@ -58,7 +58,7 @@ def product_codes(dim_product: DataFrame) -> DataFrame:
         if key in dim.columns:
             continue
         if name in dim.columns:
-            dim = dim.join(_name_codes(dim_product, name, key), name, "left").withColumn(
+            dim = dim.join(name_codes(dim_product, name, key), name, "left").withColumn(
                 key, F.coalesce(F.col(key), F.lit(-1))
             )
         elif level == "aisle" and "aisle_id" in dim.columns:

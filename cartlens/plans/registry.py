@@ -6,9 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cartlens.functions.columns import comparable
-from cartlens.operators import etl, features as fe
+from cartlens.functions.columns import comparable, narrow
+from cartlens.functions.ordering import seeded_sample
+from cartlens.operators import drift, etl, features as fe, integrity, metrics, recommend, split, validate
 from cartlens.plans.workspace import AS_OF, Workspace
+from cartlens.schemas import MATRIX, PRODUCT_CLUSTER_FEATURES, SOURCE_SCHEMAS, USER_CLUSTER_FEATURES
+from cartlens.sources import sinks, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -78,7 +81,306 @@ FEATURES = {
 }
 
 
+SAMPLE_USERS = 1000
+SCORING_COLUMNS = [c for c in MATRIX.names if c != "label"]
+DATE_RANGE = ("2017-04-01", "2017-09-30")
+
+
+def _star(ws: Workspace) -> dict[str, DataFrame]:
+    return {"dim_user": ws.dim_user, "dim_product": ws.dim_product, "fact_order_products": ws.fact}
+
+
+def _csv_scan(ws: Workspace) -> DataFrame:
+    path = f"{ws.path}/csv/orders.csv"
+    ws.sources().orders.write.mode("overwrite").option("header", True).csv(path)
+    return tables.read_csv(ws.spark, path, SOURCE_SCHEMAS["orders"])
+
+
+def _sample_propagate(ws: Workspace) -> DataFrame:
+    src = ws.sources()
+    frames = tables.sample_sources(src.orders, src.prior_items, src.train_items, SAMPLE_USERS)
+    parts = [
+        frame.agg(F.count("*").alias("rows"), F.sum("order_id").alias("id_sum")).withColumn("table", F.lit(name))
+        for name, frame in zip(("orders", "prior", "train"), frames, strict=True)
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+def _roundtrip(ws: Workspace) -> DataFrame:
+    sinks.save_tables({"fact_order_products": ws.fact}, f"{ws.path}/roundtrip")
+    return tables.read_parquet(ws.spark, f"{ws.path}/roundtrip/fact_order_products")
+
+
+def _insert_ignore(ws: Workspace) -> DataFrame:
+    keys = ["order_key", "product_key"]
+    target = _train(ws).select(*keys, "get_eval")
+    incoming = ws.fact.select(*keys, "get_eval").unionByName(target)
+    return target.unionByName(etl.insert_ignore(target, incoming, keys))
+
+
+def _backfill(ws: Workspace) -> DataFrame:
+    unnamed = F.col("user_birthdate") < F.lit("1960-01-01").cast("date")
+    loaded = ws.dim_user.withColumn("user_name", F.when(~unnamed, F.col("user_name")))
+    incoming = ws.sources().users.select(
+        F.col("user_id").alias("user_key"),
+        F.concat(F.lit("New "), "user_name").alias("user_name"),
+        F.concat(F.lit("Moved\n"), "user_address").alias("user_address"),
+    )
+    return etl.backfill_dim_user(loaded, incoming)
+
+
+def _etl_steps(ws: Workspace) -> dict[str, Callable[[], DataFrame]]:
+    src = ws.sources()
+    dim_user = etl.build_dim_user(src.users, src.orders, AS_OF)
+    dim_product = etl.build_dim_product(_denormalised(ws), etl.eligible_products(src.prior_items))
+    items = etl.union_items(src.prior_items, src.train_items)
+    history = etl.consolidate(items, src.orders)
+    return {
+        "dim_user": lambda: dim_user,
+        "dim_product": lambda: dim_product,
+        "fact_order_products": lambda: etl.build_fact(history, dim_user, dim_product),
+    }
+
+
+def _denormalised(ws: Workspace) -> DataFrame:
+    """Products through separate aisle and department tables, as the source schema keeps them."""
+    products = ws.sources().products
+    aisles = fe.name_codes(products, "aisle", "aisle_id")
+    departments = fe.name_codes(products, "department", "department_id")
+    normalised = (
+        products.join(aisles, "aisle").join(departments, "department").drop("aisle", "department")
+    )
+    return etl.denormalise_products(normalised, aisles, departments)
+
+
+def _load_report(ws: Workspace) -> DataFrame:
+    return sinks.load_with_report(ws.spark, _etl_steps(ws), f"{ws.path}/etl")
+
+
+def _etl_counts(ws: Workspace) -> DataFrame:
+    return _load_report(ws).select("table", "rows")
+
+
+def _orphans(ws: Workspace) -> DataFrame:
+    history = ws.sources().history.select(
+        F.col("user_id").alias("user_key"), F.col("product_id").alias("product_key")
+    )
+    return (
+        integrity.orphans(ws.fact, ws.dim_user, ws.dim_product)
+        .withColumn("source", F.lit("fact"))
+        .unionByName(
+            integrity.orphans(history, ws.dim_user, ws.dim_product).withColumn("source", F.lit("history"))
+        )
+    )
+
+
+def _expectations(ws: Workspace) -> DataFrame:
+    src = ws.sources()
+    users = etl.eligible_users(src.orders).select("user_id")
+    products = etl.eligible_products(src.prior_items).select("product_id")
+    evaluated = F.col("eval_set").isin("prior", "train")
+
+    def count(frame: DataFrame):
+        return frame.agg(F.count("*")).scalar()
+
+    facts = (
+        src.history.where(evaluated).join(users, "user_id", "left_semi").join(products, "product_id", "left_semi")
+    )
+    orders = src.orders.where(evaluated).join(users, "user_id", "left_semi")
+    expected = users.agg(F.count("*").alias("users")).select(
+        "users",
+        count(products).alias("products"),
+        count(facts).alias("facts"),
+        (F.col("users") * 0.95).alias("users_in_both"),
+        count(orders).alias("orders"),
+    )
+    return integrity.star_expectations(ws.fact, ws.dim_user, ws.dim_product, expected)
+
+
+SOURCES = {
+    "scan_csv_typed": lambda ws: _csv_scan(ws).withColumn(
+        "order_hour_of_day", F.col("order_hour_of_day").cast("int")
+    ),
+    "scan_parquet": lambda ws: tables.read_parquet(ws.spark, ws.written_path("matrix", lambda: ws.matrix)),
+    "load_projection_cast": lambda ws: tables.load_tables(_star(ws), ["fact_order_products"])[
+        "fact_order_products"
+    ],
+    "load_filter_users": lambda ws: tables.load_tables(
+        _star(ws), ["dim_user", "fact_order_products"], n_users=SAMPLE_USERS
+    )["fact_order_products"],
+    "sample_users": lambda ws: seeded_sample(ws.dim_user, "user_key", SAMPLE_USERS, 42),
+    "sample_propagate": _sample_propagate,
+    "date_range_order_proxy": lambda ws: tables.order_range(ws.fact, *DATE_RANGE),
+    "date_range_dim_user": lambda ws: tables.active_users(ws.dim_user, tables.order_range(ws.fact, *DATE_RANGE)),
+    "sink_parquet_roundtrip": _roundtrip,
+    "publish_snapshot": lambda ws: tables.read_parquet(
+        ws.spark, sinks.publish(narrow(ws.matrix, MATRIX), f"{ws.path}/published", "actual")
+    ),
+    "sink_insert_ignore": _insert_ignore,
+    "dim_user_backfill": _backfill,
+    "load_report": _load_report,
+    "table_counts": lambda ws: sinks.table_counts(
+        {
+            "users": ws.sources().users,
+            "products": ws.sources().products,
+            "orders": ws.sources().orders,
+            "order_products_prior": ws.sources().prior_items,
+            "order_products_train": ws.sources().train_items,
+        }
+    ),
+}
+
+ETL = {
+    "etl_eligible_users": lambda ws: etl.eligible_users(ws.sources().orders),
+    "etl_dim_user": lambda ws: etl.build_dim_user(ws.sources().users, ws.sources().orders, AS_OF),
+    "etl_eligible_products": lambda ws: etl.eligible_products(ws.sources().prior_items),
+    "etl_dim_product": lambda ws: _etl_steps(ws)["dim_product"](),
+    "etl_union_items": lambda ws: etl.union_items(ws.sources().prior_items, ws.sources().train_items),
+    "etl_fact": lambda ws: _etl_steps(ws)["fact_order_products"](),
+    "prior_full": lambda ws: _prior_full(ws).drop("eval_set"),
+    "etl_full_counts": _etl_counts,
+}
+
+INTEGRITY = {
+    "v1_volume": lambda ws: integrity.volume(_star(ws)),
+    "v2_eval_distribution": lambda ws: integrity.eval_distribution(ws.fact),
+    "v3_eligible_users": lambda ws: integrity.eligible_users(ws.fact),
+    "v4_eligible_products": lambda ws: integrity.eligible_products(ws.fact),
+    "v5_eligible_rows": lambda ws: integrity.eligible_rows(ws.fact),
+    "v6_null_days": lambda ws: integrity.null_days(ws.fact),
+    "v7_orphans": _orphans,
+    "v8_summary": lambda ws: integrity.summary(ws.fact, ws.dim_user, ws.dim_product),
+    "users_prior_and_train": lambda ws: integrity.users_in_both(ws.fact).agg(
+        F.count("*").alias("users_in_both")
+    ),
+    "star_expectations": _expectations,
+    "duplicate_pairs": lambda ws: integrity.duplicate_pairs(ws.sources().history),
+    "order_stats": lambda ws: integrity.order_stats(ws.sources().orders),
+    "catalog_listing": lambda ws: integrity.catalog_listing(ws.dim_product),
+    "risk_temporal_leakage": lambda ws: integrity.temporal_leakage(ws.sources().orders),
+}
+
+
+def _splits(ws: Workspace) -> DataFrame:
+    """Matrix rows with their split; the user assignment is written once."""
+    users = ws.written("split", lambda: split.split_users(ws.matrix))
+    return split.with_split(ws.matrix, users)
+
+
+def _part(ws: Workspace, name: str) -> DataFrame:
+    """Rows of one split, scored by the rule score (share of the user's orders with the product)."""
+    return _splits(ws).where(F.col("split") == name).withColumn("score", F.col("up_reorder_rate"))
+
+
+def _snapshots(ws: Workspace) -> tuple[DataFrame, DataFrame]:
+    """Reference and current matrices: the train users against all held-out users."""
+    rows = _splits(ws)
+    return rows.where(F.col("split") == "train"), rows.where(F.col("split") != "train")
+
+
+def _by_feature(ws: Workspace) -> DataFrame:
+    return drift.drift_by_feature(*_snapshots(ws))
+
+
+def _scaled(ws: Workspace) -> DataFrame:
+    train = _part(ws, "train")
+    parts = []
+    for entity, features in (("user", USER_CLUSTER_FEATURES), ("product", PRODUCT_CLUSTER_FEATURES)):
+        key = f"{entity}_key"
+        profile = split.profiles(train, key, features)
+        scaled = split.scaled_profiles(profile, key, features, split.profile_stats(profile, features))
+        parts.append(
+            scaled.unpivot(key, list(features), "feature", "value").select(
+                F.lit(entity).alias("entity"), F.col(key).alias("entity_key"), "feature", "value"
+            )
+        )
+    return parts[0].unionByName(parts[1])
+
+
+def _rec_history(ws: Workspace) -> DataFrame:
+    """Prior history of all users, not only those loaded into the star schema."""
+    return ws.sources().history.where(F.col("eval_set") == "prior").withColumnsRenamed(
+        {"order_id": "order_key", "user_id": "user_key", "product_id": "product_key"}
+    )
+
+
+def _known_users(ws: Workspace) -> DataFrame:
+    return ws.sources().users.select(F.col("user_id").alias("user_key"))
+
+
+def _requests(ws: Workspace) -> DataFrame:
+    """Every known user and one id nobody has."""
+    users = _known_users(ws)
+    return users.unionByName(users.agg((F.max("user_key") + 1).alias("user_key")))
+
+
+def _routed(ws: Workspace) -> DataFrame:
+    return recommend.routes(_requests(ws), _rec_history(ws), _known_users(ws))
+
+
+def _scoring(ws: Workspace) -> DataFrame:
+    return recommend.scoring_matrix(_routed(ws), _rec_history(ws), ws.dim_product)
+
+
+def _rec_batch(ws: Workspace) -> DataFrame:
+    scoring = ws.written("scoring", lambda: _scoring(ws))
+    flat = recommend.batch(
+        _routed(ws), _rec_history(ws), ws.dim_product, scoring, score="up_reorder_rate"
+    )
+    return flat.na.fill({"rank": 0, "product_key": -1, "probability": 0.0, "product_name": "", "error": ""})
+
+
+VALIDATION = {
+    "validate_nulls": lambda ws: validate.null_counts(ws.matrix),
+    "validate_matrix": lambda ws: validate.validate(ws.matrix),
+    "validate_extended": lambda ws: validate.validate_extended(ws.matrix),
+}
+
+DRIFT = {
+    "drift_psi": lambda ws: drift.psi(*_snapshots(ws)),
+    "drift_ks": lambda ws: drift.ks(*_snapshots(ws)),
+    "drift_by_feature": _by_feature,
+    "drift_report": lambda ws: drift.drift_report(_by_feature(ws)),
+    "drift_class": lambda ws: _by_feature(ws).select("feature", drift.stability(F.col("psi")).alias("stability")),
+}
+
+MODELLING = {
+    "split_users": lambda ws: split.split_users(ws.matrix),
+    "split_sizes": lambda ws: split.split_sizes(ws.matrix, split.split_users(ws.matrix)),
+    "profile_user": lambda ws: split.profiles(_part(ws, "train"), "user_key", USER_CLUSTER_FEATURES),
+    "profile_product": lambda ws: split.profiles(_part(ws, "train"), "product_key", PRODUCT_CLUSTER_FEATURES),
+    "profile_scaled": _scaled,
+    "class_weight": lambda ws: split.class_weight(ws.matrix),
+    "eval_confusion": lambda ws: metrics.confusion(_part(ws, "test"), F.col("score") >= 0.5),
+    "eval_auc": lambda ws: metrics.auc(_part(ws, "test")),
+    "baseline_popularity": lambda ws: metrics.popularity_baseline(_part(ws, "train")),
+    "baseline_metrics": lambda ws: metrics.baseline_metrics(
+        _part(ws, "test"), metrics.popularity_baseline(_part(ws, "train"))
+    ),
+    "topk_per_user": lambda ws: metrics.top_k_per_user(_part(ws, "test")).select(
+        "user_key", "product_key", "rank", "score"
+    ),
+    "uplift_topk": lambda ws: metrics.uplift(
+        _part(ws, "test"), metrics.popularity_baseline(_part(ws, "train"))
+    ),
+    "ndcg_at_10": lambda ws: metrics.ndcg(_part(ws, "test")),
+}
+
+RECOMMENDATION = {
+    "rec_order_counts": lambda ws: recommend.order_counts(_requests(ws), _rec_history(ws)),
+    "rec_routing": _routed,
+    "rec_cold_personal": lambda ws: recommend.with_names(
+        recommend.personal_top(_routed(ws), _rec_history(ws)), ws.dim_product
+    ),
+    "rec_global_top": lambda ws: recommend.with_names(recommend.global_top(_rec_history(ws)), ws.dim_product),
+    "rec_product_features": lambda ws: recommend.catalogue_features(_rec_history(ws), ws.dim_product),
+    "rec_scoring_matrix": lambda ws: _scoring(ws).drop("label").select(*SCORING_COLUMNS),
+    "rec_rule_topk": lambda ws: recommend.scored_top(_scoring(ws), score="up_reorder_rate"),
+    "rec_batch": _rec_batch,
+}
+
+
 def registered() -> dict[str, Query]:
     """Every registered query by name."""
-    groups = [FEATURES]
+    groups = [SOURCES, ETL, INTEGRITY, FEATURES, VALIDATION, DRIFT, MODELLING, RECOMMENDATION]
     return {name: _over_workspace(op) for group in groups for name, op in group.items()}

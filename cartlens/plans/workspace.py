@@ -67,6 +67,11 @@ class Workspace:
             self._tables[name] = self.spark.read.parquet(path)
         return self._tables[name]
 
+    def written_path(self, name: str, table: Callable[[], DataFrame]) -> str:
+        """Folder of a written table, after making sure it is there."""
+        table()
+        return f"{self.path}/{name}"
+
     # --- operational tables ---
     def sources(self, folded: bool = True) -> BasketSources:
         """Operational tables with orders and history read from their written copies."""

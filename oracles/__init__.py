@@ -3,9 +3,9 @@
 
 def all_oracles() -> dict[str, str]:
     """SQL by query name."""
-    from oracles import features
+    from oracles import features, modelling, star
 
     merged: dict[str, str] = {}
-    for module in (features,):
+    for module in (star, features, modelling):
         merged.update(module.ORACLES)
     return merged
