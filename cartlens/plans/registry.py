@@ -8,9 +8,26 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cartlens.functions.columns import comparable, narrow
 from cartlens.functions.ordering import seeded_sample
-from cartlens.operators import drift, etl, features as fe, integrity, metrics, recommend, split, validate
+from cartlens.operators import (
+    drift,
+    eda,
+    etl,
+    features as fe,
+    integrity,
+    metrics,
+    quality,
+    recommend,
+    split,
+    validate,
+)
 from cartlens.plans.workspace import AS_OF, Workspace
-from cartlens.schemas import MATRIX, PRODUCT_CLUSTER_FEATURES, SOURCE_SCHEMAS, USER_CLUSTER_FEATURES
+from cartlens.schemas import (
+    FEATURE_COLUMNS,
+    MATRIX,
+    PRODUCT_CLUSTER_FEATURES,
+    SOURCE_SCHEMAS,
+    USER_CLUSTER_FEATURES,
+)
 from cartlens.sources import sinks, tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -380,7 +397,163 @@ RECOMMENDATION = {
 }
 
 
+def _orders(ws: Workspace) -> DataFrame:
+    return ws.sources().orders
+
+
+def _profiles(ws: Workspace) -> DataFrame:
+    src = ws.sources()
+    frames = {
+        "orders": src.orders,
+        "order_products_prior": src.prior_items,
+        "order_products_train": src.train_items,
+        "products": src.products,
+    }
+    result = None
+    for name, frame in frames.items():
+        one = eda.profile_columns(frame, name).drop("sample", "dtype")
+        result = one if result is None else result.unionByName(one)
+    return result
+
+
+def _labelled(ws: Workspace) -> DataFrame:
+    return eda.labelled_pairs(_prior(ws), _train(ws))
+
+
+def _star_user_orders(ws: Workspace) -> DataFrame:
+    orders = _prior(ws).select("user_key", "order_key").distinct()
+    return orders.groupBy("user_key").agg(F.count("*").alias("n_orders"))
+
+
+def _user_products(ws: Workspace) -> DataFrame:
+    return eda.pairs(_prior_full(ws)).groupBy("user_id").agg(F.count("*").alias("products"))
+
+
+def _baskets(ws: Workspace) -> DataFrame:
+    """Basket sizes per order and their mean per user, described together."""
+    carts = eda.cart_sizes(_prior_full(ws))
+    means = carts.groupBy("user_id").agg(F.avg("cart_size").alias("mean_cart_per_user"))
+    return eda.describe(carts, ["cart_size"], (50, 95)).unionByName(
+        eda.describe(means, ["mean_cart_per_user"], (50, 95))
+    )
+
+
+PROXY_FEATURES = [
+    "user_total_orders",
+    "user_avg_basket_size",
+    "user_days_since_last",
+    "product_total_purchases",
+    "product_reorder_rate",
+    "up_times_purchased",
+    "up_reorder_rate",
+    "up_orders_since_last_purchase",
+    "up_first_order_number",
+    "up_last_order_number",
+    "up_purchase_frequency",
+    "up_avg_add_to_cart_order",
+]
+PAIR_HISTOGRAMS = [
+    "up_times_purchased",
+    "up_avg_add_to_cart_order",
+    "up_days_since_last",
+    "up_avg_days_between_orders",
+    "up_delta_days",
+    "up_last_order_number",
+]
+
+
+def _proxy_correlations(ws: Workspace) -> DataFrame:
+    proxy = ws.written("proxy", lambda: fe.proxy_matrix(_prior_full(ws), _orders(ws)))
+    return eda.correlations(proxy, PROXY_FEATURES)
+
+
+EDA = {
+    "profile_columns": _profiles,
+    "eda_structure": lambda ws: eda.structure(
+        _orders(ws), ws.sources().prior_items, ws.sources().train_items, ws.sources().products
+    ),
+    "orders_per_user_stats": lambda ws: eda.describe(eda.orders_per_user(_orders(ws)), ["total_orders"]),
+    "basket_stats": _baskets,
+    "hist_basket_clipped": lambda ws: eda.histogram(eda.cart_sizes(_prior_full(ws)), "cart_size", 49, 50),
+    "hist_orders_per_user": lambda ws: eda.histogram(eda.orders_per_user(_orders(ws)), "total_orders", 50),
+    "hist_days_between": lambda ws: eda.histogram(_orders(ws), "days_since_prior_order", 30),
+    "hist_prior_orders_clipped": lambda ws: eda.histogram(
+        eda.prior_orders_per_user(_orders(ws)), "prior_orders", 29, 30
+    ),
+    "hist_product_purchases_clipped": lambda ws: eda.histogram(
+        eda.purchases(_prior_full(ws, False)), "purchases", 80, 200
+    ),
+    "hist_user_products_clipped": lambda ws: eda.histogram(_user_products(ws), "products", 50, 300),
+    "hist_pair_features": lambda ws: eda.clipped_histograms(ws.matrix, PAIR_HISTOGRAMS),
+    "orders_by_dow": lambda ws: eda.orders_by_day(_orders(ws)),
+    "orders_by_hour": lambda ws: eda.orders_by_hour(_orders(ws)),
+    "peak_slots": lambda ws: eda.peak_slots(_orders(ws)),
+    "dow_hour_pivot": lambda ws: eda.day_hour_pivot(_orders(ws)),
+    "days_between_distribution": lambda ws: eda.gap_distribution(_orders(ws)),
+    "days_last_stats": lambda ws: eda.describe(fe.last_days(_prior(ws)), ["user_days_since_last_order"], (50, 95)),
+    "reorder_global": lambda ws: eda.reorder_rate(_prior_full(ws)),
+    "reorder_class_balance": lambda ws: eda.class_balance(
+        ws.sources().history.where(F.col("eval_set") != "test")
+    ),
+    "reorder_by_cart_position": lambda ws: eda.reorder_by_position(_prior_full(ws)),
+    "reorder_by_department": lambda ws: eda.reorder_by_department(_prior_full(ws)),
+    "catalog_thresholds": lambda ws: eda.threshold_counts(
+        eda.purchases(_prior_full(ws)), "purchases", eda.CATALOG_THRESHOLDS, False, "products"
+    ),
+    "top_reordered_products": lambda ws: eda.top_reordered(_prior_full(ws)),
+    "product_rate_filter_effect": lambda ws: eda.rate_filter_effect(_prior_full(ws)),
+    "user_volume_vs_reorder": lambda ws: eda.user_volume(_prior_full(ws), _orders(ws)),
+    "corr_orders_reorder": lambda ws: eda.volume_correlation(_prior_full(ws), _orders(ws)),
+    "top_products": lambda ws: eda.top_products(_prior_full(ws)),
+    "lorenz_curve": lambda ws: eda.lorenz_curve(_prior_full(ws, False)),
+    "concentration_top_pct": lambda ws: eda.concentration(_prior_full(ws, False)),
+    "department_share_top8": lambda ws: eda.department_share(_prior_full(ws)),
+    "top_aisles": lambda ws: eda.top_aisles(_prior_full(ws)),
+    "catalog_by_department": lambda ws: eda.catalog_by_department(ws.sources(False).products),
+    "segment_summary": lambda ws: eda.segment_summary(_prior_full(ws), _orders(ws)),
+    "cohort_basket": lambda ws: eda.cohort_basket(_prior_full(ws)),
+    "sample_fraction": lambda ws: eda.volume_sample(_prior_full(ws), _orders(ws)),
+    "matrix_sparsity": lambda ws: eda.sparsity(_prior_full(ws, False)),
+    "cold_start_users": lambda ws: eda.threshold_counts(
+        eda.prior_orders_per_user(_orders(ws)), "prior_orders", eda.COLD_USER_THRESHOLDS, True, "users"
+    ),
+    "cold_start_products": lambda ws: eda.threshold_counts(
+        eda.purchases(_prior_full(ws, False)), "purchases", eda.COLD_PRODUCT_THRESHOLDS, True, "products"
+    ),
+    "catalog_coverage": lambda ws: eda.catalog_coverage(
+        ws.sources(False).products, ws.sources(False).prior_items, ws.sources(False).train_items
+    ),
+    "co_purchase_pairs": lambda ws: eda.co_purchases(_prior_full(ws, False), ws.sources(False).products),
+    "feature_correlations": _proxy_correlations,
+    "high_correlations": lambda ws: eda.high_correlations(_proxy_correlations(ws)),
+    "matrix_correlations": lambda ws: eda.correlations(ws.matrix, FEATURE_COLUMNS),
+    "label_correlations": lambda ws: eda.label_correlations(ws.matrix, FEATURE_COLUMNS),
+    "eval_set_distribution": lambda ws: eda.eval_set_distribution(_orders(ws)),
+    "user_coverage": lambda ws: eda.user_coverage(_orders(ws)),
+    "eda_summary": lambda ws: eda.executive_summary(_prior_full(ws), _orders(ws)),
+    "label_rate_by_segment": lambda ws: eda.label_rate_by_segment(_labelled(ws), _star_user_orders(ws)),
+    "times_purchased_by_label": lambda ws: eda.times_by_label(_labelled(ws)),
+    "popularity_stats": lambda ws: eda.popularity_stats(_prior_full(ws, False)),
+    "feature_describe": lambda ws: eda.describe(ws.matrix, FEATURE_COLUMNS, (25, 50, 75, 99)),
+    "cart_position_stats": lambda ws: eda.describe(_prior(ws), ["add_to_cart_order"], (50,)),
+}
+
+QUALITY = {
+    "risk_class_imbalance": lambda ws: quality.class_imbalance(ws.sources().prior_items),
+    "risk_cardinality": lambda ws: quality.cardinality(ws.sources(False).products, ws.sources(False).prior_items),
+    "risk_long_tail": lambda ws: quality.long_tail(ws.sources(False).prior_items),
+    "risk_pareto80": lambda ws: quality.pareto(ws.sources(False).prior_items),
+    "risk_user_sparsity": lambda ws: quality.user_sparsity(_orders(ws)),
+    "risk_mean_sparsity": lambda ws: quality.mean_sparsity(_prior_full(ws, False), ws.sources(False).products),
+    "risk_popularity_bias": lambda ws: quality.popularity_bias(ws.sources(False).prior_items),
+    "risk_popularity_bins": lambda ws: quality.popularity_bins(ws.sources(False).prior_items),
+    "risk_report": lambda ws: quality.risk_report(
+        _orders(ws), ws.sources(False).history, ws.sources(False).products
+    ),
+}
+
+
 def registered() -> dict[str, Query]:
     """Every registered query by name."""
-    groups = [SOURCES, ETL, INTEGRITY, FEATURES, VALIDATION, DRIFT, MODELLING, RECOMMENDATION]
+    groups = [SOURCES, ETL, INTEGRITY, FEATURES, VALIDATION, DRIFT, MODELLING, RECOMMENDATION, EDA, QUALITY]
     return {name: _over_workspace(op) for group in groups for name, op in group.items()}
