@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cartlens.functions.ordering import percentile_of, running_totals
+from cartlens.operators.features import Stage, unstaged
 from cartlens.schemas import MONITORED_FEATURES
 
 PSI_LIMIT, KS_LIMIT = 0.25, 0.3
@@ -32,36 +33,43 @@ def counted_values(reference: DataFrame, current: DataFrame, features: Sequence[
     )
 
 
-def _located(reference: DataFrame, current: DataFrame, features: Sequence[str] | None) -> DataFrame:
+def _located(
+    reference: DataFrame, current: DataFrame, features: Sequence[str] | None, stage: Stage
+) -> DataFrame:
     wanted = MONITORED_FEATURES if features is None else features
     usable = [f for f in wanted if f in reference.columns and f in current.columns]
     if not usable:
         raise ValueError(f"no monitored feature in the data: {list(wanted)}")
-    counts = counted_values(reference, current, usable)
+    counts = stage("drift_values", counted_values(reference, current, usable))
     located = running_totals(counts, "value", ["n_ref", "n_cur"], ["feature"])
     # a feature without values on one side is skipped
     return located.where((F.col("n_ref_total") > 0) & (F.col("n_cur_total") > 0))
 
 
-def _ks(located: DataFrame) -> DataFrame:
+def _summary(located: DataFrame) -> DataFrame:
+    """Per feature: the KS distance, the distinct reference deciles and both sizes."""
+
     def cdf(n: str) -> Column:
         return (F.col(f"{n}_before") + F.col(n)) / F.col(f"{n}_total")
 
-    return located.groupBy("feature").agg(F.max(F.abs(cdf("n_ref") - cdf("n_cur"))).alias("ks"))
-
-
-def _psi(located: DataFrame) -> DataFrame:
     edges = [
         percentile_of(p, F.col("n_ref_before"), F.col("n_ref"), F.col("n_ref_total"), F.col("value"))
         for p in DECILES
     ]
-    breaks = located.groupBy("feature").agg(
+    return located.groupBy("feature").agg(
+        F.max(F.abs(cdf("n_ref") - cdf("n_cur"))).alias("ks"),
         F.array_distinct(F.array(*edges)).alias("edges"),
         F.max("n_ref_total").alias("n_ref_total"),
         F.max("n_cur_total").alias("n_cur_total"),
     )
+
+
+def _scores(reference: DataFrame, current: DataFrame, features: Sequence[str] | None, stage: Stage) -> DataFrame:
+    """(feature, psi, ks), unrounded."""
+    located = _located(reference, current, features, stage)
+    summary = _summary(located)
     # one row with at most eleven edges per monitored feature
-    binned = located.join(F.broadcast(breaks.select("feature", "edges")), "feature")
+    binned = located.join(F.broadcast(summary.select("feature", "edges")), "feature")
     value, last = F.col("value"), F.element_at("edges", -1)
     bin_of = F.when(value == last, F.size("edges") - 1).when(
         value < last, F.size(F.filter("edges", lambda e: e <= value))
@@ -71,7 +79,7 @@ def _psi(located: DataFrame) -> DataFrame:
         .groupBy("feature", "bin")
         .agg(F.sum("n_ref").alias("n_ref"), F.sum("n_cur").alias("n_cur"))
     )
-    bins = breaks.withColumn(
+    bins = summary.withColumn(
         "bin", F.explode_outer(F.when(F.size("edges") > 1, F.sequence(F.lit(1), F.size("edges") - 1)))
     )
 
@@ -82,22 +90,29 @@ def _psi(located: DataFrame) -> DataFrame:
     return (
         bins.join(counts, ["feature", "bin"], "left")
         .groupBy("feature")
-        .agg(F.sum(F.when(F.size("edges") > 1, term).otherwise(F.lit(0.0))).alias("psi"))
+        .agg(
+            F.sum(F.when(F.size("edges") > 1, term).otherwise(F.lit(0.0))).alias("psi"),
+            F.max("ks").alias("ks"),
+        )
     )
 
 
-def psi(reference: DataFrame, current: DataFrame, features: Sequence[str] | None = None) -> DataFrame:
+def psi(
+    reference: DataFrame, current: DataFrame, features: Sequence[str] | None = None, stage: Stage = unstaged
+) -> DataFrame:
     """Population stability index per feature over the reference deciles.
 
     Values outside the reference range fall in no bin but stay in the denominator; a feature with
     a single distinct decile scores 0.
     """
-    return _psi(_located(reference, current, features))
+    return _scores(reference, current, features, stage).select("feature", "psi")
 
 
-def ks(reference: DataFrame, current: DataFrame, features: Sequence[str] | None = None) -> DataFrame:
+def ks(
+    reference: DataFrame, current: DataFrame, features: Sequence[str] | None = None, stage: Stage = unstaged
+) -> DataFrame:
     """Largest distance of the two empirical distribution functions per feature."""
-    return _ks(_located(reference, current, features))
+    return _summary(_located(reference, current, features, stage)).select("feature", "ks")
 
 
 def stability(value: Column) -> Column:
@@ -106,14 +121,11 @@ def stability(value: Column) -> Column:
 
 
 def drift_by_feature(
-    reference: DataFrame, current: DataFrame, features: Sequence[str] | None = None
+    reference: DataFrame, current: DataFrame, features: Sequence[str] | None = None, stage: Stage = unstaged
 ) -> DataFrame:
     """PSI and KS per feature, four decimals."""
-    located = _located(reference, current, features)
-    return (
-        _psi(located)
-        .join(_ks(located), "feature")
-        .select("feature", F.round("psi", 4).alias("psi"), F.round("ks", 4).alias("ks"))
+    return _scores(reference, current, features, stage).select(
+        "feature", F.round("psi", 4).alias("psi"), F.round("ks", 4).alias("ks")
     )
 
 

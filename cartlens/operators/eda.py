@@ -6,14 +6,19 @@ department names), ``orders`` the order table, ``products`` the catalogue.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from itertools import combinations
 
+from pyspark.ml.feature import VectorAssembler
+from pyspark.mllib.linalg.distributed import RowMatrix
+from pyspark.mllib.util import MLUtils
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cartlens.functions.columns import as_rows, ratio, segment_code, segment_name
 from cartlens.functions.ordering import (
     exact_percentiles,
+    percentile_of,
     running_totals,
     seeded_fraction,
     value_counts,
@@ -60,7 +65,8 @@ def histogram(df: DataFrame, column: str, bins: int, cap: float | Column | None
     value = F.col(column).cast("double")
     if cap is not None:
         value = F.least(value, cap if isinstance(cap, Column) else F.lit(float(cap)))
-    counted = value_counts(df.select(value.alias("value")), [], "value")
+    present = df.where(F.col(column).isNotNull())  # least() would turn a NULL into the cap
+    counted = value_counts(present.select(value.alias("value")), [], "value")
     bounds = counted.agg(F.struct(F.min("value").alias("lo"), F.max("value").alias("hi"))).scalar()
     placed = counted.withColumn("_b", bounds).select(
         "n",
@@ -495,19 +501,54 @@ def co_purchases(prior: DataFrame, products: DataFrame, limit: int = 15, items:
 
 
 # --- features -----------------------------------------------------------------------------------
-def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Pearson correlation of every column pair, (feature_a, feature_b, correlation).
+def _pair_correlations(df: DataFrame, named: Sequence[tuple[str, str]]) -> DataFrame:
+    """Pearson correlation of the given column pairs over rows where both values are present.
 
-    All pairs are aggregates of one pass; a row counts for a pair when both values are present.
+    Every pair needs sums of x, y, xx, yy, xy and a count over its own complete rows. All of them
+    are entries of one Gram matrix over (centred value or 0, its square, presence flag) of each
+    column, so one distributed pass serves all pairs and the driver only sees a matrix whose size
+    is the number of columns.
     """
+    columns = list(dict.fromkeys(c for pair in named for c in pair))
     data = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    named = list(combinations(columns, 2))
-    one = data.agg(*[F.corr(a, b).alias(f"c{i}") for i, (a, b) in enumerate(named)])
-    entries = [
-        F.struct(F.lit(a).alias("feature_a"), F.lit(b).alias("feature_b"), F.col(f"c{i}").alias("correlation"))
-        for i, (a, b) in enumerate(named)
-    ]
-    return one.select(F.inline(F.array(*entries)))
+    means = data.agg(*[F.avg(c).alias(c) for c in columns]).first()
+    centred = {c: F.coalesce(F.col(c) - F.lit(means[c] or 0.0), F.lit(0.0)) for c in columns}
+    present = {c: F.col(c).isNotNull().cast("double") for c in columns}
+    wide = data.select(
+        *[centred[c].alias(f"v{i}") for i, c in enumerate(columns)],
+        *[(centred[c] * centred[c]).alias(f"s{i}") for i, c in enumerate(columns)],
+        *[present[c].alias(f"p{i}") for i, c in enumerate(columns)],
+    )
+    vectors = VectorAssembler(inputCols=wide.columns, outputCol="v").transform(wide).select("v")
+    rows = RowMatrix(MLUtils.convertVectorColumnsFromML(vectors, "v"))
+    gram = rows.computeGramianMatrix().toArray()
+
+    width = len(columns)
+    place = {c: i for i, c in enumerate(columns)}
+
+    def correlation(a: str, b: str) -> float | None:
+        value_a, value_b = place[a], place[b]
+        square_a, square_b = value_a + width, value_b + width
+        flag_a, flag_b = value_a + 2 * width, value_b + 2 * width
+        n = gram[flag_a, flag_b]
+        if n < 2:
+            return None
+        sum_a, sum_b = gram[value_a, flag_b], gram[value_b, flag_a]
+        spread_a = gram[square_a, flag_b] - sum_a * sum_a / n
+        spread_b = gram[square_b, flag_a] - sum_b * sum_b / n
+        if spread_a <= 0 or spread_b <= 0:
+            return None
+        return float((gram[value_a, value_b] - sum_a * sum_b / n) / math.sqrt(spread_a * spread_b))
+
+    return df.sparkSession.createDataFrame(
+        [(a, b, correlation(a, b)) for a, b in named],
+        "feature_a string, feature_b string, correlation double",
+    )
+
+
+def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Pearson correlation of every column pair, (feature_a, feature_b, correlation)."""
+    return _pair_correlations(df, list(combinations(columns, 2)))
 
 
 def high_correlations(pairwise: DataFrame, limit: float = HIGH_CORRELATION) -> DataFrame:
@@ -516,10 +557,10 @@ def high_correlations(pairwise: DataFrame, limit: float = HIGH_CORRELATION) -> D
 
 
 def label_correlations(matrix: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Correlation of each feature with the label, in one pass."""
-    data = matrix.select(*[F.col(c).cast("double").alias(c) for c in (*columns, "label")])
-    one = data.agg(*[F.corr(c, "label").alias(c) for c in columns])
-    return one.unpivot([], list(columns), "feature", "correlation")
+    """Correlation of each feature with the label."""
+    return _pair_correlations(matrix, [(c, "label") for c in columns]).select(
+        F.col("feature_a").alias("feature"), "correlation"
+    )
 
 
 def label_rate_by_segment(matrix_pairs: DataFrame, user_orders: DataFrame, upper: int = 9999) -> DataFrame:
@@ -570,13 +611,27 @@ def popularity_stats(prior: DataFrame, min_purchases: int = MIN_PRODUCT_ORDERS)
 
 
 def clipped_histograms(df: DataFrame, columns: Sequence[str], bins: int = 40) -> DataFrame:
-    """Histogram of each column clipped at its own 99th percentile."""
-    result = None
-    for column in columns:
-        p99 = exact_percentiles(df.select(F.col(column).cast("double").alias(column)), column, [99])
-        one = histogram(df, column, bins, p99.agg(F.max("p99")).scalar()).withColumn("feature", F.lit(column))
-        result = one if result is None else result.unionByName(one)
-    return result
+    """Histogram of each column clipped at its own 99th percentile, all columns in one pass."""
+    located = running_totals(value_counts(_long(df, columns), ["feature"], "value"), "value", ["n"], ["feature"])
+    bounds = located.groupBy("feature").agg(
+        F.min("value").alias("lo"),
+        percentile_of(99, F.col("n_before"), F.col("n"), F.col("n_total"), F.col("value")).alias("hi"),
+    )
+    # one row per column
+    placed = located.join(F.broadcast(bounds), "feature")
+    value = F.least("value", "hi")
+    bin_of = F.floor(F.try_divide((value - F.col("lo")) * bins, F.col("hi") - F.col("lo")))
+    return (
+        placed.withColumn("bin", F.least(F.coalesce(bin_of, F.lit(0)), F.lit(bins - 1)))
+        .groupBy("feature", "bin", "lo", "hi")
+        .agg(F.sum("n").alias("n"))
+        .select(
+            "feature",
+            (F.col("bin") + 1).alias("bin"),
+            (F.col("lo") + (F.col("hi") - F.col("lo")) / bins * F.col("bin")).alias("lower"),
+            "n",
+        )
+    )
 
 
 def executive_summary(prior: DataFrame, orders: DataFrame) -> DataFrame:

@@ -3,10 +3,16 @@
 Everything derives from two grouped frames, one row per (user, order) and one per (user, product).
 Both are combined map-side before their shuffle, so a user or product holding a large part of the
 rows never lands in one task, and every distinct count becomes a plain count of grouped rows.
+
+The matrix reads each grouped frame several times with different columns, which an optimiser
+cannot share. ``stage`` is called with a name and such a frame and returns the frame to read on;
+a job passes a function that writes it to shared storage, so the fact is scanned once.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, Window, functions as F
 
 from cartlens.functions.columns import narrow, ratio, segment_code
@@ -21,6 +27,13 @@ from cartlens.schemas import (
 
 ORDER_CHUNK = 4096
 
+Stage = Callable[[str, DataFrame], DataFrame]
+
+
+def unstaged(name: str, frame: DataFrame) -> DataFrame:
+    """Keep a shared frame lazy."""
+    return frame
+
 
 class LeakageError(ValueError):
     """Raised when prior orders reach up to or past a user's evaluation order."""
@@ -104,16 +117,14 @@ def _last_known_days():
 
 
 def user_features(
-    prior: DataFrame,
+    baskets: DataFrame,
+    pairs: DataFrame,
     min_user_orders: int = MIN_USER_ORDERS,
-    pairs: DataFrame | None = None,
     segment_upper: int = SEGMENT_UPPER,
 ) -> DataFrame:
     """User-level features of users with at least ``min_user_orders`` prior orders."""
-    pairs = pair_base(prior) if pairs is None else pairs
     per_user = (
-        basket_size(prior)
-        .groupBy("user_key")
+        baskets.groupBy("user_key")
         .agg(
             F.count("*").alias("user_total_orders"),
             F.avg("basket_size").alias("user_avg_basket_size"),
@@ -129,9 +140,8 @@ def user_features(
 
 
 # --- product features ---------------------------------------------------------------------------
-def product_totals(prior: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
+def product_totals(pairs: DataFrame) -> DataFrame:
     """Per-product totals; unique users are the pair rows of the product."""
-    pairs = pair_base(prior) if pairs is None else pairs
     return pairs.groupBy("product_key").agg(
         F.sum("up_times_purchased").alias("product_total_purchases"),
         F.sum("reordered_items").alias("reordered_items"),
@@ -153,13 +163,10 @@ def level_rate(totals: DataFrame, coded: DataFrame, level: str) -> DataFrame:
 
 
 def product_features(
-    prior: DataFrame,
-    dim_product: DataFrame,
-    min_product_orders: int = MIN_PRODUCT_ORDERS,
-    pairs: DataFrame | None = None,
+    pairs: DataFrame, dim_product: DataFrame, min_product_orders: int = MIN_PRODUCT_ORDERS
 ) -> DataFrame:
     """Product-level features of products with at least ``min_product_orders`` purchases."""
-    totals = product_totals(prior, pairs)
+    totals = product_totals(pairs)
     coded = product_codes(dim_product)
     features = totals.where(F.col("product_total_purchases") >= min_product_orders).select(
         "product_key",
@@ -180,7 +187,7 @@ def product_features(
 
 
 # --- pair features ------------------------------------------------------------------------------
-def days_after_order(prior: DataFrame) -> DataFrame:
+def days_after_order(baskets: DataFrame) -> DataFrame:
     """Per (user, order number): days the user let pass in later orders.
 
     A running sum from the latest order backwards. Orders are summed in chunks of
@@ -188,7 +195,7 @@ def days_after_order(prior: DataFrame) -> DataFrame:
     users with a single chunk need no offset and drop out of the offset join.
     """
     orders = (
-        prior.groupBy("user_key", "order_number")
+        baskets.groupBy("user_key", "order_number")
         .agg(F.max("days_since_prior_order").alias("days"))
         .withColumn("_chunk", F.floor(F.col("order_number") / ORDER_CHUNK))
     )
@@ -212,9 +219,9 @@ def days_after_order(prior: DataFrame) -> DataFrame:
     )
 
 
-def add_days_since_last(pairs: DataFrame, prior: DataFrame) -> DataFrame:
+def add_days_since_last(pairs: DataFrame, baskets: DataFrame) -> DataFrame:
     """Add ``up_days_since_last``: an equi join at each pair's last order, no order blow-up."""
-    later = days_after_order(prior).withColumnsRenamed(
+    later = days_after_order(baskets).withColumnsRenamed(
         {"order_number": "up_last_order_number", "later_days": "up_days_since_last"}
     )
     return pairs.join(later, ["user_key", "up_last_order_number"])
@@ -228,10 +235,9 @@ def add_days_between(pairs: DataFrame) -> DataFrame:
     )
 
 
-def pair_features(prior: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
-    """All (user, product) interaction features."""
-    pairs = pair_base(prior) if pairs is None else pairs
-    timed = add_days_between(add_days_since_last(pairs, prior))
+def pair_features(baskets: DataFrame, pairs: DataFrame) -> DataFrame:
+    """All (user, product) interaction features, and the label where the pairs carry one."""
+    timed = add_days_between(add_days_since_last(pairs, baskets))
     return timed.select(
         "user_key",
         "product_key",
@@ -242,16 +248,16 @@ def pair_features(prior: DataFrame, pairs: DataFrame | None = None) -> DataFrame
         "up_days_since_last",
         "up_avg_days_between_orders",
         (F.col("up_days_since_last") - F.col("up_avg_days_between_orders")).alias("up_delta_days"),
+        *[c for c in ("label",) if c in pairs.columns],
     )
 
 
-def favorite(prior: DataFrame, dim_product: DataFrame, level: str, pairs: DataFrame | None = None) -> DataFrame:
+def favorite(pairs: DataFrame, dim_product: DataFrame, level: str) -> DataFrame:
     """Most bought department or aisle code per user; the smallest code wins a tie.
 
     A grouped maximum rather than a window: it is combined map-side for users with many rows.
     """
     key, target = f"{level}_key", f"u_favorite_{level}"
-    pairs = pair_base(prior) if pairs is None else pairs
     coded = product_codes(dim_product)
     if key not in coded.columns:
         return pairs.select("user_key").distinct().withColumn(target, F.lit(None).cast("int"))
@@ -319,6 +325,7 @@ def feature_matrix(
     min_user_orders: int = MIN_USER_ORDERS,
     min_product_orders: int = MIN_PRODUCT_ORDERS,
     contract_types: bool = True,
+    stage: Stage = unstaged,
 ) -> DataFrame:
     """The 26-column feature matrix, one row per (user, product) seen in prior.
 
@@ -327,16 +334,17 @@ def feature_matrix(
     :func:`check_leakage` first where a violation must stop the job.
     """
     prior, train = prior_rows(fact), train_rows(fact)
-    pairs = pair_base(prior)
+    baskets = stage("baskets", basket_size(prior))
+    # the label joins on the grouping keys, so the pairs are not shuffled again for it
+    labelled = pair_base(prior).join(label_pairs(train), ["user_key", "product_key"], "left")
+    pairs = stage("pairs", labelled.withColumn("label", F.coalesce("label", F.lit(0))))
     matrix = assemble(
-        pair_features(prior, pairs),
-        user_features(prior, min_user_orders, pairs),
-        product_features(prior, dim_product, min_product_orders, pairs),
-        [favorite(prior, dim_product, level, pairs) for level in ("department", "aisle")],
-    )
-    matrix = matrix.join(label_pairs(train), ["user_key", "product_key"], "left").withColumns(
+        pair_features(baskets, pairs),
+        user_features(baskets, pairs, min_user_orders),
+        product_features(pairs, dim_product, min_product_orders),
+        [favorite(pairs, dim_product, level) for level in ("department", "aisle")],
+    ).withColumns(
         {
-            "label": F.coalesce("label", F.lit(0)),
             "up_days_since_last": F.coalesce("up_days_since_last", F.lit(0.0)),
             "user_segment_code": F.coalesce("user_segment_code", F.lit(0)),
         }

@@ -61,33 +61,35 @@ FEATURES = {
     ),
     "fe_basket_size": lambda ws: fe.basket_size(_prior(ws)).select("user_key", "order_key", "basket_size"),
     "fe_last_days": lambda ws: fe.last_days(_prior(ws)),
-    "fe_user_segment": lambda ws: fe.user_features(_prior(ws))
+    "fe_user_segment": lambda ws: fe.user_features(fe.basket_size(_prior(ws)), fe.pair_base(_prior(ws)))
     .groupBy("user_segment_code")
     .agg(F.count("*").alias("users")),
-    "fe_user_features": lambda ws: fe.user_features(_prior(ws)),
+    "fe_user_features": lambda ws: fe.user_features(fe.basket_size(_prior(ws)), fe.pair_base(_prior(ws))),
     "fe_dept_rate": lambda ws: fe.level_rate(
-        fe.product_totals(_prior(ws)), fe.product_codes(ws.dim_product), "department"
+        fe.product_totals(fe.pair_base(_prior(ws))), fe.product_codes(ws.dim_product), "department"
     ),
     "fe_aisle_rate": lambda ws: fe.level_rate(
-        fe.product_totals(_prior(ws)), fe.product_codes(ws.dim_product), "aisle"
+        fe.product_totals(fe.pair_base(_prior(ws))), fe.product_codes(ws.dim_product), "aisle"
     ),
-    "fe_product_features": lambda ws: fe.product_features(_prior(ws), ws.dim_product),
+    "fe_product_features": lambda ws: fe.product_features(fe.pair_base(_prior(ws)), ws.dim_product),
     "fe_pair_base": lambda ws: fe.pair_base(_prior(ws)).drop(
         "cart_positions", "reordered_items", "days_in_purchases"
     ),
-    "fe_days_since_last": lambda ws: fe.add_days_since_last(fe.pair_base(_prior(ws)), _prior(ws)).select(
+    "fe_days_since_last": lambda ws: fe.add_days_since_last(fe.pair_base(_prior(ws)), fe.basket_size(_prior(ws))).select(
         "user_key", "product_key", "up_days_since_last"
     ),
     "fe_avg_days_between": lambda ws: fe.add_days_between(fe.pair_base(_prior(ws))).select(
         "user_key", "product_key", "up_avg_days_between_orders"
     ),
-    "fe_pair_features": lambda ws: fe.pair_features(_prior(ws)),
-    "fe_favorite_department": lambda ws: fe.favorite(_prior(ws), ws.dim_product, "department"),
-    "fe_favorite_aisle": lambda ws: fe.favorite(_prior(ws), ws.dim_product, "aisle"),
+    "fe_pair_features": lambda ws: fe.pair_features(fe.basket_size(_prior(ws)), fe.pair_base(_prior(ws))),
+    "fe_favorite_department": lambda ws: fe.favorite(fe.pair_base(_prior(ws)), ws.dim_product, "department"),
+    "fe_favorite_aisle": lambda ws: fe.favorite(fe.pair_base(_prior(ws)), ws.dim_product, "aisle"),
     "fe_label": lambda ws: fe.label_pairs(_train(ws)),
     "fe_leakage_violations": lambda ws: fe.leakage_violations(_prior(ws), _train(ws)),
     "fe_multi_train_users": lambda ws: fe.multi_train_users(_train(ws)),
-    "fe_feature_matrix": lambda ws: fe.feature_matrix(ws.fact, ws.dim_product, contract_types=False),
+    "fe_feature_matrix": lambda ws: fe.feature_matrix(
+        ws.fact, ws.dim_product, contract_types=False, stage=ws.stage
+    ),
     "fe_label_balance": lambda ws: fe.label_balance(ws.matrix),
     "fe_null_report": lambda ws: fe.null_report(ws.matrix),
     "fe_matrix_summary": lambda ws: fe.matrix_summary(ws.matrix),
@@ -296,7 +298,7 @@ def _snapshots(ws: Workspace) -> tuple[DataFrame, DataFrame]:
 
 
 def _by_feature(ws: Workspace) -> DataFrame:
-    return drift.drift_by_feature(*_snapshots(ws))
+    return drift.drift_by_feature(*_snapshots(ws), stage=ws.stage)
 
 
 def _scaled(ws: Workspace) -> DataFrame:
@@ -336,7 +338,7 @@ def _routed(ws: Workspace) -> DataFrame:
 
 
 def _scoring(ws: Workspace) -> DataFrame:
-    return recommend.scoring_matrix(_routed(ws), _rec_history(ws), ws.dim_product)
+    return recommend.scoring_matrix(_routed(ws), _rec_history(ws), ws.dim_product, stage=ws.stage)
 
 
 def _rec_batch(ws: Workspace) -> DataFrame:
@@ -354,8 +356,8 @@ VALIDATION = {
 }
 
 DRIFT = {
-    "drift_psi": lambda ws: drift.psi(*_snapshots(ws)),
-    "drift_ks": lambda ws: drift.ks(*_snapshots(ws)),
+    "drift_psi": lambda ws: drift.psi(*_snapshots(ws), stage=ws.stage),
+    "drift_ks": lambda ws: drift.ks(*_snapshots(ws), stage=ws.stage),
     "drift_by_feature": _by_feature,
     "drift_report": lambda ws: drift.drift_report(_by_feature(ws)),
     "drift_class": lambda ws: _by_feature(ws).select("feature", drift.stability(F.col("psi")).alias("stability")),
@@ -390,7 +392,9 @@ RECOMMENDATION = {
         recommend.personal_top(_routed(ws), _rec_history(ws)), ws.dim_product
     ),
     "rec_global_top": lambda ws: recommend.with_names(recommend.global_top(_rec_history(ws)), ws.dim_product),
-    "rec_product_features": lambda ws: recommend.catalogue_features(_rec_history(ws), ws.dim_product),
+    "rec_product_features": lambda ws: recommend.catalogue_features(
+        fe.pair_base(_rec_history(ws)), ws.dim_product
+    ),
     "rec_scoring_matrix": lambda ws: _scoring(ws).drop("label").select(*SCORING_COLUMNS),
     "rec_rule_topk": lambda ws: recommend.scored_top(_scoring(ws), score="up_reorder_rate"),
     "rec_batch": _rec_batch,

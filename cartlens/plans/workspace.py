@@ -67,6 +67,10 @@ class Workspace:
             self._tables[name] = self.spark.read.parquet(path)
         return self._tables[name]
 
+    def stage(self, name: str, frame: DataFrame) -> DataFrame:
+        """Write a frame that several branches read, and read it back."""
+        return self.written(name, lambda: frame)
+
     def written_path(self, name: str, table: Callable[[], DataFrame]) -> str:
         """Folder of a written table, after making sure it is there."""
         table()
@@ -115,6 +119,8 @@ class Workspace:
         """Feature matrix in wide types, as the reports compare it."""
 
         def build() -> DataFrame:
-            return features.feature_matrix(self.fact, self.dim_product, contract_types=False)
+            return features.feature_matrix(
+                self.fact, self.dim_product, contract_types=False, stage=self.stage
+            )
 
         return self.written("matrix", build)

@@ -22,8 +22,8 @@ def _histogram(source: str, column: str, bins: int, cap: str | None = None) -> s
     return (
         f"SELECT bin + 1 AS bin, round(lo + (hi - lo) / {bins} * bin, 6) AS lower, count(*) AS n FROM ("
         f"SELECT lo, hi, CAST(least(coalesce(floor((v - lo) * {bins} / nullif(hi - lo, 0)), 0), {bins - 1}) AS BIGINT) AS bin"
-        f" FROM (SELECT v, min(v) OVER () AS lo, max(v) OVER () AS hi FROM (SELECT {value} AS v FROM {source})"
-        f" WHERE v IS NOT NULL)) GROUP BY bin, lo, hi"
+        f" FROM (SELECT v, min(v) OVER () AS lo, max(v) OVER () AS hi FROM (SELECT {value} AS v FROM {source}"
+        f" WHERE {column} IS NOT NULL))) GROUP BY bin, lo, hi"
     )
 
 
