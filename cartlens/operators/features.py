@@ -154,7 +154,7 @@ def level_rate(totals: DataFrame, coded: DataFrame, level: str) -> DataFrame:
     """Mean reorder rate of a department or aisle over all its prior lines."""
     key = f"{level}_key"
     return (
-        totals.join(coded.select("product_key", key).distinct(), "product_key")
+        totals.join(coded.select("product_key", key), "product_key")
         .groupBy(key)
         .agg(
             ratio(F.sum("reordered_items"), F.sum("product_total_purchases")).alias(f"p_{level}_reorder_rate")
@@ -163,11 +163,12 @@ def level_rate(totals: DataFrame, coded: DataFrame, level: str) -> DataFrame:
 
 
 def product_features(
-    pairs: DataFrame, dim_product: DataFrame, min_product_orders: int = MIN_PRODUCT_ORDERS
+    totals: DataFrame, coded: DataFrame, min_product_orders: int = MIN_PRODUCT_ORDERS
 ) -> DataFrame:
-    """Product-level features of products with at least ``min_product_orders`` purchases."""
-    totals = product_totals(pairs)
-    coded = product_codes(dim_product)
+    """Product-level features of products with at least ``min_product_orders`` purchases.
+
+    ``totals`` covers all products: department and aisle rates count lines of dropped ones too.
+    """
     features = totals.where(F.col("product_total_purchases") >= min_product_orders).select(
         "product_key",
         "product_total_purchases",
@@ -178,8 +179,7 @@ def product_features(
     for level in ("department", "aisle"):
         key, rate = f"{level}_key", f"p_{level}_reorder_rate"
         if key in coded.columns:
-            keys = coded.select("product_key", key).distinct()
-            rates = keys.join(level_rate(totals, coded, level), key).select("product_key", rate)
+            rates = coded.select("product_key", key).join(level_rate(totals, coded, level), key).select("product_key", rate)
             features = features.join(rates, "product_key", "left")
         else:
             features = features.withColumn(rate, F.lit(None).cast("double"))
@@ -252,17 +252,16 @@ def pair_features(baskets: DataFrame, pairs: DataFrame) -> DataFrame:
     )
 
 
-def favorite(pairs: DataFrame, dim_product: DataFrame, level: str) -> DataFrame:
+def favorite(pairs: DataFrame, coded: DataFrame, level: str) -> DataFrame:
     """Most bought department or aisle code per user; the smallest code wins a tie.
 
     A grouped maximum rather than a window: it is combined map-side for users with many rows.
     """
     key, target = f"{level}_key", f"u_favorite_{level}"
-    coded = product_codes(dim_product)
     if key not in coded.columns:
         return pairs.select("user_key").distinct().withColumn(target, F.lit(None).cast("int"))
     counts = (
-        pairs.join(coded.select("product_key", key).distinct(), "product_key")
+        pairs.join(coded.select("product_key", key), "product_key")
         .groupBy("user_key", key)
         .agg(F.sum("up_times_purchased").alias("n"))
     )
@@ -338,11 +337,13 @@ def feature_matrix(
     # the label joins on the grouping keys, so the pairs are not shuffled again for it
     labelled = pair_base(prior).join(label_pairs(train), ["user_key", "product_key"], "left")
     pairs = stage("pairs", labelled.withColumn("label", F.coalesce("label", F.lit(0))))
+    totals = stage("product_totals", product_totals(pairs))
+    coded = stage("product_codes", product_codes(dim_product))
     matrix = assemble(
         pair_features(baskets, pairs),
         user_features(baskets, pairs, min_user_orders),
-        product_features(pairs, dim_product, min_product_orders),
-        [favorite(pairs, dim_product, level) for level in ("department", "aisle")],
+        product_features(totals, coded, min_product_orders),
+        [favorite(pairs, coded, level) for level in ("department", "aisle")],
     ).withColumns(
         {
             "up_days_since_last": F.coalesce("up_days_since_last", F.lit(0.0)),

@@ -71,7 +71,9 @@ FEATURES = {
     "fe_aisle_rate": lambda ws: fe.level_rate(
         fe.product_totals(fe.pair_base(_prior(ws))), fe.product_codes(ws.dim_product), "aisle"
     ),
-    "fe_product_features": lambda ws: fe.product_features(fe.pair_base(_prior(ws)), ws.dim_product),
+    "fe_product_features": lambda ws: fe.product_features(
+        fe.product_totals(fe.pair_base(_prior(ws))), fe.product_codes(ws.dim_product)
+    ),
     "fe_pair_base": lambda ws: fe.pair_base(_prior(ws)).drop(
         "cart_positions", "reordered_items", "days_in_purchases"
     ),
@@ -82,8 +84,12 @@ FEATURES = {
         "user_key", "product_key", "up_avg_days_between_orders"
     ),
     "fe_pair_features": lambda ws: fe.pair_features(fe.basket_size(_prior(ws)), fe.pair_base(_prior(ws))),
-    "fe_favorite_department": lambda ws: fe.favorite(fe.pair_base(_prior(ws)), ws.dim_product, "department"),
-    "fe_favorite_aisle": lambda ws: fe.favorite(fe.pair_base(_prior(ws)), ws.dim_product, "aisle"),
+    "fe_favorite_department": lambda ws: fe.favorite(
+        fe.pair_base(_prior(ws)), fe.product_codes(ws.dim_product), "department"
+    ),
+    "fe_favorite_aisle": lambda ws: fe.favorite(
+        fe.pair_base(_prior(ws)), fe.product_codes(ws.dim_product), "aisle"
+    ),
     "fe_label": lambda ws: fe.label_pairs(_train(ws)),
     "fe_leakage_violations": lambda ws: fe.leakage_violations(_prior(ws), _train(ws)),
     "fe_multi_train_users": lambda ws: fe.multi_train_users(_train(ws)),
@@ -393,7 +399,7 @@ RECOMMENDATION = {
     ),
     "rec_global_top": lambda ws: recommend.with_names(recommend.global_top(_rec_history(ws)), ws.dim_product),
     "rec_product_features": lambda ws: recommend.catalogue_features(
-        fe.pair_base(_rec_history(ws)), ws.dim_product
+        fe.product_totals(fe.pair_base(_rec_history(ws))), ws.dim_product
     ),
     "rec_scoring_matrix": lambda ws: _scoring(ws).drop("label").select(*SCORING_COLUMNS),
     "rec_rule_topk": lambda ws: recommend.scored_top(_scoring(ws), score="up_reorder_rate"),
