@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from cartlens.functions.columns import comparable, narrow
 from cartlens.functions.ordering import seeded_sample
 from cartlens.operators import (
+    cluster,
     drift,
     eda,
     etl,
@@ -18,8 +19,10 @@ from cartlens.operators import (
     quality,
     recommend,
     split,
+    train,
     validate,
 )
+from cartlens.plans import jobs
 from cartlens.plans.workspace import AS_OF, Workspace
 from cartlens.schemas import (
     FEATURE_COLUMNS,
@@ -563,7 +566,101 @@ QUALITY = {
 }
 
 
+# Small boosting settings: these queries show the training path, not a tuned model.
+TRAINING = jobs.TrainingConfig(
+    params=train.TreeParams(max_iter=10, step_size=0.1, max_depth=5), restarts=3
+)
+SEARCH_TRIALS = 2
+_TRAINED: dict[str, jobs.Trained] = {}
+
+
+def _trained(ws: Workspace) -> jobs.Trained:
+    """One fitted model per workspace."""
+    if ws.path not in _TRAINED:
+        jobs.ensure_checkpoints(ws.spark, ws.path)
+        _TRAINED[ws.path] = jobs.fit_model(ws.matrix, TRAINING, ws.stage)
+    return _TRAINED[ws.path]
+
+
+def _preprocessed(ws: Workspace) -> DataFrame:
+    rows = train.preprocess(ws.matrix, train.medians(_part(ws, "train")))
+    return rows.select(
+        "user_key",
+        "product_key",
+        "up_avg_days_between_orders",
+        "up_delta_days",
+        "up_avg_days_between_orders_missing",
+    )
+
+
+def _tuned(ws: Workspace) -> DataFrame:
+    trained = _trained(ws)
+    vectors, largest = train.vectorise(ws.written("model_frame", lambda: trained.prepared))
+    _, trials = train.search(vectors, trained.weight, largest, SEARCH_TRIALS, TRAINING.params)
+    return trials
+
+
+def _comparison(ws: Workspace) -> DataFrame:
+    columns = ["model", "precision", "recall", "f1"]
+    popular = metrics.popularity_baseline(_part(ws, "train"))
+    candidates = {
+        "popularity": metrics.baseline_metrics(_part(ws, "test"), popular),
+        "reorder rate rule": metrics.confusion(_part(ws, "test"), F.col("score") >= 0.5),
+        "gradient boosted trees": _trained(ws).test_metrics,
+    }
+    rows = None
+    for name, metric in candidates.items():
+        one = metric.withColumn("model", F.lit(name)).select(*columns)
+        rows = one if rows is None else rows.unionByName(one)
+    return metrics.compare_models(ws.stage("model_comparison", rows))
+
+
+def _model_batch(ws: Workspace) -> DataFrame:
+    scoring = ws.written("scoring", lambda: _scoring(ws))
+    return recommend.scored_top(jobs.score_requests(scoring, _trained(ws)))
+
+
+def _flat_record(ws: Workspace) -> DataFrame:
+    return ws.stage("model_record", _trained(ws).record).select(
+        "model_name", "n_features", "scale_pos_weight", "metrics_test.*", F.size("importance_top10").alias("top")
+    )
+
+
+def _kpis(ws: Workspace) -> DataFrame:
+    record = ws.stage("model_record", _trained(ws).record)
+    return train.kpis(record).select(
+        "precision_pct", "total_users", "active_features", F.explode("importance_shares").alias("s")
+    ).select("precision_pct", "total_users", "active_features", "s.feature", "s.share_of_max")
+
+
+def _training_job(ws: Workspace) -> DataFrame:
+    run = ws.stage_under("training_job")
+    return jobs.training_job(ws.fact, ws.dim_product, f"{ws.path}/training", TRAINING, run)
+
+
+MODELS = {
+    "fe_preprocess": _preprocessed,
+    "kmeans_user_clusters": lambda ws: cluster.clustered(_trained(ws).clusters[0]),
+    "kmeans_product_clusters": lambda ws: cluster.clustered(_trained(ws).clusters[1]),
+    "cluster_assign": lambda ws: _trained(ws).prepared.select(
+        "user_key", "product_key", "split", "user_cluster", "product_cluster"
+    ),
+    "train_gbt_metrics": lambda ws: _trained(ws).test_metrics,
+    "best_threshold": lambda ws: train.best_threshold(_trained(ws).scored("val")),
+    "tune_gbt": _tuned,
+    "feature_importance": lambda ws: _trained(ws).importance,
+    "compare_models": _comparison,
+    "model_log": _flat_record,
+    "model_kpis": _kpis,
+    "rec_model_topk": _model_batch,
+    "snapshot_job": lambda ws: jobs.snapshot_job(
+        ws.fact, ws.dim_product, f"{ws.path}/snapshots", stage=ws.stage_under("snapshot_job")
+    ),
+    "training_job": _training_job,
+}
+
+
 def registered() -> dict[str, Query]:
     """Every registered query by name."""
-    groups = [SOURCES, ETL, INTEGRITY, FEATURES, VALIDATION, DRIFT, MODELLING, RECOMMENDATION, EDA, QUALITY]
+    groups = [SOURCES, ETL, INTEGRITY, FEATURES, VALIDATION, DRIFT, MODELLING, RECOMMENDATION, EDA, QUALITY, MODELS]
     return {name: _over_workspace(op) for group in groups for name, op in group.items()}

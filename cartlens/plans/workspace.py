@@ -71,6 +71,10 @@ class Workspace:
         """Write a frame that several branches read, and read it back."""
         return self.written(name, lambda: frame)
 
+    def stage_under(self, run: str) -> Callable[[str, DataFrame], DataFrame]:
+        """Stage function whose tables belong to one job and are not shared with reports."""
+        return lambda name, frame: self.stage(f"{run}/{name}", frame)
+
     def written_path(self, name: str, table: Callable[[], DataFrame]) -> str:
         """Folder of a written table, after making sure it is there."""
         table()

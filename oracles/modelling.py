@@ -374,4 +374,12 @@ ORACLES = {
         UNION ALL SELECT user_key, 0, -1, 0.0, '', false, 'no product with enough purchases' FROM routed
           WHERE route = 'model' AND user_key NOT IN (SELECT user_key FROM scoring)"""
     ),
+    "fe_preprocess": with_features(
+        SPLIT
+        + """, med AS (SELECT median(up_avg_days_between_orders) AS m FROM train_m)
+        SELECT user_key, product_key, round(coalesce(up_avg_days_between_orders, m), 6) AS up_avg_days_between_orders,
+               round(up_days_since_last - coalesce(up_avg_days_between_orders, m), 6) AS up_delta_days,
+               CASE WHEN up_avg_days_between_orders IS NULL THEN 1 ELSE 0 END::BIGINT AS up_avg_days_between_orders_missing
+        FROM matrix, med"""
+    ),
 }
