@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from cartlens.functions.ordering import percentile_of, running_totals
-from cartlens.operators.features import Stage, unstaged
+from cartlens.functions.staging import Stage, unstaged
 from cartlens.schemas import MONITORED_FEATURES
 
 PSI_LIMIT, KS_LIMIT = 0.25, 0.3

@@ -11,11 +11,10 @@ a job passes a function that writes it to shared storage, so the fact is scanned
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, Window, functions as F
 
 from cartlens.functions.columns import narrow, ratio, segment_code
+from cartlens.functions.staging import Stage, unstaged
 from cartlens.schemas import (
     MATRIX,
     MATRIX_COLUMNS,
@@ -27,13 +26,6 @@ from cartlens.schemas import (
 
 ORDER_CHUNK = 4096
 
-Stage = Callable[[str, DataFrame], DataFrame]
-
-
-def unstaged(name: str, frame: DataFrame) -> DataFrame:
-    """Keep a shared frame lazy."""
-    return frame
-
 
 class LeakageError(ValueError):
     """Raised when prior orders reach up to or past a user's evaluation order."""
@@ -298,15 +290,11 @@ def check_leakage(prior: DataFrame, train: DataFrame) -> None:
 
 
 # --- matrix -------------------------------------------------------------------------------------
-def assemble(
-    pairs: DataFrame, users: DataFrame, products: DataFrame, favourites: list[DataFrame]
-) -> DataFrame:
-    """Join pair, user, product and favourite features and add the derived ratios.
+def assemble(pairs: DataFrame, users: DataFrame, products: DataFrame) -> DataFrame:
+    """Join pair, user and product features and add the derived ratios.
 
     The inner joins also keep only pairs whose user and product passed their filters.
     """
-    for favourite in favourites:
-        users = users.join(favourite, "user_key", "left")
     joined = pairs.join(products, "product_key").join(users, "user_key")
     return joined.withColumns(
         {
@@ -318,6 +306,13 @@ def assemble(
     )
 
 
+def with_favorites(users: DataFrame, pairs: DataFrame, coded: DataFrame) -> DataFrame:
+    """User features with the favourite department and aisle."""
+    for level in ("department", "aisle"):
+        users = users.join(favorite(pairs, coded, level), "user_key", "left")
+    return users
+
+
 def feature_matrix(
     fact: DataFrame,
     dim_product: DataFrame,
@@ -339,12 +334,10 @@ def feature_matrix(
     pairs = stage("pairs", labelled.withColumn("label", F.coalesce("label", F.lit(0))))
     totals = stage("product_totals", product_totals(pairs))
     coded = stage("product_codes", product_codes(dim_product))
-    matrix = assemble(
-        pair_features(baskets, pairs),
-        user_features(baskets, pairs, min_user_orders),
-        product_features(totals, coded, min_product_orders),
-        [favorite(pairs, coded, level) for level in ("department", "aisle")],
-    ).withColumns(
+    # written sides have known sizes, so the final joins build on the small side
+    users = stage("user_features", with_favorites(user_features(baskets, pairs, min_user_orders), pairs, coded))
+    products = stage("product_features", product_features(totals, coded, min_product_orders))
+    matrix = assemble(pair_features(baskets, pairs), users, products).withColumns(
         {
             "up_days_since_last": F.coalesce("up_days_since_last", F.lit(0.0)),
             "user_segment_code": F.coalesce("user_segment_code", F.lit(0)),

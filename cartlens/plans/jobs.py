@@ -10,7 +10,7 @@ from pyspark.ml.classification import GBTClassificationModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cartlens.operators import cluster, drift, features, metrics, recommend, split, train, validate
-from cartlens.operators.features import Stage, unstaged
+from cartlens.functions.staging import Stage, unstaged
 from cartlens.schemas import MATRIX, PRODUCT_CLUSTER_FEATURES, USER_CLUSTER_FEATURES
 from cartlens.functions.columns import narrow
 from cartlens.sources import sinks, tables

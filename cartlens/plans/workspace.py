@@ -84,11 +84,11 @@ class Workspace:
     def sources(self, folded: bool = True) -> BasketSources:
         """Operational tables with orders and history read from their written copies."""
         if folded not in self._sources:
-            raw = basket_sources(self.spark, self.sf_dir, folded)
+            raw = basket_sources(self.spark, self.sf_dir, folded, self.stage)
             suffix = "" if folded else "_full"
             self._sources[folded] = BasketSources(
                 users=raw.users,
-                orders=self.written("orders", lambda: raw.orders),
+                orders=raw.orders,
                 history=self.written(f"history{suffix}", lambda: raw.history, "eval_set"),
                 products=raw.products,
             )

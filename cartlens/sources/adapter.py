@@ -16,6 +16,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from cartlens.functions.staging import Stage, unstaged
+
 CATALOGUE = 100
 
 
@@ -89,8 +91,13 @@ def number_orders(orders: DataFrame) -> DataFrame:
     )
 
 
-def basket_sources(spark: SparkSession, sf_dir: str, folded: bool = True) -> BasketSources:
-    """Derive the operational basket tables from the provided parquet files (lazily)."""
+def basket_sources(
+    spark: SparkSession, sf_dir: str, folded: bool = True, stage: Stage = unstaged
+) -> BasketSources:
+    """Derive the operational basket tables from the provided parquet files.
+
+    ``stage`` may write the numbered orders and the placed lines, which are read twice.
+    """
 
     def read(name: str) -> DataFrame:
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -98,7 +105,8 @@ def basket_sources(spark: SparkSession, sf_dir: str, folded: bool = True) -> Bas
     def product_of(part_key: str):
         return F.col(part_key) % CATALOGUE if folded else F.col(part_key)
 
-    orders = number_orders(read("orders"))
+    suffix = "" if folded else "_full"
+    orders = stage("orders", number_orders(read("orders")))
 
     # one exchange by order serves the de-duplication, the join and the cart positions
     lines = (
@@ -109,7 +117,8 @@ def basket_sources(spark: SparkSession, sf_dir: str, folded: bool = True) -> Bas
         .agg(F.min("l_linenumber").alias("_line"))
     )
     in_cart = Window.partitionBy("order_id").orderBy("_line", "product_id")
-    placed = lines.withColumn("add_to_cart_order", F.row_number().over(in_cart)).drop("_line").join(orders, "order_id")
+    placed = lines.withColumn("add_to_cart_order", F.row_number().over(in_cart)).drop("_line")
+    placed = stage(f"placed{suffix}", placed.join(orders, "order_id"))
 
     # grouped minimum instead of a window: a hot (user, product) is combined before the shuffle
     first_bought = placed.groupBy("user_id", "product_id").agg(F.min("order_number").alias("_first"))
