@@ -41,10 +41,16 @@ def _long(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def describe(df: DataFrame, columns: Sequence[str], percents: Sequence[int] = (25, 50, 75)) -> DataFrame:
+def describe(
+    df: DataFrame,
+    columns: Sequence[str],
+    percents: Sequence[int] = (25, 50, 75),
+    small_domain: bool = False,
+) -> DataFrame:
     """Count, mean, sample deviation, range and exact percentiles of each column.
 
-    Values are counted first, so the percentile ranking handles distinct values only.
+    Values are counted first, so the percentile ranking handles distinct values only;
+    ``small_domain`` as in :func:`exact_percentiles`.
     """
     long = _long(df, columns)
     moments = long.groupBy("feature").agg(
@@ -54,7 +60,7 @@ def describe(df: DataFrame, columns: Sequence[str], percents: Sequence[int] = (2
         F.min("value").alias("min"),
         F.max("value").alias("max"),
     )
-    return moments.join(exact_percentiles(long, "value", percents, ["feature"]), "feature", "left")
+    return moments.join(exact_percentiles(long, "value", percents, ["feature"], small_domain), "feature", "left")
 
 
 def histogram(df: DataFrame, column: str, bins: int, cap: float | Column | None = None) -> DataFrame:
@@ -594,7 +600,7 @@ def times_by_label(matrix_pairs: DataFrame, cap: int = 20) -> DataFrame:
 def popularity_stats(prior: DataFrame, min_purchases: int = MIN_PRODUCT_ORDERS) -> DataFrame:
     """Mean, median and p99 of purchases per product, raw and log1p, and the share above a threshold."""
     counts = purchases(prior)
-    percentiles = exact_percentiles(counts, "purchases", [50, 99]).agg(
+    percentiles = exact_percentiles(counts, "purchases", [50, 99], small_domain=True).agg(
         F.struct(F.max("p50").alias("p50"), F.max("p99").alias("p99"))
     )
     return (
@@ -642,7 +648,7 @@ def executive_summary(prior: DataFrame, orders: DataFrame) -> DataFrame:
     )
 
     def median(df: DataFrame, column: str) -> Column:
-        return exact_percentiles(df, column, [50]).agg(F.max("p50")).scalar()
+        return exact_percentiles(df, column, [50], small_domain=True).agg(F.max("p50")).scalar()
 
     counts = base.select(
         _rows(orders.select("user_id").distinct(), "users"),

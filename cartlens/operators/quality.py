@@ -98,7 +98,7 @@ def popularity_bias(prior_items: DataFrame) -> DataFrame:
     """Percentiles of product popularity, share of the top 1%, correlation with reordering."""
     counts = eda.purchases(prior_items)
     names = [f"p{p}" for p in POPULARITY_PERCENTS]
-    marks = exact_percentiles(counts, "purchases", POPULARITY_PERCENTS).agg(
+    marks = exact_percentiles(counts, "purchases", POPULARITY_PERCENTS, small_domain=True).agg(
         F.struct(*[F.max(n).alias(n) for n in names])
     )
     located = counts.withColumn("_marks", marks.scalar())

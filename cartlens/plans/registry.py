@@ -446,7 +446,7 @@ def _baskets(ws: Workspace) -> DataFrame:
     """Basket sizes per order and their mean per user, described together."""
     carts = eda.cart_sizes(_prior_full(ws))
     means = carts.groupBy("user_id").agg(F.avg("cart_size").alias("mean_cart_per_user"))
-    return eda.describe(carts, ["cart_size"], (50, 95)).unionByName(
+    return eda.describe(carts, ["cart_size"], (50, 95), small_domain=True).unionByName(
         eda.describe(means, ["mean_cart_per_user"], (50, 95))
     )
 
@@ -485,7 +485,9 @@ EDA = {
     "eda_structure": lambda ws: eda.structure(
         _orders(ws), ws.sources().prior_items, ws.sources().train_items, ws.sources().products
     ),
-    "orders_per_user_stats": lambda ws: eda.describe(eda.orders_per_user(_orders(ws)), ["total_orders"]),
+    "orders_per_user_stats": lambda ws: eda.describe(
+        eda.orders_per_user(_orders(ws)), ["total_orders"], small_domain=True
+    ),
     "basket_stats": _baskets,
     "hist_basket_clipped": lambda ws: eda.histogram(eda.cart_sizes(_prior_full(ws)), "cart_size", 49, 50),
     "hist_orders_per_user": lambda ws: eda.histogram(eda.orders_per_user(_orders(ws)), "total_orders", 50),
@@ -503,7 +505,9 @@ EDA = {
     "peak_slots": lambda ws: eda.peak_slots(_orders(ws)),
     "dow_hour_pivot": lambda ws: eda.day_hour_pivot(_orders(ws)),
     "days_between_distribution": lambda ws: eda.gap_distribution(_orders(ws)),
-    "days_last_stats": lambda ws: eda.describe(fe.last_days(_prior(ws)), ["user_days_since_last_order"], (50, 95)),
+    "days_last_stats": lambda ws: eda.describe(
+        fe.last_days(_prior(ws)), ["user_days_since_last_order"], (50, 95), small_domain=True
+    ),
     "reorder_global": lambda ws: eda.reorder_rate(_prior_full(ws)),
     "reorder_class_balance": lambda ws: eda.class_balance(
         ws.sources().history.where(F.col("eval_set") != "test")
@@ -548,7 +552,9 @@ EDA = {
     "times_purchased_by_label": lambda ws: eda.times_by_label(_labelled(ws)),
     "popularity_stats": lambda ws: eda.popularity_stats(_prior_full(ws, False)),
     "feature_describe": lambda ws: eda.describe(ws.matrix, FEATURE_COLUMNS, (25, 50, 75, 99)),
-    "cart_position_stats": lambda ws: eda.describe(_prior(ws), ["add_to_cart_order"], (50,)),
+    "cart_position_stats": lambda ws: eda.describe(
+        _prior(ws), ["add_to_cart_order"], (50,), small_domain=True
+    ),
 }
 
 QUALITY = {

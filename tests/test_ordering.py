@@ -33,8 +33,9 @@ def test_percentiles_match_numpy(spark, values):
     values = values or np.random.default_rng(3).normal(5, 2, 501).tolist()
     df = spark.createDataFrame([(v,) for v in values] + [(None,)], "v double")
     percents = [0, 1, 25, 50, 75, 99, 100]
-    row = ordering.exact_percentiles(df, "v", percents).first()
-    assert [row[f"p{p}"] for p in percents] == pytest.approx(np.percentile(values, percents).tolist())
+    for small_domain in (False, True):
+        row = ordering.exact_percentiles(df, "v", percents, small_domain=small_domain).first()
+        assert [row[f"p{p}"] for p in percents] == pytest.approx(np.percentile(values, percents).tolist())
 
 
 def test_seeded_sample_is_exact_and_repeatable(spark):
