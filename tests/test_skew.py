@@ -1,13 +1,23 @@
 """A user and a product that each hold a large part of all rows give the same exact results."""
 
+import os
 import random
+import sys
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
 from cartlens.operators import eda, features as fe, metrics
 from frames import dim_product, fact_rows
 
+sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
+
+import __spark_entry__ as entry  # noqa: E402
+from check_oracles import connect, difference  # noqa: E402
+
+SOURCE = "/root/testdata/sf0.001"
+
 
 @pytest.fixture(scope="module")
 def skewed(spark):
@@ -51,3 +61,30 @@ def test_per_user_ranking_prunes_before_the_shuffle(skewed):
     scored = fact.select("user_key", "product_key", F.col("order_number").alias("score"))
     plan = metrics.top_k_per_user(scored)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
+HOT_QUERIES = ["etl_fact", "fe_feature_matrix", "drift_by_feature", "ndcg_at_10", "rec_batch", "lorenz_curve"]
+
+
+@pytest.fixture(scope="module")
+def hot_folder(tmp_path_factory):
+    """Provided tables with one customer on a third of the orders and one part on a third of the lines."""
+    if not os.path.isdir(SOURCE):
+        pytest.skip("no test data")
+    out = str(tmp_path_factory.mktemp("hot"))
+    hot = {
+        "part": "*",
+        "customer": "*",
+        "orders": "* REPLACE (CASE WHEN hash(o_orderkey) % 3 = 0 THEN 7 ELSE o_custkey END AS o_custkey)",
+        "lineitem": "* REPLACE (CASE WHEN hash(l_orderkey, l_linenumber) % 3 = 0 THEN 5 ELSE l_partkey END AS l_partkey)",
+    }
+    for table, columns in hot.items():
+        duckdb.sql(f"COPY (SELECT {columns} FROM '{SOURCE}/{table}.parquet') TO '{out}/{table}.parquet'")
+    return out
+
+
+@pytest.mark.parametrize("name", HOT_QUERIES)
+def test_hot_keys_equal_sql(spark, hot_folder, name):
+    ours = entry.queries()[name](spark, hot_folder).toPandas()
+    theirs = connect(hot_folder).execute(entry.oracle_sql()[name]).df()
+    assert difference(ours, theirs) is None
