@@ -599,6 +599,14 @@ def _preprocessed(ws: Workspace) -> DataFrame:
     )
 
 
+def _assigned(ws: Workspace) -> DataFrame:
+    """Clusters per pair and split, -1 for users and products outside the train profiles."""
+    rows = _splits(ws)
+    for model in _trained(ws).clusters:
+        rows = jobs.assign_by_split(model, rows)
+    return rows.select("user_key", "product_key", "split", "user_cluster", "product_cluster")
+
+
 def _tuned(ws: Workspace) -> DataFrame:
     trained = _trained(ws)
     vectors, largest = train.vectorise(ws.written("model_frame", lambda: trained.prepared))
@@ -648,9 +656,7 @@ MODELS = {
     "fe_preprocess": _preprocessed,
     "kmeans_user_clusters": lambda ws: cluster.clustered(_trained(ws).clusters[0]),
     "kmeans_product_clusters": lambda ws: cluster.clustered(_trained(ws).clusters[1]),
-    "cluster_assign": lambda ws: _trained(ws).prepared.select(
-        "user_key", "product_key", "split", "user_cluster", "product_cluster"
-    ),
+    "cluster_assign": _assigned,
     "train_gbt_metrics": lambda ws: _trained(ws).test_metrics,
     "best_threshold": lambda ws: train.best_threshold(_trained(ws).scored("val")),
     "tune_gbt": _tuned,

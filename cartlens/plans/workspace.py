@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import hashlib
 import tempfile
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,7 +21,7 @@ from cartlens.sources.adapter import BasketSources, basket_sources
 AS_OF = "2001-08-01"
 
 _OPEN: dict[tuple[str, str], "Workspace"] = {}
-_LOCAL_ROOTS: dict[str, str] = {}
+_LOCAL_ROOTS: dict[str, tempfile.TemporaryDirectory] = {}
 
 
 def workspace_root(spark: SparkSession) -> str:
@@ -36,8 +37,9 @@ def workspace_root(spark: SparkSession) -> str:
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     app = spark.sparkContext.applicationId
     if app not in _LOCAL_ROOTS:
-        _LOCAL_ROOTS[app] = tempfile.mkdtemp(prefix="cartlens-")
-    return _LOCAL_ROOTS[app]
+        # removed when the process ends
+        _LOCAL_ROOTS[app] = tempfile.TemporaryDirectory(prefix="cartlens-", ignore_cleanup_errors=True)
+    return _LOCAL_ROOTS[app].name
 
 
 class Workspace:
@@ -48,6 +50,7 @@ class Workspace:
         self.sf_dir = sf_dir
         digest = hashlib.md5(sf_dir.encode()).hexdigest()[:12]
         self.path = f"{workspace_root(spark)}/{spark.sparkContext.applicationId}/{digest}"
+        self._lock = threading.RLock()
         self._tables: dict[str, DataFrame] = {}
         self._sources: dict[bool, BasketSources] = {}
 
@@ -60,12 +63,13 @@ class Workspace:
 
     def written(self, name: str, build: Callable[[], DataFrame], partition: str | None = None) -> DataFrame:
         """Read a table, writing it first when this application has not done so yet."""
-        if name not in self._tables:
-            path = f"{self.path}/{name}"
-            writer = build().write.mode("overwrite")
-            (writer.partitionBy(partition) if partition else writer).parquet(path)
-            self._tables[name] = self.spark.read.parquet(path)
-        return self._tables[name]
+        with self._lock:  # concurrent callers must not write one table twice
+            if name not in self._tables:
+                path = f"{self.path}/{name}"
+                writer = build().write.mode("overwrite")
+                (writer.partitionBy(partition) if partition else writer).parquet(path)
+                self._tables[name] = self.spark.read.parquet(path)
+            return self._tables[name]
 
     def stage(self, name: str, frame: DataFrame) -> DataFrame:
         """Write a frame that several branches read, and read it back."""

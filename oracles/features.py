@@ -112,6 +112,16 @@ def columns(names: list[str]) -> str:
     )
 
 
+def contract_columns(names: list[str]) -> str:
+    """As :func:`columns`, with fractions stored as 32-bit floats by the contract."""
+    return ", ".join(
+        f"CAST({n} AS BIGINT) AS {n}"
+        if n in _BIGINTS
+        else f"round(CAST(CAST({n} AS FLOAT) AS DOUBLE), 6) AS {n}"
+        for n in names
+    )
+
+
 MATRIX_COLUMNS = ["user_key", "product_key", *_FEATURE_COLUMNS, "label"]
 
 _USER = "user_key user_total_orders user_avg_basket_size user_days_since_last_order user_reorder_ratio user_distinct_products user_segment_code".split()
@@ -199,6 +209,10 @@ ORACLES = {
     "fe_matrix_summary": with_features(
         "SELECT count(*) AS rows, count(DISTINCT user_key) AS users, count(DISTINCT product_key) AS products FROM matrix"
     ),
+    "publish_snapshot": with_features(f"SELECT {contract_columns(MATRIX_COLUMNS)} FROM matrix"),
+    "snapshot_job": with_features(
+        "SELECT count(*) AS rows, count(DISTINCT user_key) AS users, count(DISTINCT product_key) AS products FROM matrix"
+    ),
     "eda_preview_user": with_sources(
         "SELECT o.*, r.u_reorder_rate, r.u_unique_prods FROM"
         " (SELECT user_id, count(DISTINCT order_id) AS u_n_orders, round(avg(days_since_prior_order), 6) AS u_avg_days"

@@ -31,3 +31,11 @@ def test_query_equals_sql(spark, duck, name):
 
 def test_flagship(spark):
     assert entry.entry(spark).count() == 969
+
+
+def test_scans_are_pruned(spark):
+    """Only the needed columns of the prior partition are read."""
+    plan = entry.queries()["fe_basket_size"](spark, SF_DIR)._jdf.queryExecution().executedPlan().toString()
+    scan = next(line for line in plan.splitlines() if "FileScan parquet" in line)
+    assert "(get_eval" in scan and "= prior)" in scan
+    assert "order_dow" not in scan and "add_to_cart_order" not in scan and "reordered" not in scan
