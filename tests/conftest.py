@@ -12,9 +12,7 @@ from cartlens.plans.session import local_session  # noqa: E402
 def spark():
     session = local_session(4, "cartlens-tests")
     session.sparkContext.setLogLevel("ERROR")
-    session.conf.set("spark.sql.shuffle.partitions", "4")
-    # tiny frames: compiling generated code would take most of the time
-    session.conf.set("spark.sql.codegen.wholeStage", "false")
+    session.conf.set("spark.sql.shuffle.partitions", "2")
     yield session
     session.stop()
 
