@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cartlens.llm import byte_bpe, token_counts, token_store
+from cartlens.llm import byte_bpe, exact_dedup, licenses, mixing, token_counts, token_store
 from cartlens.llm.common import documents, scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,10 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, sf_dir), WORD_TOKENIZER)
 
 
+def op4_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(documents(spark, sf_dir)).drop("detections")
+
+
 def op5_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch(spark, "token_store")
     token_store.write_tokens(token_store.encode_ordered(documents(spark, sf_dir), WORD_TOKENIZER, END_ID), path)
@@ -38,9 +42,41 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mixture(documents(spark, sf_dir))
+
+
+def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.find_copies(documents(spark, sf_dir))
+
+
+OP10_SQL = r"""
+with plain as (
+    select doc_id, length(coalesce(text, '')) as chars,
+           sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')) as text_sha256
+    from documents
+), ranked as (
+    select *, first_value(doc_id) over (partition by text_sha256 order by chars desc, doc_id) as keep_id,
+           count(*) over (partition by text_sha256) as group_size
+    from plain
+)
+select doc_id, keep_id, group_size, doc_id = keep_id as kept, text_sha256 from ranked
+"""
+
+
+QUERIES = (
+    op1_token_counts,
+    op4_licenses,
+    op5_token_store,
+    op8_byte_bpe,
+    op9_mixing,
+    op10_exact_dedup,
+)
+
+
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in (op1_token_counts, op5_token_store, op8_byte_bpe)}
+    return {f.__name__: f for f in QUERIES}
 
 
 def oracles() -> dict[str, str]:
-    return {}
+    return {"op10_exact_dedup": OP10_SQL}
