@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cartlens.llm import byte_bpe, exact_dedup, licenses, mixing, token_counts, token_store
+from cartlens.llm import byte_bpe, exact_dedup, licenses, mixing, piecewise_hash, token_counts, token_store
 from cartlens.llm.common import documents, scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +31,10 @@ def op5_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.digest(token_store.read_tokens(spark, path))
 
 
+def op7_piecewise_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piecewise_hash.compare_neighbours(documents(spark, sf_dir))
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = byte_bpe.encode(documents(spark, sf_dir), BYTE_RANKS, public_tokenizers.PATTERN)
     decoded = byte_bpe.decode(encoded, BYTE_RANKS, public_tokenizers.PATTERN)
@@ -68,6 +72,7 @@ QUERIES = (
     op1_token_counts,
     op4_licenses,
     op5_token_store,
+    op7_piecewise_hash,
     op8_byte_bpe,
     op9_mixing,
     op10_exact_dedup,
