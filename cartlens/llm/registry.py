@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cartlens.llm import byte_bpe, exact_dedup, licenses, mixing, piecewise_hash, quality, token_counts, token_store
+from cartlens.llm import byte_bpe, exact_dedup, licenses, mixing, piecewise_hash, quality, token_counts, token_store, wrappers
 from cartlens.llm.common import documents, scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -21,6 +21,10 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(documents(spark, sf_dir), WORD_TOKENIZER)
 
 
+def op2_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrappers.extract(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+
+
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return quality.classify(documents(spark, sf_dir), labels)
@@ -75,6 +79,7 @@ select doc_id, keep_id, group_size, doc_id = keep_id as kept, text_sha256 from r
 
 QUERIES = (
     op1_token_counts,
+    op2_wrappers,
     op3_quality,
     op4_licenses,
     op5_token_store,
