@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from cartlens.llm import byte_bpe, exact_dedup, licenses, mixing, piecewise_hash, quality, token_counts, token_store, wrappers
+from cartlens.llm import byte_bpe, exact_dedup, licenses, mixing, near_dedup, piecewise_hash, quality, token_counts, token_store, wrappers
 from cartlens.llm.common import documents, scratch
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -40,6 +40,10 @@ def op5_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_store.digest(token_store.read_tokens(spark, path))
 
 
+def op6_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_copies(documents(spark, sf_dir))
+
+
 def op7_piecewise_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return piecewise_hash.compare_neighbours(documents(spark, sf_dir))
 
@@ -83,6 +87,7 @@ QUERIES = (
     op3_quality,
     op4_licenses,
     op5_token_store,
+    op6_near_dedup,
     op7_piecewise_hash,
     op8_byte_bpe,
     op9_mixing,
