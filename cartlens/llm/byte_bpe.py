@@ -10,7 +10,8 @@ scalar tree. Equal matches are encoded once per worker.
 Ids are packed as little-endian unsigned 32-bit integers in a binary column.
 
 Defined results: null and empty texts give no ids and decode to no bytes; repeated rows are encoded
-row by row; an empty table gives an empty result; other columns are ignored unless kept by name.
+row by row; an empty table gives an empty result; other columns are ignored unless kept by name, and a
+column named like a result gives way to it.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import BinaryType
 
-from cartlens.llm.common import byte_slices, fields, ship, strings
+from cartlens.llm.common import byte_slices, fields, fresh, ship, strings
 
 BATCH_BYTES = 1 << 20
 #: Entries of the per-worker memory of encoded matches; beyond it the memory starts afresh.
@@ -223,7 +224,8 @@ def encode(
 ) -> DataFrame:
     """The kept columns and ``ids``, the packed ids of the text; no shuffle."""
     ship(docs.sparkSession)
-    keep = list(keep)
+    keep = [c for c in keep if c != "ids"]
+    (source,) = fresh(keep, "_text")
     schema = fields(docs, keep, [("ids", BinaryType())])
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -231,16 +233,17 @@ def encode(
 
         own = codec(ranks_path, pattern)
         for batch in batches:
-            for run in byte_slices(batch, "_text", BATCH_BYTES):
-                ids = pa.array(own.encode(strings(run, "_text")), pa.binary())
+            for run in byte_slices(batch, source, BATCH_BYTES):
+                ids = pa.array(own.encode(strings(run, source)), pa.binary())
                 yield pa.RecordBatch.from_arrays([*(run.column(i) for i in range(len(keep))), ids], names=schema.names)
 
-    return docs.select(*keep, F.col(text_col).alias("_text")).mapInArrow(encoded, schema)
+    return docs.select(*keep, F.col(text_col).alias(source)).mapInArrow(encoded, schema)
 
 
 def decode(encoded: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     """Add ``decoded``, the bytes that the packed ``ids`` stand for."""
     ship(encoded.sparkSession)
+    encoded = encoded.drop("decoded")
     schema = fields(encoded, encoded.columns, [("decoded", BinaryType())])
 
     def decoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -12,7 +12,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import DataType, StructField, StructType
 
 from cartlens.plans.workspace import workspace_root
@@ -96,9 +96,12 @@ def strings(batch: pa.RecordBatch, column: str) -> list[str]:
     return [x or "" for x in batch.column(column).to_pylist()]
 
 
-def partitions_for(total_bytes: int, each: int, least: int = 1) -> int:
-    return max(least, -(-int(total_bytes) // each))
-
-
-def text_bytes(frame: DataFrame, column: str) -> int:
-    return frame.select(F.coalesce(F.sum(F.octet_length(F.col(column).cast("string"))), F.lit(0))).first()[0]
+def fresh(columns: Sequence[str], *names: str) -> list[str]:
+    """Names that no column has, for helper columns beside those of a caller."""
+    taken, found = {c.lower() for c in columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        found.append(name)
+    return found

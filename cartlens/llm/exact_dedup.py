@@ -19,7 +19,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from cartlens.llm.common import written
+from cartlens.llm.common import fresh, written
 
 #: Characters that do not count: space and U+0009 to U+000D.
 BLANKS = " \t\n\x0b\x0c\r"
@@ -85,15 +85,17 @@ def find_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The documents that stay, with all their columns."""
-    rows = resolved(docs, id_col, text_col)
-    kept = written(
-        rows.where(F.col("_row") == F.col("_best.row")).select("_id", "_chars", "_sha", "_check"), "kept"
+    rows = written(resolved(docs, id_col, text_col).select("_id", "_chars", "_check", "_row", "_best"), "resolved")
+    key, chars, check, own_chars, own_check = fresh(docs.columns, "_id", "_chars", "_check", "_c", "_h")
+    kept = rows.where(F.col("_row") == F.col("_best.row")).select(
+        F.col("_id").alias(key), F.col("_chars").alias(chars), F.col("_check").alias(check)
     )
     text = F.coalesce(F.col(text_col), F.lit(""))
-    marked = docs.withColumns({"_c": F.char_length(text).cast("long"), "_h": F.xxhash64(normalised(text))})
-    on = F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_h") == F.col("_check")) & (F.col("_c") == F.col("_chars"))
+    marked = docs.withColumns({own_chars: F.char_length(text).cast("long"), own_check: F.xxhash64(normalised(text))})
+    on = F.col(id_col).eqNullSafe(F.col(key)) & (F.col(own_check) == F.col(check)) & (F.col(own_chars) == F.col(chars))
     left = marked.join(kept, on, "left_semi")
-    if rows.select("_id", "_chars", *KEY).count() > rows.select("_id", "_chars", *KEY).distinct().count():
+    named = rows.select("_id", "_chars", "_check")
+    if named.count() > named.distinct().count():
         # the same row more than once: any one of them stays
-        left = left.dropDuplicates([id_col, "_h", "_c"])
-    return left.drop("_c", "_h")
+        left = left.dropDuplicates([id_col, own_check, own_chars])
+    return left.drop(own_chars, own_check)

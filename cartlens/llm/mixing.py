@@ -24,11 +24,12 @@ are rows of their own; empty tables give empty results.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import LongType
 
 from cartlens.llm.common import byte_slices, fields, ship, utf8, written
@@ -100,8 +101,16 @@ def shard_counts(slots: np.ndarray, shard: int, depth: int, seed: int) -> tuple[
 class Mix:
     """Sizes, targets and slots of the sources of a document table."""
 
-    def __init__(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-                 block: int = BLOCK, seed: int = SEED, words_only: bool = True):
+    def __init__(
+        self,
+        docs: DataFrame,
+        id_col: str = "doc_id",
+        text_col: str = "text",
+        source_col: str = "source",
+        block: int = BLOCK,
+        seed: int = SEED,
+        words_only: bool = True,
+    ):
         spark = docs.sparkSession
         ship(spark)
         self.spark, self.id_col, self.text_col, self.block, self.seed = spark, id_col, text_col, block, seed
@@ -198,7 +207,7 @@ class Mix:
                         names=["shard", "position", "_s", "_block", "epoch"],
                     )
 
-        shards = self.spark.range(0, 1 << depth if total else 0)
+        shards = self.spark.range(0, 1 << depth, 1, max(8, (1 << depth) // 64)) if total else self.spark.range(0)
         return shards.mapInArrow(drawn, "shard long, position int, _s int, _block long, epoch int")
 
     def pieces(self) -> DataFrame:
@@ -229,43 +238,51 @@ def mixture(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sou
     )
 
 
-def mixed_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-                    chars_col: str | None = "n_chars") -> DataFrame:
+def mixed_documents(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+    chars_col: str | None = "n_chars",
+) -> DataFrame:
     """The mix as documents: a row per document and epoch that takes words of it, holding those words.
 
     Blocks that lie side by side keep the text between their words; a document that an epoch
     takes whole keeps its text unchanged. Columns are those of the input; ``chars_col`` is counted
     anew.
     """
-    mix = Mix(docs, id_col, text_col, source_col, words_only=False)
+    rest = F.struct(*[c for c in docs.columns if c != text_col])
+    packed = docs.select(
+        F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(source_col).alias("source"), rest.alias("rest")
+    )
+    mix = Mix(packed, "id", "text", "source", words_only=False)
     cut = (
         mix.output_slots().join(mix.pieces(), ["_s", "_block"])
         .groupBy("_row", "epoch")
         .agg(F.array_sort(F.collect_list(F.struct("_from", "_to"))).alias("_parts"))
     )
-    joined = mix.docs.join(cut, "_row")
-    columns = docs.columns
-    schema = fields(joined, columns, [])
+    joined = mix.docs.join(cut, "_row").select("rest", "text", "_parts", "_size")
+    schema = fields(joined, ["rest", "text"], [])
 
     def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for run in byte_slices(batch, text_col, 1 << 20):
-                texts = [
-                    cut_words(text, [(p["_from"], p["_to"]) for p in parts], size)
-                    for text, parts, size in zip(utf8(run, text_col), run.column("_parts").to_pylist(), run.column("_size").to_pylist())
-                ]
-                new = {text_col: pa.array(texts, pa.string())}
-                if chars_col in columns:
-                    new[chars_col] = pa.array([len(t) for t in texts], pa.int64()).cast(run.schema.field(chars_col).type)
-                yield pa.RecordBatch.from_arrays([new[c] if c in new else run.column(c) for c in columns], names=columns)
+            for run in byte_slices(batch, "text", 1 << 20):
+                rows = zip(utf8(run, "text"), run.column("_parts").to_pylist(), run.column("_size").to_pylist())
+                texts = [cut_words(text, [(p["_from"], p["_to"]) for p in parts], size) for text, parts, size in rows]
+                yield pa.RecordBatch.from_arrays([run.column("rest"), pa.array(texts, pa.string())], names=schema.names)
+
+    def column(name: str) -> Column:
+        if name == text_col:
+            return F.col("text").alias(name)
+        if name == chars_col:
+            return F.char_length("text").cast(docs.schema[name].dataType).alias(name)
+        return F.col("rest")[name].alias(name)
 
-    return joined.select(*columns, "_parts", "_size").mapInArrow(sliced, schema)
+    return joined.mapInArrow(sliced, schema).select(*[column(c) for c in docs.columns])
 
 
 def cut_words(text: bytes, parts: list[tuple[int, int]], size: int) -> str:
     """The words of the given ranges (sorted, disjoint), with the text between them where ranges touch."""
-    import re
-
     merged: list[list[int]] = []
     for start, end in parts:
         if merged and merged[-1][1] == start:

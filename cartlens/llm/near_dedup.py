@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import ArrayType, LongType
 
-from cartlens.llm.common import byte_slices, fields, ship, strings, written
+from cartlens.llm.common import byte_slices, fields, fresh, ship, strings, written
 
 BATCH_BYTES = 1 << 20
 SIMILARITY = 0.8
@@ -245,9 +245,10 @@ def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """The first document of each class, with all its columns."""
     rows = classes(docs, id_col, text_col, threshold)
     same = F.col("_id").eqNullSafe(F.col("_class.id")) & (F.col("_tie") == F.col("_class.tie"))
-    kept = written(rows.where(same).select("_id", "_tie"), "kept")
-    tied = docs.withColumn("_t", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
-    left = tied.join(kept, F.col(id_col).eqNullSafe(F.col("_id")) & (F.col("_t") == F.col("_tie")), "left_semi")
+    key, tie, own = fresh(docs.columns, "_id", "_tie", "_t")
+    kept = written(rows.where(same).select(F.col("_id").alias(key), F.col("_tie").alias(tie)), "kept")
+    tied = docs.withColumn(own, F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
+    left = tied.join(kept, F.col(id_col).eqNullSafe(F.col(key)) & (F.col(own) == F.col(tie)), "left_semi")
     if kept.count() > kept.distinct().count():
-        left = left.dropDuplicates([id_col, "_t"])  # the same row more than once: any one of them stays
-    return left.drop("_t")
+        left = left.dropDuplicates([id_col, own])  # the same row more than once: any one of them stays
+    return left.drop(own)

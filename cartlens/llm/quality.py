@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import DoubleType
 
-from cartlens.llm.common import byte_slices, fields, ship, utf8
+from cartlens.llm.common import byte_slices, fields, fresh, ship, utf8
 
 BATCH_BYTES = 1 << 20
 #: Labelled rows used for training, at most.
@@ -68,8 +68,8 @@ def features(texts: list[bytes]) -> tuple[list[tuple[np.ndarray, np.ndarray]], n
     a kind has at most one feature per place.
     """
     sizes = np.asarray([len(t) for t in texts], np.int64)
-    starts = np.concatenate([[0], np.cumsum(sizes + 1)])[:-1]
-    data = np.frombuffer(b"".join([b" ".join(texts), b" "]), np.uint8)
+    starts = np.concatenate([[0], np.cumsum(sizes + 2)])[:-1]
+    data = np.frombuffer(b"".join([b" ", b"  ".join(texts), b" "]), np.uint8)  # a blank at both ends of each text
     n = len(data)
     blank = _BLANK[data]
     found = []
@@ -114,7 +114,7 @@ class Model:
         if not texts:
             return np.zeros(0)
         found, starts = features(texts)
-        n = int(starts[-1]) + len(texts[-1]) + 1
+        n = int(starts[-1]) + len(texts[-1]) + 2
         total, count = np.zeros(n), np.zeros(n)
         for place, bucket in found:
             total[place] += self.weights[bucket]
@@ -134,7 +134,7 @@ def counted(text: bytes) -> tuple[np.ndarray, np.ndarray]:
 def fit(texts: list[bytes], labels: list[int], epochs: int = EPOCHS, rate: float = RATE, seed: int = SEED) -> Model:
     """Train on labelled texts; the order of the rows does not matter if they come sorted."""
     share = float(np.mean(labels)) if labels else 0.5
-    if not 0 < share < 1:
+    if not labels or not 0 < share < 1:
         odds = np.clip(share, 1e-6, 1 - 1e-6)
         return Model(np.zeros(BUCKETS, np.float32), float(np.log(odds / (1 - odds))))
     rng = np.random.default_rng(seed)
@@ -181,11 +181,10 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col
     return fit([t.encode("utf-8") for t, _ in pairs], [y for _, y in pairs])
 
 
-def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """The input with a column ``score``: the probability of label 1; no shuffle."""
+def score(docs: DataFrame, model: Model, text_col: str = "text", name: str = "score") -> DataFrame:
+    """The input with a column of scores, the probability of label 1, in place of any of that name; no shuffle."""
     spark = docs.sparkSession
     ship(spark)
-    name = "score"
     columns = [c for c in docs.columns if c != name]
     schema = fields(docs, columns, [(name, DoubleType())])
     shared = spark.sparkContext.broadcast(model)  # half a megabyte, whatever the data
@@ -199,6 +198,12 @@ def score(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     return docs.select(*columns).mapInArrow(scored, schema)
 
 
+def accepted(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The documents with a score of the threshold or more, with all their columns."""
+    (name,) = fresh(docs.columns, "_score")
+    return score(docs, model, text_col, name).where(F.col(name) >= threshold).select(*docs.columns)
+
+
 def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: id, ``held_out``, ``score`` and ``predicted`` (score of THRESHOLD or more)."""
     scored = score(docs.select(id_col, text_col), train(docs, labels, id_col=id_col, text_col=text_col), text_col)

@@ -212,10 +212,17 @@ def read(page: str) -> tuple[Node, list[str]]:
     return root, blocks
 
 
+def _alike(a: Node, b: Node) -> bool:
+    """Whether two elements of one label may be the same place: they share a kind of child, or one is empty."""
+    if not a.kids or not b.kids:
+        return True
+    return not {k.label for k in a.kids}.isdisjoint(k.label for k in b.kids)
+
+
 def _pairs(a: list[Node], b: list[Node]) -> list[tuple[int, int]]:
-    """Longest common order of two child lists by label (greedy for very long lists)."""
+    """Longest common order of like elements of two child lists (greedy, by label, for very long lists)."""
     x, y = [k.label for k in a], [k.label for k in b]
-    if x == y:
+    if x == y and all(map(_alike, a, b)):
         return [(i, i) for i in range(len(x))]
     if len(x) * len(y) > CELLS:
         found, at = [], 0
@@ -229,10 +236,13 @@ def _pairs(a: list[Node], b: list[Node]) -> list[tuple[int, int]]:
     for i in range(len(x) - 1, -1, -1):
         row, below = best[i], best[i + 1]
         for j in range(len(y) - 1, -1, -1):
-            row[j] = below[j + 1] + 1 if x[i] == y[j] else max(below[j], row[j + 1])
+            if x[i] == y[j] and _alike(a[i], b[j]):
+                row[j] = below[j + 1] + 1
+            else:
+                row[j] = max(below[j], row[j + 1])
     found, i, j = [], 0, 0
     while i < len(x) and j < len(y):
-        if x[i] == y[j] and best[i][j] == best[i + 1][j + 1] + 1:
+        if x[i] == y[j] and best[i][j] == best[i + 1][j + 1] + 1 and _alike(a[i], b[j]):
             found.append((i, j))
             i, j = i + 1, j + 1
         elif best[i + 1][j] >= best[i][j + 1]:
@@ -265,10 +275,10 @@ def align(a: Node, b: Node, same_page: bool = False) -> Node:
 
 
 def _folded(kids: list[Node]) -> list[Node]:
-    """Neighbours of one label become one repeated group."""
+    """Neighbours that are alike become one repeated group."""
     out: list[Node] = []
     for kid in kids:
-        if out and out[-1].label == kid.label:
+        if out and out[-1].label == kid.label and _alike(out[-1], kid):
             out[-1] = align(out[-1], kid, same_page=True)
         else:
             out.append(kid)

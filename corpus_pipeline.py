@@ -17,7 +17,7 @@ from cartlens.llm.registry import BYTE_RANKS
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts."""
     model = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return quality.score(docs, model).where(F.col("score") >= quality.THRESHOLD).select(*docs.columns)
+    return quality.accepted(docs, model)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
