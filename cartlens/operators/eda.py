@@ -23,13 +23,15 @@ from cartlens.functions.ordering import (
     seeded_fraction,
     value_counts,
 )
+from cartlens.functions.staging import Stage, unstaged
 from cartlens.schemas import DAY_NAMES, MIN_PRODUCT_ORDERS
 
 CATALOG_THRESHOLDS = (10, 50, 100, 500, 1000)
 COLD_USER_THRESHOLDS = (1, 2, 3, 5)
 COLD_PRODUCT_THRESHOLDS = (1, 5, 10, 20)
 HIGHLIGHTED_GAPS = (7, 14, 21, 30)
-PAIR_ITEMS = 10
+FREQUENT_PRODUCTS = 100
+BASKET_BLOCK = 512
 HIGH_CORRELATION = 0.7
 OTHERS = "Otros"
 
@@ -470,35 +472,69 @@ def sparsity(prior: DataFrame) -> DataFrame:
 
 def catalog_coverage(products: DataFrame, prior_items: DataFrame, train_items: DataFrame) -> DataFrame:
     """Catalogue products bought in prior, in train, in both and never."""
-    prior_ids, train_ids = prior_items.select("product_id"), train_items.select("product_id")
+    # distinct first: a much bought product is one row of each side, not a hot key
+    prior_ids = prior_items.select("product_id").distinct()
+    train_ids = train_items.select("product_id").distinct()
     catalogue = products.select("product_id")
     never = catalogue.join(prior_ids, "product_id", "left_anti")
     counted = catalogue.distinct().agg(F.count("*").alias("catalogue")).select(
         "catalogue",
-        _rows(prior_ids.distinct(), "in_prior"),
-        _rows(train_ids.distinct(), "in_train"),
-        _rows(prior_ids.intersect(train_ids), "in_both"),
+        _rows(prior_ids, "in_prior"),
+        _rows(train_ids, "in_train"),
+        _rows(prior_ids.join(train_ids, "product_id", "left_semi"), "in_both"),
         _rows(never.distinct(), "never_bought"),
     )
     return as_rows(counted)
 
 
-def co_purchases(prior: DataFrame, products: DataFrame, limit: int = 15, items: int = PAIR_ITEMS) -> DataFrame:
-    """Product pairs most often in one basket.
+def pairs_in_baskets(lines: DataFrame, block: int = BASKET_BLOCK) -> DataFrame:
+    """All product pairs of every basket, (product_a < product_b, together), over distinct lines.
 
-    By definition of the report a pair counts when both products are among the first ``items``
-    placed in the cart, so a basket yields at most ``items * (items - 1) / 2`` pairs.
+    A basket is dealt into blocks of about ``block`` products; every pair of blocks is a join key of its
+    own, so a basket with very many products is joined by as many tasks as it has block pairs.
     """
-    first = prior.where(F.col("add_to_cart_order") <= items).select("order_id", "product_id")
-    left = first.withColumnRenamed("product_id", "product_a")
-    right = first.withColumnRenamed("product_id", "product_b")
-    together = left.join(right, "order_id").where(F.col("product_a") < F.col("product_b"))
-    top = (
-        together.groupBy("product_a", "product_b")
+    sizes = lines.groupBy("order_id").agg(F.count("*").alias("_n"))
+    dealt = lines.join(sizes, "order_id").withColumn("_blocks", F.ceil(F.col("_n") / block).cast("int"))
+    own = F.pmod(F.xxhash64("product_id"), F.col("_blocks")).cast("int")
+    other = dealt.withColumn("_own", own).withColumn("_other", F.explode(F.expr("sequence(0, _blocks - 1)")))
+    placed = other.select(
+        "order_id", "product_id", "_own", F.least("_own", "_other").alias("_i"), F.greatest("_own", "_other").alias("_j")
+    )
+    keys = ["order_id", "_i", "_j"]
+    left = placed.where(F.col("_own") == F.col("_i")).select(*keys, F.col("product_id").alias("_a"))
+    right = placed.where(F.col("_own") == F.col("_j")).select(*keys, F.col("product_id").alias("_b"))
+    apart = (F.col("_i") < F.col("_j")) | (F.col("_a") < F.col("_b"))
+    return (
+        left.join(right, keys)
+        .where(apart)
+        .groupBy(F.least("_a", "_b").alias("product_a"), F.greatest("_a", "_b").alias("product_b"))
         .agg(F.count("*").alias("together"))
-        .orderBy(F.desc("together"), "product_a", "product_b")
-        .limit(limit)
     )
+
+
+def co_purchases(
+    prior: DataFrame,
+    products: DataFrame,
+    limit: int = 15,
+    frequent: int = FREQUENT_PRODUCTS,
+    block: int = BASKET_BLOCK,
+    stage: Stage = unstaged,
+) -> DataFrame:
+    """Product pairs most often in one basket, over whole baskets.
+
+    A pair is in no more baskets than its rarer product. The exact counts among the ``frequent`` most
+    bought products give a lower bound for the last reported pair, and products in fewer baskets
+    than that cannot be part of the report. The bound only saves work: ties stay.
+    """
+    lines = stage("basket_lines", prior.select("order_id", "product_id").distinct())
+    support = stage("basket_support", lines.groupBy("product_id").agg(F.count("*").alias("_baskets")))
+    ranking = [F.desc("together"), "product_a", "product_b"]
+    # at most ``frequent`` rows
+    head = F.broadcast(support.orderBy(F.desc("_baskets"), "product_id").limit(frequent).select("product_id"))
+    known = pairs_in_baskets(lines.join(head, "product_id", "left_semi"), block).orderBy(*ranking).limit(limit)
+    bound = known.agg(F.when(F.count("*") == limit, F.min("together")).otherwise(F.lit(1))).scalar()
+    able = support.where(F.col("_baskets") >= bound).select("product_id")
+    top = pairs_in_baskets(lines.join(able, "product_id", "left_semi"), block).orderBy(*ranking).limit(limit)
     names = products.select("product_id", "product_name")
     for side in ("a", "b"):
         named = names.withColumnsRenamed({"product_id": f"product_{side}", "product_name": f"name_{side}"})

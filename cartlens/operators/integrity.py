@@ -93,9 +93,11 @@ def summary(fact: DataFrame, dim_user: DataFrame, dim_product: DataFrame) -> Dat
 
 
 def users_in_both(fact: DataFrame) -> DataFrame:
-    """Users present in both prior and train rows."""
-    prior = fact.where(F.col("get_eval") == "prior").select("user_key")
-    return prior.intersect(fact.where(F.col("get_eval") == "train").select("user_key"))
+    """Users present in both prior and train rows: one flagged row per user, combined before the shuffle."""
+    seen = fact.groupBy("user_key").agg(
+        F.bool_or(F.col("get_eval") == "prior").alias("prior"), F.bool_or(F.col("get_eval") == "train").alias("train")
+    )
+    return seen.where("prior and train").select("user_key")
 
 
 def star_expectations(
@@ -175,8 +177,10 @@ def temporal_leakage(orders: DataFrame) -> DataFrame:
         F.max("order_number").alias("last"),
     )
     late = orders.where(evaluated).join(per_user, "user_id").where(F.col("order_number") != F.col("last"))
-    prior_ids = orders.where(F.col("eval_set") == "prior").select("order_id")
-    shared = prior_ids.intersect(orders.where(F.col("eval_set") == "train").select("order_id"))
+    seen = orders.groupBy("order_id").agg(
+        F.bool_or(F.col("eval_set") == "prior").alias("prior"), F.bool_or(F.col("eval_set") == "train").alias("train")
+    )
+    shared = seen.where("prior and train")
     counts = per_user.agg(
         F.count_if(F.col("eval_orders") > 1).alias("users_with_several_eval_orders")
     ).select(

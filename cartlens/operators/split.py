@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from cartlens.functions.columns import ratio
-from cartlens.functions.ordering import exact_percentiles, seeded_positions
+from cartlens.functions.ordering import exact_percentiles, seeded_digest, seeded_positions
 
 
 def split_users(matrix: DataFrame, seed: int = 42) -> DataFrame:
@@ -27,13 +27,26 @@ def split_users(matrix: DataFrame, seed: int = 42) -> DataFrame:
     )
 
 
-def with_split(matrix: DataFrame, users: DataFrame) -> DataFrame:
-    return matrix.join(users, "user_key")
+def with_split(matrix: DataFrame, users: DataFrame, seed: int = 42) -> DataFrame:
+    """Matrix rows with the split of their user.
+
+    Splits are ranges of the users' seeded digests, so two borders place every row: no join, and a
+    user with very many rows stays where they are read. ``seed`` is the one ``users`` was split with.
+    """
+    place = F.struct(seeded_digest("user_key", seed).alias("digest"), F.col("user_key").alias("user_key"))
+    low = users.agg(
+        F.min(F.when(F.col("split") == "val", place)).alias("val"), F.min(F.when(F.col("split") == "test", place)).alias("test")
+    )
+    val, test = low.select("val").scalar(), low.select("test").scalar()
+    named = (
+        F.when(place >= test, "test").when(place >= val, "val").otherwise("train")  # a missing border compares as null
+    )
+    return matrix.withColumn("split", named)
 
 
-def split_sizes(matrix: DataFrame, users: DataFrame) -> DataFrame:
+def split_sizes(matrix: DataFrame, users: DataFrame, seed: int = 42) -> DataFrame:
     """Actual users and pairs per split."""
-    per_user = with_split(matrix, users).groupBy("split", "user_key").agg(F.count("*").alias("n"))
+    per_user = with_split(matrix, users, seed).groupBy("split", "user_key").agg(F.count("*").alias("n"))
     return per_user.groupBy("split").agg(F.count("*").alias("users"), F.sum("n").alias("pairs"))
 
 

@@ -6,6 +6,7 @@ import json
 import uuid
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.ml.classification import GBTClassificationModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -67,7 +68,7 @@ class Trained:
 def fit_model(matrix: DataFrame, config: TrainingConfig, stage: Stage = unstaged) -> Trained:
     """Split, cluster, prepare and fit. ``stage`` keeps iterative steps off long lineages."""
     splits = stage("model_split", split.split_users(matrix, config.seed))
-    rows = stage("model_rows", split.with_split(matrix, splits))
+    rows = stage("model_rows", split.with_split(matrix, splits, config.seed))
     learn = rows.where(F.col("split") == "train")
     clusters = tuple(
         cluster.fit(learn, key, names, seed=config.seed, restarts=config.restarts, stage=stage)
@@ -141,8 +142,8 @@ def published_f1(spark: SparkSession, root: str) -> float | None:
     try:
         run = spark.read.json(latest).first()["run"]
         return float(spark.read.json(f"{root}/models/{run}/record").first()["metrics_test"]["f1"])
-    except Exception:
-        return None
+    except (AnalysisException, KeyError, TypeError, ValueError):
+        return None  # the record is missing or unreadable; any other failure must not switch the gate off
 
 
 def publish_model(trained: Trained, record: DataFrame, root: str, run: str | None = None) -> str:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -32,6 +33,7 @@ from cartlens.schemas import (
     USER_CLUSTER_FEATURES,
 )
 from cartlens.sources import sinks, tables
+from cartlens.sources.adapter import raw_lines
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -282,7 +284,7 @@ INTEGRITY = {
         F.count("*").alias("users_in_both")
     ),
     "star_expectations": _expectations,
-    "duplicate_pairs": lambda ws: integrity.duplicate_pairs(ws.sources().history),
+    "duplicate_pairs": lambda ws: integrity.duplicate_pairs(raw_lines(ws.spark, ws.sf_dir, ws.sources().orders)),
     "order_stats": lambda ws: integrity.order_stats(ws.sources().orders),
     "catalog_listing": lambda ws: integrity.catalog_listing(ws.dim_product),
     "risk_temporal_leakage": lambda ws: integrity.temporal_leakage(ws.sources().orders),
@@ -540,7 +542,9 @@ EDA = {
     "catalog_coverage": lambda ws: eda.catalog_coverage(
         ws.sources(False).products, ws.sources(False).prior_items, ws.sources(False).train_items
     ),
-    "co_purchase_pairs": lambda ws: eda.co_purchases(_prior_full(ws, False), ws.sources(False).products),
+    "co_purchase_pairs": lambda ws: eda.co_purchases(
+        _prior_full(ws, False), ws.sources(False).products, stage=ws.stage
+    ),
     "feature_correlations": _proxy_correlations,
     "high_correlations": lambda ws: eda.high_correlations(_proxy_correlations(ws)),
     "matrix_correlations": lambda ws: eda.correlations(ws.matrix, FEATURE_COLUMNS),
@@ -578,14 +582,16 @@ TRAINING = jobs.TrainingConfig(
 )
 SEARCH_TRIALS = 2
 _TRAINED: dict[str, jobs.Trained] = {}
+_TRAINED_LOCK = threading.Lock()
 
 
 def _trained(ws: Workspace) -> jobs.Trained:
     """One fitted model per workspace."""
-    if ws.path not in _TRAINED:
-        jobs.ensure_checkpoints(ws.spark, ws.path)
-        _TRAINED[ws.path] = jobs.fit_model(ws.matrix, TRAINING, ws.stage)
-    return _TRAINED[ws.path]
+    with _TRAINED_LOCK:
+        if ws.path not in _TRAINED:
+            jobs.ensure_checkpoints(ws.spark, ws.path)
+            _TRAINED[ws.path] = jobs.fit_model(ws.matrix, TRAINING, ws.stage)
+        return _TRAINED[ws.path]
 
 
 def _preprocessed(ws: Workspace) -> DataFrame:

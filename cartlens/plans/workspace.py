@@ -21,6 +21,7 @@ from cartlens.sources.adapter import BasketSources, basket_sources
 AS_OF = "2001-08-01"
 
 _OPEN: dict[tuple[str, str], "Workspace"] = {}
+_OPEN_LOCK = threading.Lock()
 _LOCAL_ROOTS: dict[str, tempfile.TemporaryDirectory] = {}
 
 
@@ -57,9 +58,10 @@ class Workspace:
     @classmethod
     def open(cls, spark: SparkSession, sf_dir: str) -> "Workspace":
         key = (spark.sparkContext.applicationId, sf_dir)
-        if key not in _OPEN:
-            _OPEN[key] = cls(spark, sf_dir)
-        return _OPEN[key]
+        with _OPEN_LOCK:  # two workspaces of one path would overwrite each other's tables
+            if key not in _OPEN:
+                _OPEN[key] = cls(spark, sf_dir)
+            return _OPEN[key]
 
     def written(self, name: str, build: Callable[[], DataFrame], partition: str | None = None) -> DataFrame:
         """Read a table, writing it first when this application has not done so yet."""

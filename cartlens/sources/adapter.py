@@ -6,8 +6,9 @@ adapter derives those columns. It is the only module that knows the provided tab
 basket data the readers in ``tables.py`` take its place.
 
 ``folded=True`` maps parts onto ``CATALOGUE`` products by part key so that users buy products
-repeatedly; every line and part takes part in the fold. ``folded=False`` keeps each part as its
-own product.
+repeatedly. A cart holds a product once: lines of one order whose parts fold onto one product become
+one cart position, as a quantity above one would. ``folded=False`` keeps each part as its own product.
+Keys start at 1.
 """
 
 from __future__ import annotations
@@ -91,6 +92,14 @@ def number_orders(orders: DataFrame) -> DataFrame:
     )
 
 
+def raw_lines(spark: SparkSession, sf_dir: str, orders: DataFrame) -> DataFrame:
+    """Every order line as delivered, (order_id, product_id, eval_set), repeated products included."""
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet").select(
+        F.col("l_orderkey").alias("order_id"), F.col("l_partkey").alias("product_id")
+    )
+    return lines.join(orders.select("order_id", "eval_set"), "order_id")
+
+
 def basket_sources(
     spark: SparkSession, sf_dir: str, folded: bool = True, stage: Stage = unstaged
 ) -> BasketSources:
@@ -103,7 +112,7 @@ def basket_sources(
         return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
     def product_of(part_key: str):
-        return F.col(part_key) % CATALOGUE if folded else F.col(part_key)
+        return F.col(part_key) % CATALOGUE + 1 if folded else F.col(part_key)
 
     suffix = "" if folded else "_full"
     orders = stage("orders", number_orders(read("orders")))

@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Iterable
 from datetime import date
 
-from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -18,12 +17,9 @@ RANGE_START, RANGE_END = date(2017, 1, 1), date(2017, 12, 31)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether a path exists on its file system (local, HDFS or object store)."""
+    """Whether a path exists on its file system; a file system that fails is an error, not "no"."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    try:
-        return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
-    except Py4JJavaError:
-        return False
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -123,7 +119,7 @@ def order_range(fact: DataFrame, start: str, end: str) -> DataFrame:
 
 def active_users(dim_user: DataFrame, fact: DataFrame) -> DataFrame:
     """Users with at least one row left in the fact."""
-    return dim_user.join(fact.select("user_key"), "user_key", "left_semi")
+    return dim_user.join(fact.select("user_key").distinct(), "user_key", "left_semi")
 
 
 def sample_sources(

@@ -255,7 +255,7 @@ _EXTENDED = " UNION ALL ".join(
         ),
     ]
     + [_check(f"{c}_not_all_null", f"CASE WHEN count({c}) > 0 THEN 0 ELSE 1 END", "failing") for c in _NULLABLE]
-    + [_check(f"{c}_positive", f"count(*) FILTER ({c} < 0)", "failing") for c in ("user_key", "product_key")]
+    + [_check(f"{c}_positive", f"count(*) FILTER ({c} <= 0)", "failing") for c in ("user_key", "product_key")]
 )
 
 ORACLES = {

@@ -40,14 +40,14 @@ prior_full AS (
   FROM prior_items i JOIN src_products p ON p.product_id = i.product_id)
 """
 
-_FOLDED_PRODUCTS = """SELECT p_partkey % 100 AS product_id,
+_FOLDED_PRODUCTS = """SELECT p_partkey % 100 + 1 AS product_id,
          min_by(concat(p_name, ' #', p_partkey), p_partkey) AS product_name,
          min_by(p_name, p_partkey) AS aisle, min_by(p_brand, p_partkey) AS department
-  FROM part GROUP BY p_partkey % 100"""
+  FROM part GROUP BY p_partkey % 100 + 1"""
 _ALL_PRODUCTS = """SELECT p_partkey AS product_id, concat(p_name, ' #', p_partkey) AS product_name,
          p_name AS aisle, p_brand AS department FROM part"""
 
-SOURCES = _SOURCES.format(product="l_partkey % 100", products=_FOLDED_PRODUCTS)
+SOURCES = _SOURCES.format(product="l_partkey % 100 + 1", products=_FOLDED_PRODUCTS)
 SOURCES_FULL = _SOURCES.format(product="l_partkey", products=_ALL_PRODUCTS)
 
 STAR = """

@@ -336,7 +336,7 @@ ORACLES = {
         full=True,
     ),
     "co_purchase_pairs": with_sources(
-        """, f AS (SELECT order_id, product_id FROM prior_full WHERE add_to_cart_order <= 10),
+        """, f AS (SELECT DISTINCT order_id, product_id FROM prior_full),
         t AS (SELECT a.product_id AS product_a, b.product_id AS product_b, count(*) AS together
               FROM f a JOIN f b ON a.order_id = b.order_id AND a.product_id < b.product_id GROUP BY ALL
               ORDER BY together DESC, product_a, product_b LIMIT 15)

@@ -97,20 +97,24 @@ ORACLES = {
     ),
     "v2_eval_distribution": with_star("SELECT get_eval, count(*) AS rows FROM fact GROUP BY get_eval"),
     "v3_eligible_users": with_star(
-        "SELECT count(*) AS eligible_users FROM (SELECT user_key FROM prior GROUP BY user_key"
-        " HAVING count(DISTINCT order_key) >= 5)"
+        """, visits AS (SELECT DISTINCT user_key, order_key FROM prior),
+        ranked AS (SELECT user_key, row_number() OVER (PARTITION BY user_key ORDER BY order_key) AS nth FROM visits)
+        SELECT count(*) FILTER (nth = 5) AS eligible_users FROM ranked"""
     ),
     "v4_eligible_products": with_star(
         "SELECT count(*) AS eligible_products FROM (SELECT product_key FROM fact GROUP BY product_key HAVING count(*) >= 50)"
     ),
     "v5_eligible_rows": with_star(
-        "SELECT count(*) AS eligible_rows FROM fact WHERE user_key IN (SELECT user_key FROM prior GROUP BY user_key"
-        " HAVING count(DISTINCT order_key) >= 5) AND product_key IN (SELECT product_key FROM fact GROUP BY product_key"
-        " HAVING count(*) >= 50)"
+        """, cells AS (SELECT user_key, product_key, count(*) AS n FROM fact GROUP BY ALL),
+        loyal AS (SELECT user_key, len(list_distinct(list(order_key))) AS visits FROM prior GROUP BY user_key),
+        sold AS (SELECT product_key, sum(n) AS bought FROM cells GROUP BY product_key)
+        SELECT CAST(coalesce(sum(n), 0) AS BIGINT) AS eligible_rows
+        FROM cells JOIN loyal USING (user_key) JOIN sold USING (product_key) WHERE visits > 4 AND bought > 49"""
     ),
     "v6_null_days": with_star(
-        "SELECT count(*) AS total_rows, count(*) FILTER (days_since_prior_order IS NULL) AS null_rows,"
-        " round(count(*) FILTER (days_since_prior_order IS NULL) * 100.0::DOUBLE / count(*), 2) AS null_pct FROM fact"
+        """, gaps AS (SELECT days_since_prior_order IS NULL AS open, count(*) AS n FROM fact GROUP BY ALL)
+        SELECT CAST(sum(n) AS BIGINT) AS total_rows, CAST(sum(n * open::INTEGER) AS BIGINT) AS null_rows,
+               round(100.0::DOUBLE * sum(n * open::INTEGER) / sum(n), 2) AS null_pct FROM gaps"""
     ),
     "v7_orphans": with_star(
         """SELECT 'fact' AS source, 'user' AS dimension, count(*) AS orphans FROM fact
@@ -123,10 +127,15 @@ ORACLES = {
              WHERE product_id NOT IN (SELECT product_key FROM dim_product)"""
     ),
     "v8_summary": with_star(
-        "SELECT (SELECT count(*) FROM dim_user) AS users_loaded, (SELECT count(*) FROM dim_product) AS products_loaded,"
-        " (SELECT count(*) FROM fact) AS facts_loaded, (SELECT count(DISTINCT order_key) FROM fact) AS distinct_orders,"
-        " (SELECT count(DISTINCT user_key) FROM prior) AS users_with_prior,"
-        " (SELECT count(DISTINCT user_key) FROM train) AS users_with_train"
+        """, carts AS (SELECT user_key, order_key, count(*) AS n, bool_or(get_eval = 'prior') AS before,
+                              bool_or(get_eval = 'train') AS learn FROM fact GROUP BY ALL),
+        people AS (SELECT user_key, sum(n) AS n, count(*) AS orders, bool_or(before) AS before, bool_or(learn) AS learn
+                   FROM carts GROUP BY user_key)
+        SELECT u.users_loaded, p.products_loaded, CAST(sum(n) AS BIGINT) AS facts_loaded,
+               CAST(sum(orders) AS BIGINT) AS distinct_orders, count(*) FILTER (before) AS users_with_prior,
+               count(*) FILTER (learn) AS users_with_train
+        FROM people, (SELECT count(*) AS users_loaded FROM dim_user) u,
+             (SELECT count(*) AS products_loaded FROM dim_product) p GROUP BY ALL"""
     ),
     "users_prior_and_train": with_star(
         "SELECT count(*) AS users_in_both FROM (SELECT user_key FROM prior INTERSECT SELECT user_key FROM train)"
@@ -137,20 +146,29 @@ ORACLES = {
              (SELECT count(*) FROM fact) AS facts, (SELECT count(*) FROM fact WHERE get_eval = 'test') AS test_rows,
              (SELECT count(*) FROM (SELECT user_key FROM prior INTERSECT SELECT user_key FROM train)) AS both_sets,
              (SELECT count(DISTINCT order_key) FROM fact) AS orders,
+             (SELECT count(*) FROM fact ANTI JOIN dim_user USING (user_key)) AS lost_users,
+             (SELECT count(*) FROM fact ANTI JOIN dim_product USING (product_key)) AS lost_products,
              (SELECT count(*) FROM src_orders WHERE eval_set <> 'test'
-                AND user_id IN (SELECT user_key FROM dim_user)) AS expected_orders)
-        SELECT 'users' AS "check", true AS passed, users AS observed FROM seen
-        UNION ALL SELECT 'products', true, products FROM seen
-        UNION ALL SELECT 'facts', true, facts FROM seen
+                AND user_id IN (SELECT user_key FROM dim_user)) AS expected_orders),
+        good_users AS (SELECT user_id, count(*) FILTER (eval_set = 'prior') AS before,
+                              count(*) FILTER (eval_set = 'train') AS learn FROM src_orders GROUP BY user_id
+                       HAVING before >= 5 AND learn >= 1),
+        good_products AS (SELECT product_id FROM src_items WHERE eval_set = 'prior' GROUP BY product_id HAVING count(*) >= 50),
+        due AS (SELECT (SELECT count(*) FROM good_users) AS users, (SELECT count(*) FROM good_products) AS products,
+                       (SELECT count(*) FROM src_items SEMI JOIN good_users USING (user_id)
+                          SEMI JOIN good_products USING (product_id) WHERE eval_set <> 'test') AS facts)
+        SELECT 'users' AS "check", seen.users = due.users AS passed, seen.users AS observed FROM seen, due
+        UNION ALL SELECT 'products', seen.products = due.products, seen.products FROM seen, due
+        UNION ALL SELECT 'facts', seen.facts = due.facts, seen.facts FROM seen, due
         UNION ALL SELECT 'test_rows', test_rows = 0, test_rows FROM seen
-        UNION ALL SELECT 'orphan_users', true, 0 FROM seen
-        UNION ALL SELECT 'orphan_products', true, 0 FROM seen
+        UNION ALL SELECT 'orphan_users', lost_users = 0, lost_users FROM seen
+        UNION ALL SELECT 'orphan_products', lost_products = 0, lost_products FROM seen
         UNION ALL SELECT 'users_in_both', both_sets >= users * 0.95, both_sets FROM seen
         UNION ALL SELECT 'orders', abs(orders - expected_orders) < 100, orders FROM seen"""
     ),
     "duplicate_pairs": with_sources(
-        "SELECT eval_set, CAST(sum(n - 1) AS BIGINT) AS duplicates FROM (SELECT eval_set, order_id, product_id,"
-        " count(*) AS n FROM src_items GROUP BY ALL) GROUP BY eval_set"
+        "SELECT eval_set, CAST(sum(n - 1) AS BIGINT) AS duplicates FROM (SELECT eval_set, l_orderkey, l_partkey,"
+        " count(*) AS n FROM lineitem JOIN src_orders ON order_id = l_orderkey GROUP BY ALL) GROUP BY eval_set"
     ),
     "order_stats": with_sources(
         "SELECT count(*) AS orders, round(avg(days_since_prior_order), 6) AS avg_days,"
