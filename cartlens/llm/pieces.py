@@ -10,11 +10,10 @@ from __future__ import annotations
 
 import json
 import os
-
-import numpy as np
+from array import array
 
 #: Entries of the per-worker memory of encoded pieces; beyond it the memory starts afresh.
-REMEMBERED = 400_000
+REMEMBERED = 1_500_000
 #: Longer pieces are encoded but not remembered.
 LONG_PIECE = 64
 #: Pieces given to the library in one call.
@@ -47,7 +46,10 @@ class PieceEncoder:
         from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as file:
-            self.splits = safe(json.load(file))
+            settings = json.load(file)
+        self.splits = safe(settings)
+        self.lowers = "Lowercase" in json.dumps(settings.get("normalizer"))
+        self.special = [t["content"].encode().lower() for t in settings.get("added_tokens", [])]
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
@@ -55,7 +57,19 @@ class PieceEncoder:
 
     def _call(self, pieces: list[bytes]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast([p.decode("utf-8") for p in pieces], add_special_tokens=False)
-        return [np.asarray(e.ids, dtype="<u4").tobytes() for e in found]
+        return [array("I", e.ids).tobytes() for e in found]
+
+    def _cut(self, text: bytes) -> list[bytes]:
+        """Pieces of a text; a tokenizer that lower-cases gets ASCII letters lower-cased, so more pieces are equal.
+
+        Not where a special string may stand, nor beside combining marks (U+0300 to U+037F), which
+        compose with some small letters but not with their capitals.
+        """
+        if self.lowers and b"\xcc" not in text and b"\xcd" not in text:
+            small = text.lower()
+            if not any(s in small for s in self.special):
+                return small.split()
+        return text.split()
 
     def encode(self, texts: list[bytes]) -> list[bytes]:
         """Packed ids of each UTF-8 text."""
@@ -63,7 +77,7 @@ class PieceEncoder:
             return self._call(texts)
         if len(self.known) > REMEMBERED:
             self.known = {}
-        cut = [t.split() for t in texts]
+        cut = [self._cut(t) for t in texts]
         known, extra = self.known, {}
         new = list(set().union(*cut).difference(known))
         for i in range(0, len(new), CALL):
