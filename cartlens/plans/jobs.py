@@ -160,6 +160,50 @@ def publish_model(trained: Trained, record: DataFrame, root: str, run: str | Non
     return run
 
 
+@dataclass(frozen=True)
+class Published:
+    """What scoring needs of a published model."""
+
+    model: GBTClassificationModel
+    clusters: tuple[cluster.ClusterModel, cluster.ClusterModel]
+    medians: DataFrame
+
+
+def load_model(spark: SparkSession, root: str) -> Published:
+    """The model that the ``latest`` pointer names; without one ``FileNotFoundError``."""
+    latest = f"{root}/models/latest.json"
+    if not tables.path_exists(spark, latest):
+        raise FileNotFoundError(latest)
+    folder = f"{root}/models/{spark.read.json(latest).first()['run']}"
+    clusters = tuple(
+        cluster.ClusterModel.load(spark, f"{folder}/{key.replace('_key', '_cluster')}", key, names)
+        for key, names in (("user_key", USER_CLUSTER_FEATURES), ("product_key", PRODUCT_CLUSTER_FEATURES))
+    )
+    return Published(GBTClassificationModel.load(f"{folder}/model"), clusters, spark.read.parquet(f"{folder}/medians"))
+
+
+def recommend_job(
+    requests: DataFrame,
+    history: DataFrame,
+    dim_user: DataFrame,
+    dim_product: DataFrame,
+    root: str,
+    k: int = recommend.TOP_K,
+    stage: Stage = unstaged,
+) -> DataFrame:
+    """Recommendations of the requested users with the published model.
+
+    Users with enough history are scored by the model, those with less get their own or the global
+    favourites, and failures are rows with an error text.
+    """
+    published = load_model(requests.sparkSession, root)
+    prior = recommend.coerce_history(history)
+    routed = stage("routed", recommend.routes(requests, prior, dim_user))
+    scoring = stage("scoring", recommend.scoring_matrix(routed, prior, dim_product, stage=stage))
+    scored = stage("scored", score_requests(scoring, published))
+    return recommend.batch(routed, prior, dim_product, scored, k)
+
+
 def training_job(
     fact: DataFrame, dim_product: DataFrame, root: str, config: TrainingConfig, stage: Stage = unstaged
 ) -> DataFrame:
@@ -196,7 +240,7 @@ def ensure_checkpoints(spark: SparkSession, root: str) -> None:
         context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or f"{root}/checkpoints")
 
 
-def score_requests(scoring: DataFrame, trained: Trained) -> DataFrame:
+def score_requests(scoring: DataFrame, trained: Trained | Published) -> DataFrame:
     """Model scores of a scoring matrix: clusters, imputation, contract check, prediction."""
     assigned = scoring
     for model in trained.clusters:

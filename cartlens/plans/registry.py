@@ -576,11 +576,10 @@ QUALITY = {
 }
 
 
-# Small boosting settings: these queries show the training path, not a tuned model.
-TRAINING = jobs.TrainingConfig(
-    params=train.TreeParams(max_iter=10, step_size=0.1, max_depth=5), restarts=3
-)
+# Fewer trees than the defaults, so that the registered training queries end in minutes on one machine.
+TRAINING = jobs.TrainingConfig(params=train.TreeParams(max_iter=30, step_size=0.1, max_depth=5, patience=10))
 SEARCH_TRIALS = 2
+SEARCH_TREES, SEARCH_DEPTHS = (5, 20), (3, 7)
 _TRAINED: dict[str, jobs.Trained] = {}
 _TRAINED_LOCK = threading.Lock()
 
@@ -616,7 +615,7 @@ def _assigned(ws: Workspace) -> DataFrame:
 def _tuned(ws: Workspace) -> DataFrame:
     trained = _trained(ws)
     vectors, largest = train.vectorise(ws.written("model_frame", lambda: trained.prepared))
-    _, trials = train.search(vectors, trained.weight, largest, SEARCH_TRIALS, TRAINING.params)
+    _, trials = train.search(vectors, trained.weight, largest, SEARCH_TRIALS, TRAINING.params, trees=SEARCH_TREES, depth=SEARCH_DEPTHS)
     return trials
 
 
@@ -640,6 +639,18 @@ def _model_batch(ws: Workspace) -> DataFrame:
     return recommend.scored_top(jobs.score_requests(scoring, _trained(ws)))
 
 
+def _published_batch(ws: Workspace) -> DataFrame:
+    """Users and rows of each outcome of a batch scored with a model that was published and read back."""
+    root = f"{ws.path}/published_model"
+    trained = _trained(ws)
+    jobs.publish_model(trained, ws.stage("model_record", trained.record), root)
+    flat = jobs.recommend_job(
+        _requests(ws), _rec_history(ws), _known_users(ws), ws.dim_product, root, stage=ws.stage_under("published_batch")
+    )
+    outcome = flat.groupBy("cold_start", F.coalesce("error", F.lit("")).alias("error"), "user_key").agg(F.count("*").alias("n"))
+    return outcome.groupBy("cold_start", "error").agg(F.count("*").alias("users"), F.sum("n").alias("rows"))
+
+
 def _flat_record(ws: Workspace) -> DataFrame:
     return ws.stage("model_record", _trained(ws).record).select(
         "model_name", "n_features", "scale_pos_weight", "metrics_test.*", F.size("importance_top10").alias("top")
@@ -671,6 +682,7 @@ MODELS = {
     "model_log": _flat_record,
     "model_kpis": _kpis,
     "rec_model_topk": _model_batch,
+    "rec_model_batch": _published_batch,
     "snapshot_job": lambda ws: jobs.snapshot_job(
         ws.fact, ws.dim_product, f"{ws.path}/snapshots", stage=ws.stage_under("snapshot_job")
     ),

@@ -258,6 +258,18 @@ _EXTENDED = " UNION ALL ".join(
     + [_check(f"{c}_positive", f"count(*) FILTER ({c} <= 0)", "failing") for c in ("user_key", "product_key")]
 )
 
+_BATCH = """, found AS (
+  SELECT user_key, rank, product_key, probability, false AS cold_start FROM rule_top
+  UNION ALL SELECT user_key, rank, product_key, probability, true FROM personal
+  UNION ALL SELECT r.user_key, g.rank, g.product_key, g.probability, true
+    FROM routed r, global_top g WHERE r.route = 'global')
+SELECT f.user_key, f.rank, f.product_key, round(f.probability, 6) AS probability,
+       coalesce(d.product_name, '') AS product_name, f.cold_start, '' AS error
+FROM found f LEFT JOIN dim_product d USING (product_key)
+UNION ALL SELECT user_key, 0, -1, 0.0, '', false, 'no prior history' FROM routed WHERE route = 'error'
+UNION ALL SELECT user_key, 0, -1, 0.0, '', false, 'no product with enough purchases' FROM routed
+  WHERE route = 'model' AND user_key NOT IN (SELECT user_key FROM scoring)"""
+
 ORACLES = {
     "validate_nulls": with_features(
         " UNION ALL ".join(
@@ -360,19 +372,11 @@ ORACLES = {
     "rec_rule_topk": with_features(
         REC + "SELECT user_key, rank, product_key, round(probability, 6) AS probability FROM rule_top"
     ),
-    "rec_batch": with_features(
+    "rec_batch": with_features(REC + _BATCH),
+    "rec_model_batch": with_features(
         REC
-        + """, found AS (
-          SELECT user_key, rank, product_key, probability, false AS cold_start FROM rule_top
-          UNION ALL SELECT user_key, rank, product_key, probability, true FROM personal
-          UNION ALL SELECT r.user_key, g.rank, g.product_key, g.probability, true
-            FROM routed r, global_top g WHERE r.route = 'global')
-        SELECT f.user_key, f.rank, f.product_key, round(f.probability, 6) AS probability,
-               coalesce(d.product_name, '') AS product_name, f.cold_start, '' AS error
-        FROM found f LEFT JOIN dim_product d USING (product_key)
-        UNION ALL SELECT user_key, 0, -1, 0.0, '', false, 'no prior history' FROM routed WHERE route = 'error'
-        UNION ALL SELECT user_key, 0, -1, 0.0, '', false, 'no product with enough purchases' FROM routed
-          WHERE route = 'model' AND user_key NOT IN (SELECT user_key FROM scoring)"""
+        + _BATCH.replace("SELECT f.user_key, f.rank", ", flat AS (SELECT f.user_key, f.rank", 1)
+        + ") SELECT cold_start, error, count(DISTINCT user_key) AS users, count(*) AS rows FROM flat GROUP BY ALL"
     ),
     "fe_preprocess": with_features(
         SPLIT
