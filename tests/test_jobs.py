@@ -140,3 +140,110 @@ def test_workspace_follows_the_configured_folder(folder):
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     done = subprocess.run([sys.executable, "-c", script], cwd=root, capture_output=True, text=True, timeout=120)
     assert done.stdout.strip().startswith(folder), done.stderr[-500:]
+
+
+def separable(spark, rows=1_500):
+    """Rows whose label follows from two features, with small gains per tree."""
+    from pyspark.ml.feature import VectorAssembler
+
+    split = F.when(F.col("id") % 10 < 7, "train").when(F.col("id") % 10 < 9, "val").otherwise("test")
+    frame = spark.range(rows).select(
+        ((F.col("id") * 37) % 101 / 101).alias("a"), ((F.col("id") * 53) % 97 / 97).alias("b"), split.alias("split")
+    )
+    labelled = frame.withColumn("label", (F.sin(F.col("a") * 9) + F.cos(F.col("b") * 7) > 0.2).cast("int"))
+    return VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(labelled)
+
+
+def test_boosting_does_not_end_at_a_small_gain(spark):
+    params = train.TreeParams(max_iter=12, step_size=0.05, max_depth=3, min_instances=1, patience=5)
+    rows = separable(spark)
+    model = train.fit_trees(rows, 1.0, params, 0)
+    assert model.getNumTrees > 5
+    from cartlens.operators import metrics
+
+    assert metrics.evaluate(train.score(model, rows.where("split = 'test'"))).first().auc > 0.9
+
+
+def test_cut_model_scores_like_its_first_trees(spark):
+    rows = separable(spark, 400)
+    long = train.TreeParams(max_iter=6, step_size=0.1, max_depth=2, min_instances=1)
+    short = train.TreeParams(max_iter=2, step_size=0.1, max_depth=2, min_instances=1)
+    only_train = rows.where("split = 'train'")  # without validation rows nothing is cut
+    cut = train.first_trees(train.fit_trees(only_train, 1.0, long, 0), 2)
+    assert cut.getNumTrees == 2 and cut.numFeatures == 2
+    whole = train.fit_trees(only_train, 1.0, short, 0)
+    one, two = ([r.score for r in train.score(m, rows).select("score").collect()] for m in (cut, whole))
+    assert one == pytest.approx(two)
+
+
+def test_best_iteration_waits():
+    assert train.best_iteration([3.0, 2.0, 2.5, 2.4, 1.0], patience=5) == 5
+    assert train.best_iteration([3.0, 2.0, 2.5, 2.4, 1.0], patience=2) == 2
+    assert train.best_iteration([1.0], patience=1) == 1
+
+
+def test_a_gap_without_any_value_is_filled(spark):
+    rows = spark.createDataFrame(
+        [(1.0, None, None, None)],
+        "up_days_since_last double, up_avg_days_between_orders double, up_delta_days double, user_days_since_last_order double",
+    )
+    from cartlens.schemas import NULLABLE_COLUMNS
+
+    rows = rows.withColumns({c: F.lit(None).cast("double") for c in NULLABLE_COLUMNS if c not in rows.columns})
+    filled = train.preprocess(rows, train.medians(rows)).first()
+    assert filled.up_avg_days_between_orders == 0.0 and filled.up_delta_days == 1.0
+    assert filled.up_avg_days_between_orders_missing == 1
+
+
+def test_a_published_model_scores_the_same_in_a_new_session(spark, run, star):
+    root, _, trained, stage = run
+    from cartlens.operators import recommend
+
+    jobs.publish_model(trained, stage("record2", trained.record), root)
+    fact, dim = star
+    prior = fact.where("get_eval = 'prior'")
+    users = fact.select("user_key").distinct()
+    routed = recommend.routes(users, prior, users)
+    scoring = stage("scoring", recommend.scoring_matrix(routed, prior, dim, 1))
+    loaded = jobs.load_model(spark.newSession(), root)
+    keys = ["user_key", "product_key"]
+    one, two = (
+        sorted(map(tuple, jobs.score_requests(scoring, m).select(*keys, "score").collect())) for m in (trained, loaded)
+    )
+    assert one == two and len(one) > 0
+    text = prior.withColumn("days_since_prior_order", F.col("days_since_prior_order").cast("string"))
+    flat = jobs.recommend_job(users, text, users, dim, root, stage=lambda n, f: stage(f"job_{n}", f))
+    assert flat.where("error is null").select("user_key").distinct().count() > 0
+    with pytest.raises(FileNotFoundError):
+        jobs.load_model(spark, f"{root}/nowhere")
+
+
+def test_a_failing_file_system_is_an_error(spark):
+    from py4j.protocol import Py4JJavaError
+
+    from cartlens.sources import tables
+
+    with pytest.raises(Py4JJavaError):
+        tables.path_exists(spark, "nosuchscheme://host/path")
+
+
+def test_a_failed_publication_keeps_the_old_snapshot(spark, folder):
+    from cartlens.sources import sinks
+
+    path = sinks.publish(spark.range(3), folder, "actual")
+    broken = spark.range(1).select(F.raise_error(F.lit("stop")).alias("id"))
+    with pytest.raises(Exception, match="stop"):
+        sinks.publish(broken, folder, "actual")
+    assert spark.read.parquet(path).count() == 3
+    sinks.publish(spark.range(5), folder, "actual")
+    assert spark.read.parquet(path).count() == 5
+
+
+def test_two_threads_open_one_workspace(spark):
+    from concurrent.futures import ThreadPoolExecutor
+
+    from cartlens.plans.workspace import Workspace
+
+    with ThreadPoolExecutor(8) as pool:
+        opened = list(pool.map(lambda _: Workspace.open(spark, "/tmp/none"), range(32)))
+    assert len({id(w) for w in opened}) == 1

@@ -104,3 +104,31 @@ def test_scaling_uses_population_deviation_and_median_fill(spark):
 def test_compare_models_marks_one_best(spark):
     rows = spark.createDataFrame([("b", 0.5), ("a", 0.5), ("c", 0.1)], "model string, f1 double")
     assert {r.model: r.best for r in metrics.compare_models(rows).collect()} == {"a": True, "b": False, "c": False}
+
+
+def test_split_borders_place_every_user_as_assigned(spark):
+    df = spark.range(1, 301).select(F.col("id").alias("user_key"), F.explode(F.array(F.lit(1), F.lit(2))).alias("product_key"))
+    for n in (1, 2, 3, 7, 300):
+        some = df.where(F.col("user_key") <= n)
+        users = split.split_users(some)
+        want = {(r.user_key, r.split) for r in users.collect()}
+        assert {(r.user_key, r.split) for r in split.with_split(some, users).collect()} == want
+
+
+def test_pairs_of_a_large_basket_come_from_blocks(spark):
+    from collections import Counter
+    from itertools import combinations
+
+    from cartlens.operators import eda
+
+    baskets = {1: list(range(40)), 2: [1, 2, 3], 3: [5], 4: [3, 2]}
+    lines = spark.createDataFrame([(o, p) for o, ps in baskets.items() for p in ps], "order_id long, product_id long")
+    want = Counter(pair for ps in baskets.values() for pair in combinations(sorted(ps), 2))
+    for block in (3, 512):
+        found = {(r.product_a, r.product_b): r.together for r in eda.pairs_in_baskets(lines, block).collect()}
+        assert found == want
+    names = spark.createDataFrame([(p, f"p{p}") for p in range(40)], "product_id long, product_name string")
+    ranked = sorted(want.items(), key=lambda x: (-x[1], x[0]))[:15]
+    for frequent in (2, 10, 100):
+        top = eda.co_purchases(lines, names, frequent=frequent, block=7).collect()
+        assert sorted(((r.product_a, r.product_b), r.together) for r in top) == sorted(ranked)

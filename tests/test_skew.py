@@ -63,7 +63,20 @@ def test_per_user_ranking_prunes_before_the_shuffle(skewed):
     assert "WindowGroupLimit" in plan and "Partial" in plan
 
 
-HOT_QUERIES = ["etl_fact", "fe_feature_matrix", "drift_by_feature", "ndcg_at_10", "rec_batch", "lorenz_curve"]
+HOT_QUERIES = [
+    "etl_fact",
+    "fe_feature_matrix",
+    "drift_by_feature",
+    "ndcg_at_10",
+    "rec_batch",
+    "lorenz_curve",
+    "catalog_coverage",
+    "users_prior_and_train",
+    "date_range_dim_user",
+    "split_sizes",
+    "risk_temporal_leakage",
+    "co_purchase_pairs",
+]
 
 
 @pytest.fixture(scope="module")
