@@ -222,14 +222,15 @@ class Mix:
     def taken(self) -> DataFrame:
         """``_row`` and the words the mix takes of it, repeats counted; rows of which none are taken are left out."""
         times = self.output_slots().groupBy("_s", "_block").agg(F.count("*").alias("_times"))
-        joined = self.pieces().join(times, ["_s", "_block"])
+        # the planner takes a few shard numbers for the size of the slots, so broadcasting is ruled out
+        joined = self.pieces().join(times.hint("merge"), ["_s", "_block"])
         return joined.groupBy("_row").agg(F.sum((F.col("_to") - F.col("_from")) * F.col("_times")).alias("_taken"))
 
 
 def mixture(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
     """One row per document: id, ``size``, ``source_size``, ``target`` (of its source), ``taken``."""
     mix = Mix(docs, id_col, text_col, source_col)
-    return mix.placed.join(mix.taken(), "_row", "left").select(
+    return mix.placed.join(mix.taken().hint("merge"), "_row", "left").select(
         F.col("_id").alias(id_col),
         F.col("_size").alias("size"),
         F.col("_source_size").alias("source_size"),
@@ -257,11 +258,11 @@ def mixed_documents(
     )
     mix = Mix(packed, "id", "text", "source", words_only=False)
     cut = (
-        mix.output_slots().join(mix.pieces(), ["_s", "_block"])
+        mix.pieces().join(mix.output_slots().hint("merge"), ["_s", "_block"])
         .groupBy("_row", "epoch")
         .agg(F.array_sort(F.collect_list(F.struct("_from", "_to"))).alias("_parts"))
     )
-    joined = mix.docs.join(cut, "_row").select("rest", "text", "_parts", "_size")
+    joined = mix.docs.join(cut.hint("merge"), "_row").select("rest", "text", "_parts", "_size")
     schema = fields(joined, ["rest", "text"], [])
 
     def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
