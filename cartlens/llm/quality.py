@@ -128,11 +128,13 @@ def counted(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Distinct buckets of a text and their shares of its features."""
     found, _ = features([text])
     bucket, count = np.unique(np.concatenate([b for _, b in found] or [np.zeros(0, np.int64)]), return_counts=True)
-    return bucket, (count / max(count.sum(), 1)).astype(np.float32)
+    return bucket.astype(np.int32), (count / max(count.sum(), 1)).astype(np.float32)
 
 
-def fit(texts: list[bytes], labels: list[int], epochs: int = EPOCHS, rate: float = RATE, seed: int = SEED) -> Model:
-    """Train on labelled texts; the order of the rows does not matter if they come sorted."""
+def fit(
+    rows: list[tuple[np.ndarray, np.ndarray]], labels: list[int], epochs: int = EPOCHS, rate: float = RATE, seed: int = SEED
+) -> Model:
+    """Train on labelled texts given by their buckets and shares; rows in a fixed order give a fixed model."""
     share = float(np.mean(labels)) if labels else 0.5
     if not labels or not 0 < share < 1:
         odds = np.clip(share, 1e-6, 1 - 1e-6)
@@ -141,7 +143,6 @@ def fit(texts: list[bytes], labels: list[int], epochs: int = EPOCHS, rate: float
     vectors = rng.uniform(-1, 1, (BUCKETS, DIMENSIONS)).astype(np.float32) / DIMENSIONS
     layer = rng.uniform(-1, 1, (2, DIMENSIONS)).astype(np.float32) / DIMENSIONS
     bias = np.log(np.asarray([1 - share, share], np.float32))
-    rows = [counted(t) for t in texts]
     steps, step = epochs * len(rows), 0
     for _ in range(epochs):
         for i in rng.permutation(len(rows)).tolist():
@@ -169,16 +170,36 @@ def fold(id_col: Column) -> Column:
 def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id", text_col: str = "text") -> Model:
     """Fit a model on at most SAMPLE labelled rows outside the held-out fold.
 
-    The rows come to the driver, where one process trains on them: SAMPLE bounds them whatever the
-    size of the tables. They are picked by the hash of their id before any text is read.
+    Rows are picked by the hash of their id before any text is read. Their features are counted by Spark
+    tasks, and the driver, which trains, gets no texts: at most SAMPLE rows of at most BUCKETS features.
     """
+    ship(docs.sparkSession)
     known = labels.where(F.col(label_col).isin(0, 1) & (fold(F.col(id_col)) != 0))
     known = known.groupBy(id_col).agg(F.max(label_col).cast("int").alias("_label"))
     picked = known.orderBy(F.xxhash64(id_col), id_col).limit(SAMPLE)
     # bounded: SAMPLE ids
-    rows = docs.select(id_col, text_col).join(F.broadcast(picked), id_col).select(text_col, "_label").toArrow()
-    pairs = sorted((t or "", y) for t, y in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist()))
-    return fit([t.encode("utf-8") for t, _ in pairs], [y for _, y in pairs])
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    rows = docs.select(id_col, text.alias("_text")).join(F.broadcast(picked), id_col)
+    rows = rows.select("_text", F.sha2("_text", 256).alias("_order"), "_label")
+
+    def features_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for run in byte_slices(batch, "_text", BATCH_BYTES):
+                found = [counted(t) for t in utf8(run, "_text")]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        run.column("_order"),
+                        run.column("_label"),
+                        pa.array([b for b, _ in found], pa.list_(pa.int32())),
+                        pa.array([w for _, w in found], pa.list_(pa.float32())),
+                    ],
+                    names=["_order", "_label", "_buckets", "_shares"],
+                )
+
+    counts = rows.mapInArrow(features_of, "_order string, _label int, _buckets array<int>, _shares array<float>").toArrow()
+    counts = counts.sort_by([("_order", "ascending"), ("_label", "ascending")])
+    sparse = [(b.values.to_numpy(), w.values.to_numpy()) for b, w in zip(counts["_buckets"], counts["_shares"])]
+    return fit(sparse, counts["_label"].to_pylist())
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", name: str = "score") -> DataFrame:

@@ -33,7 +33,7 @@ def test_held_out_labels_are_not_read(spark):
 
 
 def test_scores_do_not_depend_on_the_batch():
-    model = quality.fit([prose(i, 30).encode() for i in range(20)], [i % 2 for i in range(20)])
+    model = quality.fit([quality.counted(prose(i, 30).encode()) for i in range(20)], [i % 2 for i in range(20)])
     texts = [b"", b"one", prose(99, 500).encode(), b"  a  b ", b"", "é日本 x".encode()]
     together = model.scores(texts)
     assert np.allclose(together, [model.scores([t])[0] for t in texts])
