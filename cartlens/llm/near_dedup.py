@@ -7,13 +7,14 @@ million. Candidates are verified by the similarity of their shingle occurrences.
 
 Classes are the connected components of the links, found without all pairs of a bucket:
 
-1. In each bucket the member in the most and largest buckets is the hub, and every other member is a
-   candidate with it. Verified links give classes.
-2. Buckets that still hold several classes take as second hub the most central member of another class
-   than the first hub's, against the members of other classes.
-3. What remains are pairs of different classes in one bucket; all that could be similar by size
-   are verified. In the end no candidate pair of different classes is unverified, so the classes are
-   those that all pairs would give.
+1. The shingle occurrences that a member shares with no other bound its similarity to any: members
+   that cannot reach the threshold leave, and so do pairs that cannot.
+2. In each bucket the member with the smallest share of own occurrences is the hub, and every other
+   member is a candidate with it. Verified links give classes.
+3. What remains are pairs of different classes in one bucket. Two sets share at most the sum, over hash
+   classes of occurrences, of the smaller number that each could share; all pairs that this bound
+   allows are verified. In the end no candidate pair of different classes is undecided, so the
+   classes are those that all pairs would give.
 
 Bucket counts and hubs are grouped with map-side combine, and members are joined with them, which
 adaptive execution splits for a hot bucket. No bucket is collected.
@@ -38,6 +39,8 @@ from cartlens.llm.common import byte_slices, fields, fresh, ship, strings, writt
 
 BATCH_BYTES = 1 << 20
 SIMILARITY = 0.8
+#: Hash classes of shingle occurrences; counts by class bound what two sets can share.
+CLASSES = 64
 KEY = ["_k1", "_k2"]
 
 
@@ -80,12 +83,12 @@ def sketched(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 
 def shingle_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Written table of member key, ``_n`` and ``_codes`` (shingle occurrences) of the wanted documents."""
+    """Written table of member key, ``_n``, ``_codes`` (shingle occurrences) and their number by class, of the wanted documents."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     small = docs.select(F.col(id_col).alias("_id"), F.xxhash64(text).alias("_tie"), text.alias("_text"))
     named = wanted.select(F.col("_id").alias("_wid"), F.col("_tie").alias("_wtie"))
     chosen = small.join(named, F.col("_id").eqNullSafe(F.col("_wid")) & (F.col("_tie") == F.col("_wtie")), "left_semi")
-    kind = "_k1 long, _k2 long, _n int, _codes array<int>"
+    kind = "_k1 long, _k2 long, _n int, _codes array<int>, _classes array<int>"
 
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from cartlens.llm import dart_minhash
@@ -101,8 +104,14 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str)
                     pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), pa.array(np.concatenate(sets), pa.int32())
                 )
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(one, pa.int64()), pa.array(two, pa.int64()), pa.array(sizes, pa.int32()), lists],
-                    names=["_k1", "_k2", "_n", "_codes"],
+                    [
+                        pa.array(one, pa.int64()),
+                        pa.array(two, pa.int64()),
+                        pa.array(sizes, pa.int32()),
+                        lists,
+                        pa.array([np.bincount(s & (CLASSES - 1), minlength=CLASSES) for s in sets], pa.list_(pa.int32())),
+                    ],
+                    names=["_k1", "_k2", "_n", "_codes", "_classes"],
                 )
 
     sets = written(chosen.select("_text").mapInArrow(coded, kind), "sets")
@@ -123,12 +132,7 @@ def verified(pairs: DataFrame, sets: DataFrame, threshold: float = SIMILARITY) -
                     kept.append(i)
             yield pa.RecordBatch.from_arrays([batch.column(c).take(pa.array(kept, pa.int64())) for c in ("_a", "_b")], names=["_a", "_b"])
 
-    sized = sets.select("_m", "_n")
-    left = sized.select(F.col("_m").alias("_a"), F.col("_n").alias("_na"))
-    right = sized.select(F.col("_m").alias("_b"), F.col("_n").alias("_nb"))
-    fitting = (F.col("_na") >= threshold * F.col("_nb")) & (F.col("_nb") >= threshold * F.col("_na"))
-    possible = pairs.join(left, "_a").join(right, "_b").where(fitting).select("_a", "_b")
-    one = possible.join(sets.select(F.col("_m").alias("_a"), F.col("_codes").alias("_codes_a")), "_a")
+    one = pairs.join(sets.select(F.col("_m").alias("_a"), F.col("_codes").alias("_codes_a")), "_a")
     both = one.join(sets.select(F.col("_m").alias("_b"), F.col("_codes").alias("_codes_b")), "_b")
     return both.select("_a", "_b", "_codes_a", "_codes_b").mapInArrow(similar, "_a long, _b long")
 
@@ -164,40 +168,40 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
         "members",
     )
     spread = members.select("_m", F.explode("_bands").alias("_bucket"))
-    counts = spread.groupBy("_bucket").agg(F.count("*").alias("_size")).where("_size > 1")
-    placed = written(spread.join(counts, "_bucket"), "placed")
-    central = placed.groupBy("_m").agg(F.sum("_size").alias("_degree"))
-    placed = written(placed.join(central, "_m").select("_bucket", "_m", "_degree"), "buckets")
+    # written, so that adaptive execution can split a hot bucket in the join
+    shared = written(spread.groupBy("_bucket").agg(F.count("*").alias("_size")).where("_size > 1"), "shared")
+    placed = written(spread.join(shared, "_bucket"), "placed")
+    central = written(placed.groupBy("_m").agg(F.sum("_size").alias("_degree")), "central")
     wanted = members.join(central.select("_m"), "_m", "left_semi")
     found = shingle_sets(docs, wanted.select("_first.id", "_first.tie").toDF("_id", "_tie"), id_col, text_col)
-    sets = written(wanted.select(*KEY, "_m").join(found, KEY).select("_m", "_n", "_codes"), "member_sets")
+    sets = written(wanted.select(*KEY, "_m").join(found, KEY).select("_m", "_n", "_codes", "_classes"), "member_sets")
+    traits = written(linkable(sets, threshold).join(central, "_m"), "traits")
+    placed = written(placed.select("_bucket", "_m").join(traits.drop("_shareable"), "_m"), "linkable")
 
-    hubs = placed.groupBy("_bucket").agg(F.max(F.struct(*_rank())).alias("_hub"))
-    pairs = placed.join(hubs, "_bucket").select(F.col("_m").alias("_a"), (-F.col("_hub.m")).alias("_b"))
-    tried = written(_ordered(pairs), "pairs")
+    hubs = written(placed.groupBy("_bucket").agg(F.max(_rank()).alias("_hub")), "hubs")
+    pairs = placed.join(hubs, "_bucket").where(_possible(*(F.col(c) for c in ("_n", "_u", "_hub.n", "_hub.u")), threshold))
+    tried = written(_ordered(pairs.select(F.col("_m").alias("_a"), (-F.col("_hub.m")).alias("_b"))), "pairs")
     links = written(verified(tried, sets, threshold), "links")
     labels = components(links)
 
-    def labelled() -> DataFrame:
-        joined = placed.join(labels, "_m", "left").withColumn("_c", F.coalesce("_c", "_m"))
-        mixed = joined.groupBy("_bucket").agg(F.min("_c").alias("_low"), F.max("_c").alias("_high")).where("_low < _high")
-        return written(joined.join(mixed.select("_bucket"), "_bucket"), "mixed")
-
-    left = labelled()
-    hub = left.groupBy("_bucket").agg(F.max(F.struct(*_rank(), F.col("_c").alias("c"))).alias("_hub"))
-    others = left.join(hub, "_bucket").where(F.col("_c") != F.col("_hub.c"))
-    second = others.groupBy("_bucket").agg(F.max(F.struct(*_rank(), F.col("_c").alias("c"))).alias("_hub"))
-    pairs = left.join(second, "_bucket").where(F.col("_c") != F.col("_hub.c"))
-    pairs = _ordered(pairs.select(F.col("_m").alias("_a"), (-F.col("_hub.m")).alias("_b")))
-    links, tried, labels = _extended(pairs, tried, links, sets, labels, threshold)
-
-    left = labelled()
-    sized = written(left.join(sets.select("_m", "_n"), "_m"), "sized")
-    a = sized.select("_bucket", F.col("_m").alias("_a"), F.col("_c").alias("_ca"), F.col("_n").alias("_na"))
-    b = sized.select("_bucket", F.col("_m").alias("_b"), F.col("_c").alias("_cb"), F.col("_n").alias("_nb"))
-    fitting = (F.col("_na") >= threshold * F.col("_nb")) & (F.col("_nb") >= threshold * F.col("_na"))
-    pairs = _ordered(a.join(b, "_bucket").where((F.col("_ca") < F.col("_cb")) & fitting).select("_a", "_b"))
-    links, tried, labels = _extended(pairs, tried, links, sets, labels, threshold)
+    joined = written(placed.join(labels, "_m", "left").withColumn("_c", F.coalesce("_c", "_m")), "labelled")
+    several = joined.groupBy("_bucket").agg(F.min("_c").alias("_low"), F.max("_c").alias("_high")).where("_low < _high")
+    left = joined.join(written(several.select("_bucket"), "several"), "_bucket")
+    left = written(left.join(traits.select("_m", "_shareable"), "_m"), "mixed")
+    names = ("_m", "_c", "_n", "_u", "_shareable")
+    a, b = (left.select("_bucket", *[F.col(c).alias(f"{c}{side}") for c in names]) for side in ("a", "b"))
+    possible = _possible(*(F.col(c) for c in ("_na", "_ua", "_nb", "_ub")), threshold)
+    most = F.aggregate(
+        F.zip_with("_shareablea", "_shareableb", lambda x, y: F.least(x, y)), F.lit(0), lambda total, x: total + x
+    )
+    enough = most >= threshold * (F.col("_na") + F.col("_nb") - most) - 1e-9
+    across = a.join(b, "_bucket").where((F.col("_ca") < F.col("_cb")) & possible & enough)
+    pairs = _ordered(across.select(F.col("_ma").alias("_a"), F.col("_mb").alias("_b")))
+    new = written(pairs.join(tried, ["_a", "_b"], "left_anti"), "pairs")
+    if not new.isEmpty():
+        more = written(verified(new, sets, threshold), "links")
+        if not more.isEmpty():
+            labels = components(links.unionByName(more))
 
     whole = members.select(*KEY, "_m", "_first").join(labels, "_m", "left").withColumn("_c", F.coalesce("_c", "_m"))
     least = whole.groupBy("_c").agg(F.min("_first").alias("_class"))
@@ -205,9 +209,39 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
     return rows.select("_id", "_tie", *KEY).join(named, KEY).select("_id", "_tie", "_class")
 
 
-def _rank() -> list[Column]:
-    """Order of members as hubs: the most and largest buckets, then the smallest number."""
-    return [F.col("_degree").alias("degree"), (-F.col("_m")).alias("m")]
+def linkable(sets: DataFrame, threshold: float) -> DataFrame:
+    """Members that can be similar to another: ``_m``, ``_n``, ``_u`` and ``_shareable``.
+
+    ``_u`` counts the occurrences that no other member has, ``_shareable`` the others by class. A partner shares at most ``n - u`` occurrences, and the union has at least ``n``.
+    """
+    codes = sets.select("_m", F.explode("_codes").alias("_code"))
+    alone = codes.groupBy("_code").agg(F.count("*").alias("_times"), F.min("_m").alias("_m")).where("_times = 1")
+    place = F.col("_code").bitwiseAND(CLASSES - 1)
+    by_class = F.array(*[F.count_if(place == i).cast("int") for i in range(CLASSES)])
+    own = alone.groupBy("_m").agg(F.count("*").alias("_u"), by_class.alias("_own"))
+    joined = sets.select("_m", "_n", "_classes").join(own, "_m", "left")
+    shareable = F.when(F.col("_own").isNull(), F.col("_classes")).otherwise(
+        F.zip_with("_classes", "_own", lambda every, alone_: every - alone_)
+    )
+    known = joined.select("_m", "_n", F.coalesce("_u", F.lit(0)).alias("_u"), shareable.alias("_shareable"))
+    return known.where(F.col("_n") - F.col("_u") >= threshold * F.col("_n") - 1e-9)
+
+
+def _possible(n: Column, u: Column, m: Column, v: Column, threshold: float) -> Column:
+    """Whether sets of n and m occurrences, u and v of them shared with no other, can reach the threshold."""
+    most = F.least(n - u, m - v)
+    return most >= threshold * (n + m - most) - 1e-9
+
+
+def _rank() -> Column:
+    """Order of members as hubs: the smallest share of own occurrences, the most and largest buckets, the number."""
+    return F.struct(
+        (-F.col("_u") / F.col("_n")).alias("common"),
+        F.col("_degree").alias("degree"),
+        (-F.col("_m")).alias("m"),
+        F.col("_n").alias("n"),
+        F.col("_u").alias("u"),
+    )
 
 
 def _ordered(pairs: DataFrame) -> DataFrame:
@@ -215,24 +249,11 @@ def _ordered(pairs: DataFrame) -> DataFrame:
     return apart.select(F.least("_a", "_b").alias("_a"), F.greatest("_a", "_b").alias("_b")).distinct()
 
 
-def _extended(
-    pairs: DataFrame, tried: DataFrame, links: DataFrame, sets: DataFrame, labels: DataFrame, threshold: float
-) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Verify the pairs not tried yet; links, tried pairs and labels with what they add."""
-    new = written(pairs.join(tried, ["_a", "_b"], "left_anti"), "pairs")
-    if new.isEmpty():
-        return links, tried, labels
-    more = written(verified(new, sets, threshold), "links")
-    if not more.isEmpty():
-        links = links.unionByName(more)
-        labels = components(links)
-    return links, tried.unionByName(new), labels
-
-
 def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = SIMILARITY) -> DataFrame:
     """One row per document: id, ``class_id`` (the smallest id of its class), ``class_size``, ``kept``."""
     rows = written(classes(docs, id_col, text_col, threshold), "classes")
-    sizes = rows.groupBy("_class").agg(F.count("*").alias("class_size"))
+    # written, so that adaptive execution can split a hot class in the join
+    sizes = written(rows.groupBy("_class").agg(F.count("*").alias("class_size")), "sizes")
     return rows.join(sizes, "_class").select(
         F.col("_id").alias(id_col),
         F.col("_class.id").alias("class_id"),
