@@ -140,23 +140,38 @@ def verified(pairs: DataFrame, sets: DataFrame, threshold: float = SIMILARITY) -
 def components(edges: DataFrame) -> DataFrame:
     """Connected components: ``_m`` and ``_c``, the smallest member it is linked to.
 
-    Every round gives a vertex the smallest label among its neighbours and its label's own label
-    (pointer jumping), so rounds grow with the logarithm of a chain's length.
+    Every round points each vertex to its smallest neighbour if that is smaller, follows the pointers to
+    their roots (doubling), and contracts the edges to roots: edges inside a tree leave.
     """
-    both = written(edges.select("_a", "_b").unionByName(edges.select(F.col("_b").alias("_a"), F.col("_a").alias("_b"))).distinct(), "edges")
-    labels = written(both.groupBy("_a").agg(F.least(F.min("_b"), F.first("_a")).alias("_c")).withColumnRenamed("_a", "_m"), "labels")
+    edges = written(_ordered(edges), "edges")
+    both = edges.select("_a", "_b").unionByName(edges.select(F.col("_b").alias("_a"), F.col("_a").alias("_b")))
+    labels = written(_pointers(both).toDF("_m", "_c"), "labels")
+    roots = _rooted(labels.toDF("_x", "_root"))
+    labels = roots.toDF("_m", "_c")
     while True:
-        near = both.join(labels.withColumnRenamed("_m", "_b"), "_b").groupBy("_a").agg(F.min("_c").alias("_near"))
-        stepped = labels.join(near, labels["_m"] == near["_a"]).select("_m", F.col("_c").alias("_old"), F.least("_c", "_near").alias("_c"))
-        # a label that a vertex proposes to its old label's vertex moves whole trees at once
-        hooked = stepped.groupBy(F.col("_old").alias("_m")).agg(F.min("_c").alias("_hook"))
-        moved = stepped.join(hooked, "_m", "left").select("_m", "_old", F.least("_c", F.coalesce("_hook", "_c")).alias("_c"))
-        moved = written(moved, "moved")
-        parent = moved.select(F.col("_m").alias("_c"), F.col("_c").alias("_up"))
-        jumped = written(moved.join(parent, "_c").select("_m", "_old", F.col("_up").alias("_c")), "labels")
-        labels = jumped.select("_m", "_c")
-        if jumped.where(F.col("_c") != F.col("_old")).isEmpty():
+        left = edges.join(roots.toDF("_a", "_ra"), "_a", "left").join(roots.toDF("_b", "_rb"), "_b", "left")
+        moved = left.select(F.coalesce("_ra", "_a").alias("_a"), F.coalesce("_rb", "_b").alias("_b"))
+        edges = written(_ordered(moved), "edges")
+        if edges.isEmpty():
             return labels
+        both = edges.select("_a", "_b").unionByName(edges.select(F.col("_b").alias("_a"), F.col("_a").alias("_b")))
+        roots = _rooted(written(_pointers(both).toDF("_x", "_root"), "pointers"))
+        labels = labels.join(roots.toDF("_c", "_root"), "_c", "left").select("_m", F.coalesce("_root", "_c").alias("_c"))
+        labels = written(labels, "labels")
+
+
+def _pointers(both: DataFrame) -> DataFrame:
+    return both.groupBy("_a").agg(F.min("_b").alias("_near")).select("_a", F.least("_a", "_near").alias("_to"))
+
+
+def _rooted(pointers: DataFrame) -> DataFrame:
+    """Follow ``_x`` to ``_root`` until no pointer changes; pointers lead to smaller vertices, so they end."""
+    while True:
+        onward = pointers.toDF("_root", "_next")
+        step = written(pointers.join(onward, "_root").select("_x", F.col("_next").alias("_to"), "_root"), "pointers")
+        pointers = step.select("_x", F.col("_to").alias("_root"))
+        if step.where(F.col("_to") != F.col("_root")).isEmpty():
+            return pointers
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = SIMILARITY) -> DataFrame:
