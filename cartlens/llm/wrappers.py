@@ -6,7 +6,8 @@ that differs between pages becomes a slot, a run of like elements a repeated gro
 that only some pages have become optional groups. A page's texts are then read off by their slot.
 
 A slot belongs to the main text unless its place says otherwise: elements for menus, headers, footers,
-sidebars, forms, adverts, notices and comments (by tag, role, class or id) are left out; where pages
+sidebars, forms, adverts, notices and comments (by tag, role, or a whole class or id name) are left out,
+but not a generic container that holds the host's main elements or most of its varying text; where pages
 have an article or main element only its inside counts; elsewhere the densest variable region does;
 and a text that all pages of a host share beside varying ones is template text.
 
@@ -64,6 +65,21 @@ DROPPED_WORDS = set(
     "promo promotion reactions recommended recommendations related replies respond responses search share sharing "
     "sidebar signup skip social sponsor sponsored subscribe subscription teaser toolbar topbar widget".split()
 )
+#: Words that beside dropped words do not change what a class or id names ("site-footer"); of these, OWN do so for a header.
+OWN = set("article blog entry news post product story".split())
+PLACES = OWN | set(
+    "area bar block bottom box button buttons column container desktop facebook fixed floating global group icon icons inner "
+    "item items js left level link links list lists local main mobile outer page panel primary right secondary section site "
+    "sticky sub thread top user widgets wp wrap wrapper".split()
+)
+#: Names of comment lists, which are left out whatever they hold, and of lists beside the main text, which may hold articles.
+COMMENTS = set("comment comments commentlist disqus reactions replies respond responses".split())
+BESIDE = set(
+    "ad ads advert adverts advertisement advertising adsense breadcrumb breadcrumbs menu nav navbar navigation promo promotion "
+    "recommended recommendations related sidebar social sponsor sponsored teaser widget".split()
+)
+#: Marks of elements that hold no main text: always; a header; unless they hold most of it; unless they hold it or a main element.
+MARKS = "!^~?"
 MAIN_TAGS = {"article", "main"}
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
@@ -102,33 +118,45 @@ class Node:
         return node
 
 
+def _mark(words: list[str]) -> str:
+    """The mark of a class or id name: a name is one of an excluded kind as a whole, not by one of its words."""
+    words = [w for w in words if len(w) > 1]
+    dropped = DROPPED_WORDS.intersection(words)
+    if not dropped or not (DROPPED_WORDS | PLACES).issuperset(words) or dropped == {"header"} and not OWN.isdisjoint(words):
+        return ""
+    return "!" if dropped & COMMENTS else "~" if dropped & BESIDE else "?"
+
+
 def _label(tag: str, attributes: str) -> str:
-    """Tag and the words of class, id and role; "!" marks an element that never holds main text."""
-    dropped, words = tag in DROPPED_TAGS, []
+    """Tag and the words of class, id and role, after a mark if the element is of a kind that holds no main text."""
+    marks, words = {"^" if tag == "header" else "?" if tag == "form" else "!"} if tag in DROPPED_TAGS else set(), []
     if attributes:
         for name, a, b, c in _ATTRIBUTE.findall(attributes):
             name, value = name.lower(), a or b or c
             if name == "hidden" or name == "aria-hidden" and value.lower() == "true" or name == "style" and _HIDDEN.search(value):
-                dropped = True
+                marks.add("!")
             elif name == "role":
-                dropped |= value.lower() in DROPPED_ROLES
+                if value.lower() in DROPPED_ROLES:
+                    marks.add("?" if value.lower() == "form" else "!")
                 words += ["main"] if value.lower() == "main" else []
             elif name in ("class", "id"):
                 for part in value.split():
                     found = [w.lower() for w in _NAME.findall(re.sub(r"(?<=[a-z])(?=[A-Z])", " ", part))]
-                    dropped |= not DROPPED_WORDS.isdisjoint(found)
+                    if not (tag == "header" and DROPPED_WORDS.intersection(found) == {"header"}):
+                        marks.add("!" if tag == "header" and _mark(found) else _mark(found))
                     if not any(ch.isdigit() for ch in part):
                         words.append("-".join(found))
     name = ".".join([tag, *sorted(set(words))])
-    return f"!{name}" if dropped and tag not in ("html", "body", *MAIN_TAGS) else name
+    mark = next((m for m in MARKS if m in marks), "")
+    return name if tag in ("html", "body", *MAIN_TAGS) else mark + name
 
 
 def _tag(label: str) -> str:
-    return label.lstrip("!").split(".", 1)[0]
+    return label.lstrip(MARKS).split(".", 1)[0]
 
 
 def _is_main(label: str) -> bool:
-    parts = label.split(".")
+    parts = label.lstrip(MARKS).split(".")
     return parts[0] in MAIN_TAGS or "main" in parts[1:] and parts[0] == "div"
 
 
@@ -295,21 +323,18 @@ def page_form(page: str) -> tuple[Node, list[str]]:
     return fold(root), blocks
 
 
-def _slots(node: Node, dropped: bool = False, inside: bool = False) -> Iterator[tuple[Node, bool, bool]]:
-    """Text slots with whether an ancestor is left out and whether one is an article or main element."""
+def _slots(node: Node, pardoned: set[int] = frozenset(), above: bool = False, inside: bool = False) -> Iterator[tuple[Node, bool, bool]]:
+    """Text slots with whether an ancestor is left out and whether one is an article or main element.
+
+    ``pardoned`` are the marked elements (their ids) that are not left out; ``above`` is whether the node is in a left-out one.
+    """
+    own = above or node.label[:1] in (*MARKS,) and id(node) not in pardoned
     for kid in node.kids:
         if kid.label == "#":
-            yield kid, dropped, inside
-        else:
-            out = dropped or kid.label[0] == "!"
-            if _tag(kid.label) in HEADINGS and inside and node.label.startswith("!header") and not dropped_above(node):
-                out = False
-            yield from _slots(kid, out, inside or _is_main(kid.label))
-
-
-def dropped_above(node: Node) -> bool:
-    """Whether a header is left out for more than being a header."""
-    return node.label != "!header" and not DROPPED_WORDS.isdisjoint(re.split(r"[.-]", node.label)[1:])
+            yield kid, own, inside
+        else:  # the heading of an article may be in a header
+            title = inside and node.label[:1] == "^" and _tag(kid.label) in HEADINGS
+            yield from _slots(kid, pardoned, above if title else own, inside or _is_main(kid.label))
 
 
 class Wrapper:
@@ -317,7 +342,9 @@ class Wrapper:
 
     def __init__(self, root: Node):
         self.root = root
-        slots = list(_slots(root))
+        self.pardoned = self._pardoned(root)
+        self.pardoned_labels = {n.label for n in self._marked(root) if id(n) in self.pardoned}
+        slots = list(_slots(root, self.pardoned))
         self.has_main = any(inside and not out for _, out, inside in slots)
         kept = [s for s, out, inside in slots if not out and (inside or not self.has_main)]
         varying = any(s.value is None for s in kept)
@@ -329,6 +356,51 @@ class Wrapper:
         if not self.has_main:
             self.kept &= {id(s) for s in self._dense(root, kept)}
 
+    @classmethod
+    def _marked(cls, node: Node) -> Iterator[Node]:
+        """Marked elements that are not left out for good, nor inside one that is."""
+        for kid in node.kids:
+            if kid.label[0] in "~?":
+                yield kid
+            if kid.label[0] not in "#!^":
+                yield from cls._marked(kid)
+
+    @classmethod
+    def _pardoned(cls, root: Node) -> set[int]:
+        """Marked generic containers that hold the host's main elements or most of its varying, unlinked text."""
+        marked = list(cls._marked(root))
+        if not marked:
+            return set()
+        every = {id(n) for n in marked}
+        open_ = {id(s): inside for s, out, inside in _slots(root, every) if not out}
+        kept_main = max((s.pages for s, out, inside in _slots(root) if inside and not out), default=0)
+
+        def weight(node: Node, inside: bool) -> int:
+            return sum(
+                max(0, s.chars - 2 * s.linked)
+                for s, _, _ in _slots(node)
+                if open_.get(id(s)) in (True, inside) and (s.value is None or s.pages < TEMPLATE_PAGES)
+            )
+
+        total = {inside: weight(root, inside) for inside in (False, True)}
+        found: set[int] = set()
+
+        def walk(node: Node, inside: bool) -> None:
+            for kid in node.kids:
+                if kid.label[0] in "#!^":
+                    continue
+                if kid.label[0] in "~?" and (inside or kept_main + kid.pages <= root.pages):
+                    main = kid.label[0] == "?" and not inside and (_is_main(kid.label) or holds_main(kid))
+                    if main or 2 * weight(kid, inside) > total[inside]:
+                        found.add(id(kid))
+                walk(kid, inside or _is_main(kid.label))
+
+        def holds_main(node: Node) -> bool:
+            return any(_is_main(k.label) or holds_main(k) for k in node.kids if k.label[0] not in "#!^~")
+
+        walk(root, False)
+        return found
+
     @staticmethod
     def _dense(root: Node, kept: list[Node]) -> list[Node]:
         """Slots of the deepest element with most of the varying, unlinked text."""
@@ -352,6 +424,7 @@ class Wrapper:
         """Numbers of the page's texts that are main text."""
         found: list[int] = []
         matched: set[int] = set()
+        pardoned: set[int] = set()
         work = [(self.root, page)]
         while work:
             own, other = work.pop()
@@ -362,8 +435,13 @@ class Wrapper:
                     if id(a) in self.kept:
                         found += b.blocks
                 else:
+                    matched.add(id(b))
+                    if id(a) in self.pardoned:
+                        pardoned.add(id(b))
                     work.append((a, b))
-        for slot, out, inside in _slots(page):  # texts the alignment left over are judged by their place
+        if self.pardoned:
+            pardoned |= {id(n) for n in Wrapper._marked(page) if id(n) not in matched and n.label in self.pardoned_labels}
+        for slot, out, inside in _slots(page, pardoned):  # texts the alignment left over are judged by their place
             if id(slot) not in matched and not out and (inside or not self.has_main):
                 found += slot.blocks
         return sorted(found)

@@ -84,3 +84,39 @@ def test_edge_cases(spark):
     assert found[7].text.split()[:3] == ["x0", "y", "x1"]
     assert found[8].text == "a" and found[9].text.startswith("< 3 and bold")
     assert wrappers.extract(pages.limit(0)).collect() == []
+
+
+def main_texts(pages: list[str]) -> list[str]:
+    """Main texts of the pages of one host, without Spark."""
+    whole = wrappers.page_form(pages[0])[0]
+    for other in pages[1:]:
+        whole = wrappers.align(whole, wrappers.page_form(other)[0])
+    wrapper = wrappers.Wrapper(wrappers.Node.load(whole.dump()))
+    return [" ".join(blocks[i] for i in wrapper.blocks(own)) for own, blocks in map(wrappers.page_form, pages)]
+
+
+@pytest.mark.parametrize(
+    "around",
+    [
+        "<div class='site has-sidebar'>{}</div>",
+        "<div class='content with-comments'>{}</div>",
+        "<div id='header-and-main'>{}</div>",
+        "<div class='message-body'>{}</div>",
+        "<form method=post action='./page.aspx'>{}</form>",
+        "<form><div class=message>{}</div></form>",
+    ],
+)
+@pytest.mark.parametrize("main", ["article", "div"])
+def test_containers_of_the_main_text_are_not_left_out(around, main):
+    rest = "<nav><a href=/>Home</a></nav>{}<ol class=comment-list><li><article>{}</article></ol><footer>x</footer>"
+    texts = [f"{prose(i, 5)} {prose(i + 100, 30)}" for i in range(6)]
+    head = "h1" if main == "article" else "p"
+    whole = [f"<{main}><{head}>{prose(i, 5)}</{head}><p>{prose(i + 100, 30)}</p></{main}>" for i in range(6)]
+    pages = [around.format(rest.format(w, prose(i + 200, 9))) for i, w in enumerate(whole)]
+    assert main_texts(pages) == texts
+    # the container on some pages only
+    mixed = [p if i % 2 else rest.format(w, "<p>no") for i, (p, w) in enumerate(zip(pages, whole))]
+    if main == "article":
+        assert main_texts(mixed) == texts
+    side = "<form><input><p>{}</p></form><div class='site-footer'>{}</div><article>{}</article>"
+    assert main_texts([side.format(prose(i, 9), prose(i, 8), t) for i, t in enumerate(texts)]) == texts
