@@ -9,7 +9,8 @@ A slot belongs to the main text unless its place says otherwise: elements for me
 sidebars, forms, adverts, notices and comments (by tag, role, or a whole class or id name) are left out,
 but not a generic container that holds the host's main elements or most of its varying text; where pages
 have an article or main element only its inside counts; elsewhere the densest variable region does;
-and a text that all pages of a host share beside varying ones is template text.
+and a text that all pages of a host share beside varying ones is template text, if there are
+``TEMPLATE_PAGES`` pages that are no near copies of each other. Pages without text do not count.
 
 Wrappers are inferred over all pages: each task aligns its pages into one wrapper per host, and those are
 merged in rounds of ``FAN_IN`` tasks per group, so no task holds more than ``FAN_IN`` wrappers
@@ -46,8 +47,11 @@ BROADCAST_BYTES = 8 << 20
 DEPTH = 100
 #: Largest table of an exact alignment of two child lists; longer lists are aligned greedily.
 CELLS = 40_000
-#: Pages that must share a text before it counts as template text.
+#: Pages, no two near copies, that a host must have before a text of all its pages counts as template text.
 TEMPLATE_PAGES = 3
+#: Pages are near copies from this similarity of their word pairs, estimated from so many smallest hashes.
+COPY_LIKE = 0.3
+COPY_HASHES = 32
 
 # Element kinds.
 RAW = {"script", "style", "template", "noscript", "textarea", "title", "iframe", "svg", "math", "object"}
@@ -96,16 +100,17 @@ _HIDDEN = re.compile(r"display\s*:\s*none", re.I)
 class Node:
     """An element, or with the label "#" a text slot."""
 
-    __slots__ = ("label", "kids", "many", "optional", "pages", "value", "chars", "linked", "blocks")
+    __slots__ = ("label", "kids", "many", "optional", "pages", "value", "chars", "linked", "blocks", "seen")
 
     def __init__(self, label: str):
         self.label, self.kids, self.many, self.optional, self.pages = label, [], False, False, 1
         self.value, self.chars, self.linked, self.blocks = None, 0, 0, []
+        self.seen = []  #: of a root: sketches of pages that are no near copies, at most TEMPLATE_PAGES
 
     def dump(self) -> list:
         if self.label == "#":
             return ["#", self.many, self.optional, self.pages, self.value, self.chars, self.linked]
-        return [self.label, self.many, self.optional, self.pages, [k.dump() for k in self.kids]]
+        return [self.label, self.many, self.optional, self.pages, [k.dump() for k in self.kids], *([self.seen] if self.seen else [])]
 
     @staticmethod
     def load(data: list) -> "Node":
@@ -115,6 +120,7 @@ class Node:
             node.value, node.chars, node.linked = data[4:]
         else:
             node.kids = [Node.load(k) for k in data[4]]
+            node.seen = data[5] if len(data) > 5 else []
         return node
 
 
@@ -282,7 +288,10 @@ def _pairs(a: list[Node], b: list[Node]) -> list[tuple[int, int]]:
 
 def align(a: Node, b: Node, same_page: bool = False) -> Node:
     """The expression of two nodes of one label: of two pages, or of neighbours in one page."""
+    if not a.label and not (a.kids and b.kids):  # a page without text
+        return a if a.kids else b
     out = Node(a.label)
+    out.seen = _distinct(a.seen + b.seen) if a.seen and b.seen else a.seen or b.seen
     out.many, out.optional = a.many or b.many or same_page, a.optional or b.optional
     out.pages = max(a.pages, b.pages) if same_page else a.pages + b.pages
     if a.label == "#":
@@ -318,8 +327,47 @@ def fold(node: Node) -> Node:
     return node
 
 
-def page_form(page: str) -> tuple[Node, list[str]]:
+def _sketch(texts: list[str]) -> list[int]:
+    """The smallest hashes of a page's word pairs."""
+    found: set[int] = set()
+    limit = 1 << 32
+    for text in texts:
+        words = text.split()
+        for pair in zip(words, words[1:] or [""]):
+            code = zlib.crc32(" ".join(pair).encode("utf-8", "replace"))
+            if code < limit:
+                found.add(code)
+                if len(found) > 64 * COPY_HASHES:
+                    found = set(sorted(found)[:COPY_HASHES])
+                    limit = max(found)
+    return sorted(found)[:COPY_HASHES]
+
+
+def _distinct(sketches: list[list[int]]) -> list[list[int]]:
+    """The first sketches that are no near copies of each other."""
+    found: list[list[int]] = []
+    for own in sketches:
+        for other in found:
+            whole = sorted({*own, *other})[:COPY_HASHES]
+            if len({*whole}.intersection(own).intersection(other)) >= COPY_LIKE * len(whole):
+                break
+        else:
+            found.append(own)
+        if len(found) == TEMPLATE_PAGES:
+            break
+    return found
+
+
+def page_form(page: str, sketched: bool = True) -> tuple[Node, list[str]]:
+    """The folded tree of a page, with a sketch of its text if wanted, and its texts."""
     root, blocks = read(page)
+    if not blocks:
+        root.kids = []
+    elif sketched:
+        slots = list(_slots(root))
+        has_main = any(inside and not out for _, out, inside in slots)
+        own = [blocks[i] for s, out, inside in slots if not out and (inside or not has_main) for i in s.blocks]
+        root.seen = [_sketch(own or blocks)]
     return fold(root), blocks
 
 
@@ -342,7 +390,9 @@ class Wrapper:
 
     def __init__(self, root: Node):
         self.root = root
-        self.pardoned = self._pardoned(root)
+        #: whether the host has enough pages, no near copies, for template text
+        self.known = len(root.seen) >= TEMPLATE_PAGES
+        self.pardoned = self._pardoned()
         self.pardoned_labels = {n.label for n in self._marked(root) if id(n) in self.pardoned}
         slots = list(_slots(root, self.pardoned))
         self.has_main = any(inside and not out for _, out, inside in slots)
@@ -350,11 +400,15 @@ class Wrapper:
         varying = any(s.value is None for s in kept)
         #: slots of text that every page shares, although other main texts differ
         self.template = {
-            id(s) for s in kept if varying and s.value is not None and s.pages >= TEMPLATE_PAGES and not s.many
+            id(s) for s in kept if varying and self._shared(s) and not s.many
         }
         self.kept = {id(s) for s in kept} - self.template
         if not self.has_main:
-            self.kept &= {id(s) for s in self._dense(root, kept)}
+            self.kept &= {id(s) for s in self._dense(kept)}
+
+    def _shared(self, slot: Node) -> bool:
+        """Whether all pages of a host of several texts have the slot, with the same text."""
+        return self.known and slot.value is not None and not slot.optional and slot.pages >= self.root.pages
 
     @classmethod
     def _marked(cls, node: Node) -> Iterator[Node]:
@@ -365,10 +419,10 @@ class Wrapper:
             if kid.label[0] not in "#!^":
                 yield from cls._marked(kid)
 
-    @classmethod
-    def _pardoned(cls, root: Node) -> set[int]:
+    def _pardoned(self) -> set[int]:
         """Marked generic containers that hold the host's main elements or most of its varying, unlinked text."""
-        marked = list(cls._marked(root))
+        root = self.root
+        marked = list(self._marked(root))
         if not marked:
             return set()
         every = {id(n) for n in marked}
@@ -379,7 +433,7 @@ class Wrapper:
             return sum(
                 max(0, s.chars - 2 * s.linked)
                 for s, _, _ in _slots(node)
-                if open_.get(id(s)) in (True, inside) and (s.value is None or s.pages < TEMPLATE_PAGES)
+                if open_.get(id(s)) in (True, inside) and not self._shared(s)
             )
 
         total = {inside: weight(root, inside) for inside in (False, True)}
@@ -401,8 +455,7 @@ class Wrapper:
         walk(root, False)
         return found
 
-    @staticmethod
-    def _dense(root: Node, kept: list[Node]) -> list[Node]:
+    def _dense(self, kept: list[Node]) -> list[Node]:
         """Slots of the deepest element with most of the varying, unlinked text."""
         own = {id(s) for s in kept}
 
@@ -410,9 +463,9 @@ class Wrapper:
             return [s for s, _, _ in _slots(node) if id(s) in own]
 
         def weight(slots: list[Node]) -> int:
-            return sum(max(0, s.chars - 2 * s.linked) for s in slots if s.value is None or s.pages < TEMPLATE_PAGES)
+            return sum(max(0, s.chars - 2 * s.linked) for s in slots if not self._shared(s))
 
-        node, total = root, weight(kept)
+        node, total = self.root, weight(kept)
         while total:
             heavy = [k for k in node.kids if k.label != "#" and weight(inside(k)) > 0.7 * total]
             if not heavy or heavy[0].many:
@@ -461,7 +514,7 @@ def infer_wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html
         for batch in batches:
             for run in byte_slices(batch, "_html", BATCH_BYTES):
                 for host, page in zip(run.column("_host").to_pylist(), strings(run, "_html")):
-                    form, _ = page_form(page)
+                    form, _ = page_form(page, host not in held or len(held[host].seen) < TEMPLATE_PAGES)
                     _forget(form)
                     held[host] = align(held[host], form) if host in held else form
                 if len(held) > HOSTS:

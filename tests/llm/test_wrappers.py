@@ -120,3 +120,15 @@ def test_containers_of_the_main_text_are_not_left_out(around, main):
         assert main_texts(mixed) == texts
     side = "<form><input><p>{}</p></form><div class='site-footer'>{}</div><article>{}</article>"
     assert main_texts([side.format(prose(i, 9), prose(i, 8), t) for i, t in enumerate(texts)]) == texts
+
+
+def test_copies_of_one_article_do_not_make_template_text():
+    extra = "<blockquote>Quoted here only</blockquote><table><tr><td>cell</table><pre>code</pre><h2>Part</h2><ul><li>point</ul>"
+    copies = [f"<article><h1>{prose(0, 5)}</h1><p>{prose(1, 40)} {i}</p>{extra}</article>" for i in range(3)]
+    others = [f"<article><h1>{prose(i, 5)}</h1><p>{prose(i + 100, 40)}</p></article>" for i in range(20)]
+    found = main_texts([*others[:9], *copies, *others[9:]])
+    assert [t for t in found if "Quoted" in t] == [f"{prose(0, 5)} {prose(1, 40)} {i} Quoted here only cell code Part point" for i in range(3)]
+    assert main_texts(copies) == [f"{prose(0, 5)} {prose(1, 40)} {i} Quoted here only cell code Part point" for i in range(3)]
+    # a text of all pages is still left out, beside pages without text too
+    same = "<article><div>Read this first</div><p>{}</p></article>"
+    assert main_texts(["", *(same.format(prose(i, 20)) for i in range(5)), "<div></div>"]) == ["", *(prose(i, 20) for i in range(5)), ""]
