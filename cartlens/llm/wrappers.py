@@ -8,7 +8,8 @@ that only some pages have become optional groups. A page's texts are then read o
 A slot belongs to the main text unless its place says otherwise: elements for menus, headers, footers,
 sidebars, forms, adverts, notices and comments (by tag, role, or a whole class or id name) are left out,
 but not a generic container that holds the host's main elements or most of its varying text; where pages
-have an article or main element only its inside counts; elsewhere the densest variable region does;
+have an article or main element only its inside counts; elsewhere the deepest container does
+outside which all text is linked or left out, without the containers in it that hold links only;
 and a text that all pages of a host share beside varying ones is template text, if there are
 ``TEMPLATE_PAGES`` pages that are no near copies of each other. Pages without text do not count.
 
@@ -87,6 +88,9 @@ MARKS = "!^~?"
 MAIN_TAGS = {"article", "main"}
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 CLOSED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
+#: Elements in which main text may be looked for, and those that may be passed on the way to one.
+CONTAINERS = {"html", "body", "div", "section", "form", "fieldset", "center", "td", "th"}
+LAYOUT = {"table", "tbody", "tr"}
 SCOPES = {"ul", "ol", "dl", "table", "tbody", "thead", "article", "section", "div", "body"}
 
 _TOKEN = re.compile(
@@ -456,22 +460,25 @@ class Wrapper:
         return found
 
     def _dense(self, kept: list[Node]) -> list[Node]:
-        """Slots of the deepest element with most of the varying, unlinked text."""
-        own = {id(s) for s in kept}
-
-        def inside(node: Node) -> list[Node]:
-            return [s for s, _, _ in _slots(node) if id(s) in own]
-
-        def weight(slots: list[Node]) -> int:
-            return sum(max(0, s.chars - 2 * s.linked) for s in slots if not self._shared(s))
-
-        node, total = self.root, weight(kept)
-        while total:
-            heavy = [k for k in node.kids if k.label != "#" and weight(inside(k)) > 0.7 * total]
-            if not heavy or heavy[0].many:
+        """Slots of the deepest container outside which all text is linked or left out, without its linked containers."""
+        own = {id(s) for s in kept if id(s) in self.kept}
+
+        def linked(node: Node) -> bool:
+            """Whether a child's text is linked or left out."""
+            slots = [node] if node.label == "#" else [s for s, _, _ in _slots(node)]
+            return all(2 * s.linked > s.chars for s in slots if id(s) in own)
+
+        node = last = self.root
+        while True:
+            heavy = [k for k in node.kids if not linked(k)]
+            if len(heavy) != 1 or heavy[0].many or _tag(heavy[0].label) not in CONTAINERS | LAYOUT:
                 break
             node = heavy[0]
-        return [s for s in inside(node) if 2 * s.linked <= s.chars]
+            last = node if _tag(node.label) in CONTAINERS else last
+        every = last is self.root and linked(last)  # a host of links only
+        aside = [k for k in last.kids if not every and _tag(k.label) in CONTAINERS | LAYOUT and linked(k)]
+        beside = {id(s) for k in aside for s, _, _ in _slots(k)}
+        return [s for s, _, _ in _slots(last) if id(s) not in beside]
 
     def blocks(self, page: Node) -> list[int]:
         """Numbers of the page's texts that are main text."""

@@ -132,3 +132,28 @@ def test_copies_of_one_article_do_not_make_template_text():
     # a text of all pages is still left out, beside pages without text too
     same = "<article><div>Read this first</div><p>{}</p></article>"
     assert main_texts(["", *(same.format(prose(i, 20)) for i in range(5)), "<div></div>"]) == ["", *(prose(i, 20) for i in range(5)), ""]
+
+
+@pytest.mark.parametrize(
+    "long",
+    ["<p>{}</p>", "<ul><li>{}</ul>", "<table><tr><td>{}</table>", "<pre>{}</pre>", "<blockquote><p>{}</blockquote>", "<p><a href=/x>{}</a></p>"],
+)
+def test_main_text_without_main_elements_is_whole(long):
+    menu = "<div><a href=/a>All {}</a> <a href=/b>News {}</a></div>"
+    body = "<h1>{}</h1>{}<ul><li>{}<li>{}</ul>"
+    for around in ("<body>{}<div>{}</div><div>Terms of the site</div>", "<body><table><tr><td>{}<td>{}</table>Terms of the site"):
+        pages, texts = [], []
+        for i in range(6):
+            parts = [prose(i, 4), prose(i + 100, 60), prose(i + 200, 3), prose(i + 300, 2)]
+            pages.append(around.format(menu.format(i, i), body.format(parts[0], long.format(parts[1]), *parts[2:])))
+            texts.append(" ".join(parts))
+        assert main_texts(pages) == texts
+
+
+def test_main_text_in_two_sections_is_whole():
+    pages = [
+        f"<body><div><a href=/>Home {i}</a></div><div><section><h2>{prose(i, 3)}</h2><p>{prose(i + 100, 80)}</section>"
+        f"<section class=more><p>{prose(i + 200, 20)}</section></div>"
+        for i in range(6)
+    ]
+    assert main_texts(pages) == [f"{prose(i, 3)} {prose(i + 100, 80)} {prose(i + 200, 20)}" for i in range(6)]
