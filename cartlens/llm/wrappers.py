@@ -29,6 +29,7 @@ import html as html_
 import json
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -44,8 +45,10 @@ FAN_IN = 16
 #: Hosts whose wrappers a task holds before it passes them on.
 HOSTS = 5_000
 BROADCAST_BYTES = 8 << 20
-#: Nested elements below this depth join their ancestor at it; their texts stay.
+#: Nested elements below this depth join their ancestor at it; their texts stay, and marked and main elements
+#: among them are elements still, up to ``DEEPER`` more.
 DEPTH = 100
+DEEPER = 20
 #: Largest table of an exact alignment of two child lists; longer lists are aligned greedily.
 CELLS = 40_000
 #: Pages, no two near copies, that a host must have before a text of all its pages counts as template text.
@@ -173,7 +176,9 @@ def _is_main(label: str) -> bool:
 def read(page: str) -> tuple[Node, list[str]]:
     """Element tree of block-level tags with text slots, and the texts in page order."""
     root = Node("")
-    stack, blocks, parts = [root], [], []
+    # open tags of every depth: tag, the element that takes the texts, its depth, whether it is left out for good
+    stack, blocks, parts = [("", root, 0, False)], [], []
+    opened: Counter[str] = Counter()
     linked, in_link, at, size = 0, False, 0, len(page)
 
     def flush() -> None:
@@ -185,7 +190,7 @@ def read(page: str) -> tuple[Node, list[str]]:
                 slot.value, slot.chars, slot.linked = zlib.crc32(text.encode("utf-8", "replace")), len(text), min(linked, len(text))
                 slot.blocks = [len(blocks)]
                 blocks.append(text)
-                stack[-1].kids.append(slot)
+                stack[-1][1].kids.append(slot)
             parts.clear()
         linked = 0
 
@@ -196,11 +201,14 @@ def read(page: str) -> tuple[Node, list[str]]:
             linked += len(piece)
 
     def close(names: set[str], scopes: set[str]) -> None:
+        if not any(opened[n] for n in names):
+            return
         for i in range(len(stack) - 1, 0, -1):
-            if _tag(stack[i].label) in names:
+            if stack[i][0] in names:
+                opened.subtract(e[0] for e in stack[i:])
                 del stack[i:]
                 return
-            if _tag(stack[i].label) in scopes:
+            if stack[i][0] in scopes:
                 return
 
     while at < size:
@@ -243,9 +251,14 @@ def read(page: str) -> tuple[Node, list[str]]:
         if tag in CLOSED_BY:
             close(CLOSED_BY[tag], {"ul", "ol", "dl", "table"})
         node = Node(_label(tag, token[3]))
-        if len(stack) < DEPTH:
-            stack[-1].kids.append(node)
-            stack.append(node)
+        _, above, depth, lost = stack[-1]
+        kind = node.label[0] in MARKS or _is_main(node.label) or tag in HEADINGS and above.label[:1] == "^"
+        if depth < DEPTH - 1 or kind and not lost and depth < DEPTH + DEEPER:
+            above.kids.append(node)
+            lost |= node.label[0] == "!"
+            above, depth = node, depth + 1
+        stack.append((tag, above, depth, lost))
+        opened[tag] += 1
     flush()
     return root, blocks
 

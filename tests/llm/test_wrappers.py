@@ -157,3 +157,16 @@ def test_main_text_in_two_sections_is_whole():
         for i in range(6)
     ]
     assert main_texts(pages) == [f"{prose(i, 3)} {prose(i + 100, 80)} {prose(i + 200, 20)}" for i in range(6)]
+
+
+@pytest.mark.parametrize("nest", ["div", "blockquote"])
+def test_text_after_a_deep_nest_stays_in_its_article(nest):
+    deep = f"<{nest}>" * 3_000 + "deep {}<nav>menu <div>{}</div></nav> text {}" + f"</{nest}>" * 3_000
+    pages = [
+        f"<body><div><article><h1>{prose(i, 3)}</h1>{deep.format(i, i, i)}<p>{prose(i + 100, 30)}</p></article></div><div>{prose(i, 9)}</div>"
+        for i in range(5)
+    ]
+    assert main_texts(pages) == [f"{prose(i, 3)} deep {i} text {i} {prose(i + 100, 30)}" for i in range(5)]
+    # never closed
+    open_ = [f"<{nest}>" * 500 + f"<article><p>{prose(i, 30)}</p><section class=comments><p>{prose(i, 9)}</section></article>" for i in range(5)]
+    assert main_texts(open_) == [prose(i, 30) for i in range(5)]
