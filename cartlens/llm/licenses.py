@@ -34,7 +34,8 @@ BATCH_BYTES = 1 << 20
 # The base phrases and their labels.
 BASE = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
 
-# Label, words every match holds (alternatives by |), name as a pattern over words, SPDX words.
+# Label, words every match holds (alternatives by |; before a version also glued to it, as "lgplv3" and
+# "lgpl3"), name as a pattern over words, SPDX words.
 LICENSES = [
     ("agpl-3.0", "affero|agpl", r"(?:gnu )?(?:affero general public licen[sc]e|agpl)(?: v(?:ersion)?)? ?v?3(?: 0)?", r"agpl 3 0"),
     ("agpl", "affero|agpl", r"(?:gnu )?(?:affero general public licen[sc]e|agpl)", r"agpl"),
@@ -43,8 +44,8 @@ LICENSES = [
     ("lgpl-2.0", "library|lgpl", r"(?:gnu )?(?:library general public licen[sc]e|lgpl)(?: v(?:ersion)?)? ?v?2(?: 0)?", r"lgpl 2 0"),
     ("lgpl", "lesser|lgpl", r"(?:gnu )?(?:lesser general public licen[sc]e|lgpl)", r"lgpl"),
     ("gpl-1.0", "general|gpl", r"(?:gnu )?(?:general public licen[sc]e|gpl)(?: v(?:ersion)?)? ?v?1(?: 0)?", r"gpl 1 0"),
-    ("gpl-2.0", "general|gpl|gplv2", r"(?:gnu )?(?:general public licen[sc]e|gpl)(?: v(?:ersion)?)? ?v?2(?: 0)?|gplv2", r"gpl 2 0"),
-    ("gpl-3.0", "general|gpl|gplv3", r"(?:gnu )?(?:general public licen[sc]e|gpl)(?: v(?:ersion)?)? ?v?3(?: 0)?|gplv3", r"gpl 3 0"),
+    ("gpl-2.0", "general|gpl", r"(?:gnu )?(?:general public licen[sc]e|gpl)(?: v(?:ersion)?)? ?v?2(?: 0)?|gplv2", r"gpl 2 0"),
+    ("gpl-3.0", "general|gpl", r"(?:gnu )?(?:general public licen[sc]e|gpl)(?: v(?:ersion)?)? ?v?3(?: 0)?|gplv3", r"gpl 3 0"),
     ("gpl", "general|gpl", r"(?:gnu )?(?:general public licen[sc]e|gpl)", r"gpl"),
     ("gfdl", "documentation|gfdl", r"(?:gnu )?(?:free documentation licen[sc]e|gfdl)", r"gfdl"),
     ("apache-1.0", "apache", r"apache(?: software)? licen[sc]e(?: v(?:ersion)?)? ?v?1 0", r"apache 1 0"),
@@ -75,12 +76,12 @@ LICENSES = [
     ("zlib", "zlib", r"zlib(?: libpng)? licen[sc]e", r"zlib"),
     ("bsl-1.0", "boost|bsl", r"(?:boost software licen[sc]e|bsl)(?: v(?:ersion)?)?(?: 1 0)?", r"bsl 1 0"),
     ("busl-1.1", "business", r"business source licen[sc]e(?: 1 1)?", r"busl 1 1"),
-    ("psf", "python", r"python software foundation licen[sc]e|psf licen[sc]e", r"psf 2 0|python 2 0"),
+    ("psf", "python|psf", r"python software foundation licen[sc]e|psf licen[sc]e", r"psf 2 0|python 2 0"),
     ("ofl-1.1", "sil|ofl", r"sil open font licen[sc]e(?: v(?:ersion)?)?(?: 1 1)?|ofl 1 1", r"ofl 1 1"),
     ("wtfpl", "wtfpl", r"wtfpl(?: licen[sc]e)?", r"wtfpl"),
     ("unlicense", "unlicense", r"(?:the )?unlicense", r"unlicense"),
     ("odbl", "odbl|database", r"open(?: data commons)? (?:open )?database licen[sc]e|odbl", r"odbl 1 0"),
-    ("pddl", "pddl", r"public domain dedication and licen[sc]e|pddl", r"pddl 1 0"),
+    ("pddl", "pddl|dedication", r"public domain dedication and licen[sc]e|pddl", r"pddl 1 0"),
     ("ms-pl", "microsoft", r"microsoft public licen[sc]e", r"ms pl"),
     ("ms-rl", "microsoft", r"microsoft reciprocal licen[sc]e", r"ms rl"),
     ("sspl-1.0", "server|sspl", r"server side public licen[sc]e|sspl", r"sspl 1 0"),
@@ -107,7 +108,7 @@ FORMS = [
 
 # Telling sentences of license texts: label, gate word, pattern.
 BODIES = [
-    ("mit", "sublicense", r"permission is hereby granted free of charge to any person obtaining a copy"),
+    ("mit", "hereby", r"permission is hereby granted free of charge to any person obtaining a copy"),
     ("mit", "sublicense", r"use copy modify merge publish distribute sublicense and or sell copies"),
     ("isc", "fee", r"permission to use copy modify and or distribute this software for any purpose with or without fee"),
     ("bsd", "redistributions", r"redistributions of source code must retain the above copyright notice"),
@@ -131,6 +132,9 @@ BODIES = [
     ("proprietary", "proprietary", r"(?:proprietary and confidential|confidential and proprietary)"),
 ]
 
+#: First digit of a version that a name may be glued to, in the pattern of the name.
+_VERSION = re.compile(r" \?v\?(\d)")
+
 _WORD_BYTES = bytes(
     b + 32 if 65 <= b <= 90 else b if b >= 128 or 48 <= b <= 57 or 97 <= b <= 122 else 32 for b in range(256)
 )
@@ -157,7 +161,8 @@ def rules() -> tuple[Rule, ...]:
     found = [rule(f"body-{i}", label, 0, 1.0, gate, pattern) for i, (label, gate, pattern) in enumerate(BODIES)]
     for priority, (form, score, around) in enumerate(FORMS, 1):
         for label, gate, name, spdx in LICENSES:
-            gate = "spdx" if form == "spdx" else gate
+            glued = [g + v + n for n in sorted(set(_VERSION.findall(name))) for g in gate.split("|") for v in ("", "v")]
+            gate = "spdx" if form == "spdx" else "|".join([gate, *glued])
             found.append(rule(f"{form}-{label}", label, priority, score, gate, around.format(name=name, spdx=spdx)))
     return tuple(found)
 

@@ -106,6 +106,51 @@ def test_rules_are_many_and_gated():
     assert licenses.scan(prose(1, 100).encode()) == (100, [], [])
 
 
+def expanded(tree) -> list[str]:
+    """Texts of a parsed pattern: each alternative, and each repeat at its least and one above."""
+    texts = [""]
+    for kind, value in tree:
+        name = str(kind)
+        if name == "LITERAL":
+            own = [chr(value)]
+        elif name == "IN":  # "any but space" is one word
+            own = [t for k, v in value for t in ([chr(v)] if str(k) == "LITERAL" else map(chr, range(v[0], v[1] + 1)) if str(k) == "RANGE" else ["x"])]
+        elif name == "SUBPATTERN":
+            own = expanded(value[3])
+        elif name == "BRANCH":
+            own = [t for branch in value[1] for t in expanded(branch)]
+        elif name in ("MAX_REPEAT", "MIN_REPEAT"):
+            own = [t * n for n in range(value[0], min(value[0] + 1, value[1]) + 1) for t in expanded(value[2])]
+        else:
+            assert name == "ASSERT", name  # the spaces around a match
+            own = [""]
+        texts = [t + o for t in texts for o in dict.fromkeys(own)]
+    return texts
+
+
+def test_gates_hide_no_match(monkeypatch):
+    texts = [t for _, _, pattern in licenses.BODIES for t in expanded(re._parser.parse(pattern))]
+    for _, _, name, spdx in licenses.LICENSES:
+        texts += [f"spdx license identifier {t}" for t in expanded(re._parser.parse(spdx))]
+        for own in dict.fromkeys(expanded(re._parser.parse(name))):
+            texts += [own, f"licensed under {own}"]
+    gated = [licenses.scan(t.encode()) for t in texts]
+    every = tuple(range(len(licenses.rules())))
+    words = {w.encode() for t in texts for w in t.split()}
+    monkeypatch.setattr(licenses, "gates", lambda: (frozenset(words), dict.fromkeys(words, every)))
+    wrong = [t for t, own in zip(texts, gated) if licenses.scan(t.encode()) != own]
+    assert len(texts) > 2_000 and not wrong, wrong[:20]
+
+
+@pytest.mark.parametrize(
+    ("text", "label"),
+    [("LGPLv3", "lgpl-3.0"), ("AGPLv3", "agpl-3.0"), ("GPL2", "gpl-2.0"), ("MPLv2", "mpl-2.0"), ("EPL2", "epl-2.0"), ("Apache2", "apache-2.0")]
+    + [("ASLv2", "apache-2.0"), ("GPLv1", "gpl-1.0"), ("PSF license", "psf"), ("Public Domain Dedication and License", "pddl")],
+)
+def test_glued_versions_open_the_gate(text, label):
+    assert [k[1] for k in licenses.scan(text.encode())[2]] == [label]
+
+
 def test_containment_suppression_matches_a_plain_version():
     rng = np.random.default_rng(1)
     for _ in range(200):
