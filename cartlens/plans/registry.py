@@ -576,10 +576,9 @@ QUALITY = {
 }
 
 
-# Fewer trees than the defaults, so that the registered training queries end in minutes on one machine.
-TRAINING = jobs.TrainingConfig(params=train.TreeParams(max_iter=30, step_size=0.1, max_depth=5, patience=10))
-SEARCH_TRIALS = 2
-SEARCH_TREES, SEARCH_DEPTHS = (5, 20), (3, 7)
+# The whole training and the whole search, as the surveyed pipeline runs them.
+TRAINING = jobs.TrainingConfig()
+SEARCH_TRIALS = 50
 _TRAINED: dict[str, jobs.Trained] = {}
 _TRAINED_LOCK = threading.Lock()
 
@@ -615,7 +614,7 @@ def _assigned(ws: Workspace) -> DataFrame:
 def _tuned(ws: Workspace) -> DataFrame:
     trained = _trained(ws)
     vectors, largest = train.vectorise(ws.written("model_frame", lambda: trained.prepared))
-    _, trials = train.search(vectors, trained.weight, largest, SEARCH_TRIALS, TRAINING.params, trees=SEARCH_TREES, depth=SEARCH_DEPTHS)
+    _, trials = train.search(vectors, trained.weight, largest, SEARCH_TRIALS, TRAINING.params)
     return trials
 
 

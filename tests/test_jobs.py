@@ -247,3 +247,19 @@ def test_two_threads_open_one_workspace(spark):
     with ThreadPoolExecutor(8) as pool:
         opened = list(pool.map(lambda _: Workspace.open(spark, "/tmp/none"), range(32)))
     assert len({id(w) for w in opened}) == 1
+
+
+def test_registered_training_and_search_are_whole(monkeypatch):
+    from types import SimpleNamespace
+
+    from cartlens.plans import registry
+
+    asked = []
+    monkeypatch.setattr(registry, "_trained", lambda ws: SimpleNamespace(prepared=None, weight=1.0))
+    monkeypatch.setattr(train, "vectorise", lambda rows: (rows, 2))
+    monkeypatch.setattr(train, "search", lambda rows, weight, largest, *a, **k: (None, asked.append(train.random_params(*a, **k))))
+    registry._tuned(SimpleNamespace(written=lambda name, make: make()))
+    assert registry.TRAINING.params == train.TreeParams()
+    assert len(asked[0]) == 50 and {p.patience for p in asked[0]} == {50}
+    assert min(p.max_iter for p in asked[0]) >= 200 and max(p.max_iter for p in asked[0]) > 900
+    assert {p.max_depth for p in asked[0]} == set(range(3, 13))
