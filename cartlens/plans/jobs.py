@@ -7,11 +7,11 @@ import uuid
 from dataclasses import dataclass, field
 
 from pyspark.errors import AnalysisException
-from pyspark.ml.classification import GBTClassificationModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from cartlens.operators import cluster, drift, features, metrics, recommend, split, train, validate
 from cartlens.functions.staging import Stage, unstaged
+from cartlens.operators.boosting import Ensemble
 from cartlens.schemas import MATRIX, PRODUCT_CLUSTER_FEATURES, USER_CLUSTER_FEATURES
 from cartlens.functions.columns import narrow
 from cartlens.sources import sinks, tables
@@ -32,7 +32,7 @@ class TrainingConfig:
 class Trained:
     """A fitted model with everything needed to score and to report."""
 
-    model: GBTClassificationModel
+    model: Ensemble
     clusters: tuple[cluster.ClusterModel, cluster.ClusterModel]
     medians: DataFrame
     prepared: DataFrame
@@ -65,8 +65,25 @@ class Trained:
         )
 
 
-def fit_model(matrix: DataFrame, config: TrainingConfig, stage: Stage = unstaged) -> Trained:
-    """Split, cluster, prepare and fit. ``stage`` keeps iterative steps off long lineages."""
+@dataclass(frozen=True)
+class Clustered:
+    """Matrix rows with their split, and the clusters of the train rows: what comes before any tree."""
+
+    splits: DataFrame
+    rows: DataFrame
+    clusters: tuple[cluster.ClusterModel, cluster.ClusterModel]
+
+    @property
+    def assigned(self) -> DataFrame:
+        """Rows with the clusters of their user and product, assigned per split."""
+        rows = self.rows
+        for model in self.clusters:
+            rows = assign_by_split(model, rows)
+        return rows
+
+
+def fit_clusters(matrix: DataFrame, config: TrainingConfig, stage: Stage = unstaged) -> Clustered:
+    """Split by user and cluster the train profiles."""
     splits = stage("model_split", split.split_users(matrix, config.seed))
     rows = stage("model_rows", split.with_split(matrix, splits, config.seed))
     learn = rows.where(F.col("split") == "train")
@@ -74,18 +91,43 @@ def fit_model(matrix: DataFrame, config: TrainingConfig, stage: Stage = unstaged
         cluster.fit(learn, key, names, seed=config.seed, restarts=config.restarts, stage=stage)
         for key, names in (("user_key", USER_CLUSTER_FEATURES), ("product_key", PRODUCT_CLUSTER_FEATURES))
     )
-    median_rows = stage("model_medians", train.medians(learn))
-    assigned = rows
-    for model in clusters:
-        assigned = assign_by_split(model, assigned)
-    prepared, largest = train.vectorise(stage("model_frame", train.preprocess(assigned, median_rows)))
-    weight = split.class_weight(matrix).first()["scale_pos_weight"]
+    return Clustered(splits, rows, clusters)
+
+
+@dataclass(frozen=True)
+class Prepared:
+    """Rows ready for the learner, and the same rows in bins."""
+
+    medians: DataFrame
+    rows: DataFrame
+    weight: float
+    coded: train.Coded
+
+
+def prepare(matrix: DataFrame, clustered: Clustered, stage: Stage = unstaged) -> Prepared:
+    """Assign clusters, fill gaps with train medians, and code the features."""
+    median_rows = stage("model_medians", train.medians(clustered.rows.where(F.col("split") == "train")))
+    rows = stage("model_frame", train.with_codes(train.preprocess(clustered.assigned, median_rows)))
+    weight = split.class_weight(matrix).first()["scale_pos_weight"] or 1.0
+    return Prepared(median_rows, rows, weight, train.code(rows, weight, stage=stage))
+
+
+def fit_model(
+    matrix: DataFrame,
+    config: TrainingConfig,
+    stage: Stage = unstaged,
+    clustered: Clustered | None = None,
+    prepared: Prepared | None = None,
+) -> Trained:
+    """Split, cluster, prepare and fit; the first steps are taken over where they are given."""
+    clustered = clustered or fit_clusters(matrix, config, stage)
+    ready = prepared or prepare(matrix, clustered, stage)
     params, trials = config.params, None
     if config.trials:
-        params, trials = train.search(prepared, weight, largest, config.trials, config.params, config.seed)
-    fitted = train.fit_trees(prepared, weight, params, largest)
+        params, trials = train.search(ready.rows, ready.coded, config.trials, config.params, config.seed, stage=stage)
+    fitted = train.fit_trees(ready.coded, params, stage)
     return Trained(
-        fitted, clusters, median_rows, prepared, splits, params, trials, weight, config.threshold
+        fitted, clustered.clusters, ready.medians, ready.rows, clustered.splits, params, trials, ready.weight, config.threshold
     )
 
 
@@ -150,7 +192,7 @@ def publish_model(trained: Trained, record: DataFrame, root: str, run: str | Non
     """Save under a new run folder, then move the ``latest`` pointer to it."""
     run = run or uuid.uuid4().hex
     folder = f"{root}/models/{run}"
-    trained.model.write().overwrite().save(f"{folder}/model")
+    trained.model.save(record.sparkSession, f"{folder}/model")
     for model in trained.clusters:
         model.save(f"{folder}/{model.column}")
     trained.medians.write.mode("overwrite").parquet(f"{folder}/medians")
@@ -164,7 +206,7 @@ def publish_model(trained: Trained, record: DataFrame, root: str, run: str | Non
 class Published:
     """What scoring needs of a published model."""
 
-    model: GBTClassificationModel
+    model: Ensemble
     clusters: tuple[cluster.ClusterModel, cluster.ClusterModel]
     medians: DataFrame
 
@@ -179,7 +221,7 @@ def load_model(spark: SparkSession, root: str) -> Published:
         cluster.ClusterModel.load(spark, f"{folder}/{key.replace('_key', '_cluster')}", key, names)
         for key, names in (("user_key", USER_CLUSTER_FEATURES), ("product_key", PRODUCT_CLUSTER_FEATURES))
     )
-    return Published(GBTClassificationModel.load(f"{folder}/model"), clusters, spark.read.parquet(f"{folder}/medians"))
+    return Published(Ensemble.load(spark, f"{folder}/model"), clusters, spark.read.parquet(f"{folder}/medians"))
 
 
 def recommend_job(
@@ -209,7 +251,6 @@ def training_job(
 ) -> DataFrame:
     """Features, gate, training, rollback and quality gates, publication of model and reference."""
     spark = fact.sparkSession
-    ensure_checkpoints(spark, root)
     features.check_leakage(features.prior_rows(fact), features.train_rows(fact))
     matrix = stage("training_matrix", features.feature_matrix(fact, dim_product, stage=stage))
     report = validate.validate(matrix)
@@ -233,22 +274,14 @@ def training_job(
     )
 
 
-def ensure_checkpoints(spark: SparkSession, root: str) -> None:
-    """Give iterative learners a checkpoint folder when the cluster has not set one."""
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or f"{root}/checkpoints")
-
-
 def score_requests(scoring: DataFrame, trained: Trained | Published) -> DataFrame:
     """Model scores of a scoring matrix: clusters, imputation, contract check, prediction."""
     assigned = scoring
     for model in trained.clusters:
         assigned = cluster.assign(model, assigned)
     filled = train.preprocess(assigned, trained.medians)
-    aligned = recommend.align(filled, list(train.MODEL_FEATURES), trained.model.numFeatures)
-    vectors, _ = train.vectorise(aligned)
-    return train.score(trained.model, vectors).select("user_key", "product_key", "score")
+    aligned = recommend.align(filled, list(train.MODEL_FEATURES), len(trained.model.bins.features))
+    return train.score(trained.model, train.with_codes(aligned)).select("user_key", "product_key", "score")
 
 
 def write_recommendations(flat: DataFrame, path: str) -> None:

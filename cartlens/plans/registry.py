@@ -579,17 +579,32 @@ QUALITY = {
 # The whole training and the whole search, as the surveyed pipeline runs them.
 TRAINING = jobs.TrainingConfig()
 SEARCH_TRIALS = 50
-_TRAINED: dict[str, jobs.Trained] = {}
-_TRAINED_LOCK = threading.Lock()
+_STEPS: dict[tuple[str, str], object] = {}
+_STEP_LOCKS: dict[tuple[str, str], threading.Lock] = {}
+_STEPS_LOCK = threading.Lock()
+
+
+def _step(ws: Workspace, name: str, build: Callable[[], object]):
+    """A step of the training, done once per workspace; other steps and workspaces do not wait for it."""
+    key = (ws.path, name)
+    with _STEPS_LOCK:
+        lock = _STEP_LOCKS.setdefault(key, threading.Lock())
+    with lock:
+        if key not in _STEPS:
+            _STEPS[key] = build()
+        return _STEPS[key]
+
+
+def _clustered(ws: Workspace) -> jobs.Clustered:
+    return _step(ws, "clusters", lambda: jobs.fit_clusters(ws.matrix, TRAINING, ws.stage))
+
+
+def _ready(ws: Workspace) -> jobs.Prepared:
+    return _step(ws, "prepared", lambda: jobs.prepare(ws.matrix, _clustered(ws), ws.stage))
 
 
 def _trained(ws: Workspace) -> jobs.Trained:
-    """One fitted model per workspace."""
-    with _TRAINED_LOCK:
-        if ws.path not in _TRAINED:
-            jobs.ensure_checkpoints(ws.spark, ws.path)
-            _TRAINED[ws.path] = jobs.fit_model(ws.matrix, TRAINING, ws.stage)
-        return _TRAINED[ws.path]
+    return _step(ws, "trees", lambda: jobs.fit_model(ws.matrix, TRAINING, ws.stage, _clustered(ws), _ready(ws)))
 
 
 def _preprocessed(ws: Workspace) -> DataFrame:
@@ -605,16 +620,12 @@ def _preprocessed(ws: Workspace) -> DataFrame:
 
 def _assigned(ws: Workspace) -> DataFrame:
     """Clusters per pair and split, -1 for users and products outside the train profiles."""
-    rows = _splits(ws)
-    for model in _trained(ws).clusters:
-        rows = jobs.assign_by_split(model, rows)
-    return rows.select("user_key", "product_key", "split", "user_cluster", "product_cluster")
+    return _clustered(ws).assigned.select("user_key", "product_key", "split", "user_cluster", "product_cluster")
 
 
 def _tuned(ws: Workspace) -> DataFrame:
-    trained = _trained(ws)
-    vectors, largest = train.vectorise(ws.written("model_frame", lambda: trained.prepared))
-    _, trials = train.search(vectors, trained.weight, largest, SEARCH_TRIALS, TRAINING.params)
+    ready = _ready(ws)
+    _, trials = train.search(ready.rows, ready.coded, SEARCH_TRIALS, TRAINING.params, stage=ws.stage)
     return trials
 
 
@@ -670,8 +681,8 @@ def _training_job(ws: Workspace) -> DataFrame:
 
 MODELS = {
     "fe_preprocess": _preprocessed,
-    "kmeans_user_clusters": lambda ws: cluster.clustered(_trained(ws).clusters[0]),
-    "kmeans_product_clusters": lambda ws: cluster.clustered(_trained(ws).clusters[1]),
+    "kmeans_user_clusters": lambda ws: cluster.clustered(_clustered(ws).clusters[0]),
+    "kmeans_product_clusters": lambda ws: cluster.clustered(_clustered(ws).clusters[1]),
     "cluster_assign": _assigned,
     "train_gbt_metrics": lambda ws: _trained(ws).test_metrics,
     "best_threshold": lambda ws: train.best_threshold(_trained(ws).scored("val")),

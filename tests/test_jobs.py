@@ -61,7 +61,7 @@ def test_publish_record_rollback_and_kpis(spark, run):
     again = jobs.cluster.ClusterModel.load(
         spark, f"{root}/models/{name}/user_cluster", "user_key", jobs.USER_CLUSTER_FEATURES
     )
-    assert again.kmeans.clusterCenters()[0] == pytest.approx(trained.clusters[0].kmeans.clusterCenters()[0])
+    assert again.centres == trained.clusters[0].centres
     figures = train.kpis(record).first()
     assert figures.total_users == 60 and figures.active_features <= len(train.MODEL_FEATURES)
     assert max(r.share_of_max for r in figures.importance_shares) == 1.0
@@ -142,40 +142,6 @@ def test_workspace_follows_the_configured_folder(folder):
     assert done.stdout.strip().startswith(folder), done.stderr[-500:]
 
 
-def separable(spark, rows=1_500):
-    """Rows whose label follows from two features, with small gains per tree."""
-    from pyspark.ml.feature import VectorAssembler
-
-    split = F.when(F.col("id") % 10 < 7, "train").when(F.col("id") % 10 < 9, "val").otherwise("test")
-    frame = spark.range(rows).select(
-        ((F.col("id") * 37) % 101 / 101).alias("a"), ((F.col("id") * 53) % 97 / 97).alias("b"), split.alias("split")
-    )
-    labelled = frame.withColumn("label", (F.sin(F.col("a") * 9) + F.cos(F.col("b") * 7) > 0.2).cast("int"))
-    return VectorAssembler(inputCols=["a", "b"], outputCol="features").transform(labelled)
-
-
-def test_boosting_does_not_end_at_a_small_gain(spark):
-    params = train.TreeParams(max_iter=12, step_size=0.05, max_depth=3, min_instances=1, patience=5)
-    rows = separable(spark)
-    model = train.fit_trees(rows, 1.0, params, 0)
-    assert model.getNumTrees > 5
-    from cartlens.operators import metrics
-
-    assert metrics.evaluate(train.score(model, rows.where("split = 'test'"))).first().auc > 0.9
-
-
-def test_cut_model_scores_like_its_first_trees(spark):
-    rows = separable(spark, 400)
-    long = train.TreeParams(max_iter=6, step_size=0.1, max_depth=2, min_instances=1)
-    short = train.TreeParams(max_iter=2, step_size=0.1, max_depth=2, min_instances=1)
-    only_train = rows.where("split = 'train'")  # without validation rows nothing is cut
-    cut = train.first_trees(train.fit_trees(only_train, 1.0, long, 0), 2)
-    assert cut.getNumTrees == 2 and cut.numFeatures == 2
-    whole = train.fit_trees(only_train, 1.0, short, 0)
-    one, two = ([r.score for r in train.score(m, rows).select("score").collect()] for m in (cut, whole))
-    assert one == pytest.approx(two)
-
-
 def test_best_iteration_waits():
     assert train.best_iteration([3.0, 2.0, 2.5, 2.4, 1.0], patience=5) == 5
     assert train.best_iteration([3.0, 2.0, 2.5, 2.4, 1.0], patience=2) == 2
@@ -255,11 +221,22 @@ def test_registered_training_and_search_are_whole(monkeypatch):
     from cartlens.plans import registry
 
     asked = []
-    monkeypatch.setattr(registry, "_trained", lambda ws: SimpleNamespace(prepared=None, weight=1.0))
-    monkeypatch.setattr(train, "vectorise", lambda rows: (rows, 2))
-    monkeypatch.setattr(train, "search", lambda rows, weight, largest, *a, **k: (None, asked.append(train.random_params(*a, **k))))
-    registry._tuned(SimpleNamespace(written=lambda name, make: make()))
+    monkeypatch.setattr(registry, "_ready", lambda ws: SimpleNamespace(rows=None, coded=None))
+    monkeypatch.setattr(train, "search", lambda rows, coded, *a, stage: (None, asked.append(train.random_params(*a))))
+    registry._tuned(SimpleNamespace(stage=None))
     assert registry.TRAINING.params == train.TreeParams()
-    assert len(asked[0]) == 50 and {p.patience for p in asked[0]} == {50}
+    assert len(asked[0]) == 50 and {p.patience for p in asked[0]} == {30}
     assert min(p.max_iter for p in asked[0]) >= 200 and max(p.max_iter for p in asked[0]) > 900
     assert {p.max_depth for p in asked[0]} == set(range(3, 13))
+
+
+def test_clusters_do_not_wait_for_trees(monkeypatch):
+    from types import SimpleNamespace
+
+    from cartlens.plans import registry
+
+    monkeypatch.setattr(jobs, "fit_model", lambda *a, **k: pytest.fail("must not train"))
+    found = jobs.Clustered(None, None, ("users", "products"))
+    monkeypatch.setattr(jobs, "fit_clusters", lambda *a: found)
+    ws = SimpleNamespace(path="nowhere", matrix=None, stage=None)
+    assert registry._clustered(ws) is registry._clustered(ws) is found
