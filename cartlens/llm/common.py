@@ -105,3 +105,28 @@ def fresh(columns: Sequence[str], *names: str) -> list[str]:
         taken.add(name.lower())
         found.append(name)
     return found
+
+
+class Powers:
+    """Powers 0 to n of an odd base and of its inverse, modulo 2^64.
+
+    A worker keeps up to ``KEPT`` of them; a longer text makes its own for the time it needs them.
+    """
+
+    KEPT = 1 << 21
+
+    def __init__(self, base: int):
+        self.bases = (base, pow(base, -1, 1 << 64))
+        self.tables = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+    def __call__(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        tables = self.tables
+        if len(tables[0]) <= n:
+            size, tables = 1 << max(12, n.bit_length()), []
+            for base in self.bases:
+                factors = np.full(size, base, np.uint64)
+                factors[0] = 1
+                tables.append(np.multiply.accumulate(factors))
+            if size <= self.KEPT:
+                self.tables = tables
+        return tables[0], tables[1]

@@ -17,6 +17,8 @@ from functools import lru_cache
 
 import numpy as np
 
+from cartlens.llm.common import Powers
+
 SHINGLE = 5
 COORDINATES = 96
 BAND = 4
@@ -24,21 +26,10 @@ BAND = 4
 FIRST_RANK = 0.25
 _GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _BASE = 0x5851F42D4C957F2D
-_INVERSE = pow(_BASE, -1, 1 << 64)
-_POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+_powers = Powers(_BASE)
 _WORD_BYTES = bytes(b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_POWERS[0]) <= n:
-        size = 1 << max(12, n.bit_length())
-        for k, base in enumerate((_BASE, _INVERSE)):
-            factors = np.full(size, base, np.uint64)
-            factors[0] = 1
-            _POWERS[k] = np.multiply.accumulate(factors)
-    return _POWERS[0], _POWERS[1]
-
-
 def mixed(x: np.ndarray) -> np.ndarray:
     """64-bit finaliser."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

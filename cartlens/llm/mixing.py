@@ -41,6 +41,7 @@ MAX_EPOCHS = 3
 WEIGHTS = (1, 2, 3)
 SEED = 7
 WORD = r"[^\x20\x09-\x0D]+"
+_WORD = re.compile(rb"[^\x20\x09-\x0D]+")
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -263,14 +264,21 @@ def mixed_documents(
         .agg(F.array_sort(F.collect_list(F.struct("_from", "_to"))).alias("_parts"))
     )
     joined = mix.docs.join(cut.hint("merge"), "_row").select("rest", "text", "_parts", "_size")
-    schema = fields(joined, ["rest", "text"], [])
 
-    def sliced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for run in byte_slices(batch, "text", 1 << 20):
-                rows = zip(utf8(run, "text"), run.column("_parts").to_pylist(), run.column("_size").to_pylist())
-                texts = [cut_words(text, [(p["_from"], p["_to"]) for p in parts], size) for text, parts, size in rows]
-                yield pa.RecordBatch.from_arrays([run.column("rest"), pa.array(texts, pa.string())], names=schema.names)
+    @F.arrow_udf("string")
+    def sliced(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
+        for columns in batches:
+            texts: list[pa.Array] = [pa.array([], pa.string())]
+            for run in byte_slices(pa.RecordBatch.from_arrays(list(columns), ["text", "parts"]), "text", 1 << 20):
+                rows = zip(utf8(run, "text"), run.column("parts").to_pylist())
+                texts.append(pa.array([cut_words(text, [(p["_from"], p["_to"]) for p in parts or ()]) for text, parts in rows], pa.string()))
+            yield pa.concat_arrays(texts)
+
+    # a document taken whole stays in the JVM; of the others only text and places go to Python
+    whole = F.aggregate("_parts", F.lit(0).cast("long"), lambda n, p: n + p["_to"] - p["_from"]) == F.col("_size")
+    given = [F.when(~whole, F.col(c)).alias(c) for c in ("text", "_parts")]
+    some = joined.select("rest", F.when(whole, F.col("text")).alias("_kept"), sliced(*given).alias("_cut"))
+    taken = some.select("rest", F.coalesce("_kept", "_cut").alias("text"))
 
     def column(name: str) -> Column:
         if name == text_col:
@@ -279,10 +287,10 @@ def mixed_documents(
             return F.char_length("text").cast(docs.schema[name].dataType).alias(name)
         return F.col("rest")[name].alias(name)
 
-    return joined.mapInArrow(sliced, schema).select(*[column(c) for c in docs.columns])
+    return taken.select(*[column(c) for c in docs.columns])
 
 
-def cut_words(text: bytes, parts: list[tuple[int, int]], size: int) -> str:
+def cut_words(text: bytes, parts: list[tuple[int, int]]) -> str:
     """The words of the given ranges (sorted, disjoint), with the text between them where ranges touch."""
     merged: list[list[int]] = []
     for start, end in parts:
@@ -290,7 +298,14 @@ def cut_words(text: bytes, parts: list[tuple[int, int]], size: int) -> str:
             merged[-1][1] = end
         else:
             merged.append([start, end])
-    if merged == [[0, size]]:
-        return text.decode("utf-8")
-    spans = [m.span() for m in re.finditer(rb"[^\x20\x09-\x0D]+", text)]
-    return "\n".join(text[spans[a][0] : spans[b - 1][1]].decode("utf-8") for a, b in merged)
+    found, ranges, first = [], iter(merged), 0
+    start, end = next(ranges, (-1, -1))
+    for number, word in enumerate(_WORD.finditer(text)):
+        if number == start:
+            first = word.start()
+        if number == end - 1:
+            found.append(text[first : word.end()].decode("utf-8"))
+            start, end = next(ranges, (-1, -1))
+            if end < 0:
+                break
+    return "\n".join(found)

@@ -23,9 +23,8 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.types import DoubleType
 
-from cartlens.llm.common import byte_slices, fields, fresh, ship, utf8
+from cartlens.llm.common import Powers, byte_slices, fresh, ship, utf8
 
 BATCH_BYTES = 1 << 20
 #: Labelled rows used for training, at most.
@@ -41,18 +40,7 @@ FOLDS = 5
 _BLANK = np.zeros(256, bool)
 _BLANK[[9, 10, 11, 12, 13, 32]] = True
 _BASE = 0x5851F42D4C957F2D
-_INVERSE = pow(_BASE, -1, 1 << 64)
-_POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
-
-
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_POWERS[0]) <= n:
-        size = 1 << max(12, n.bit_length())
-        for k, base in enumerate((_BASE, _INVERSE)):
-            factors = np.full(size, base, np.uint64)
-            factors[0] = 1
-            _POWERS[k] = np.multiply.accumulate(factors)
-    return _POWERS[0], _POWERS[1]
+_powers = Powers(_BASE)
 
 
 def _bucket(x: np.ndarray, kind: int) -> np.ndarray:
@@ -128,7 +116,7 @@ def counted(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Distinct buckets of a text and their shares of its features."""
     found, _ = features([text])
     bucket, count = np.unique(np.concatenate([b for _, b in found] or [np.zeros(0, np.int64)]), return_counts=True)
-    return bucket, (count / max(count.sum(), 1)).astype(np.float32)
+    return bucket.astype(np.int32), (count / max(count.sum(), 1)).astype(np.float32)
 
 
 def fit(texts: list[bytes], labels: list[int], epochs: int = EPOCHS, rate: float = RATE, seed: int = SEED) -> Model:
@@ -176,26 +164,28 @@ def train(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col
     known = known.groupBy(id_col).agg(F.max(label_col).cast("int").alias("_label"))
     picked = known.orderBy(F.xxhash64(id_col), id_col).limit(SAMPLE)
     # bounded: SAMPLE ids
-    rows = docs.select(id_col, text_col).join(F.broadcast(picked), id_col).select(text_col, "_label").toArrow()
-    pairs = sorted((t or "", y) for t, y in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist()))
-    return fit([t.encode("utf-8") for t, _ in pairs], [y for _, y in pairs])
+    rows = docs.select(text_col, id_col).join(F.broadcast(picked), id_col).select(F.coalesce(text_col, F.lit("")).cast("binary"), "_label").toArrow()
+    pairs = sorted(zip(rows.column(0).to_pylist(), rows.column(1).to_pylist()))
+    return fit([t for t, _ in pairs], [y for _, y in pairs])
 
 
 def score(docs: DataFrame, model: Model, text_col: str = "text", name: str = "score") -> DataFrame:
-    """The input with a column of scores, the probability of label 1, in place of any of that name; no shuffle."""
+    """The input with a column of scores, the probability of label 1, in place of any of that name; no shuffle.
+
+    Only texts go to Python and only scores come back; the other columns, and the texts, wait in the JVM.
+    """
     spark = docs.sparkSession
     ship(spark)
     columns = [c for c in docs.columns if c != name]
-    schema = fields(docs, columns, [(name, DoubleType())])
     shared = spark.sparkContext.broadcast(model)  # half a megabyte, whatever the data
 
-    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for run in byte_slices(batch, text_col, BATCH_BYTES):
-                found = pa.array(shared.value.scores(utf8(run, text_col)))
-                yield pa.RecordBatch.from_arrays([*(run.column(c) for c in columns), found], names=schema.names)
+    @F.arrow_udf("double")
+    def scored(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            parts = [shared.value.scores(utf8(run, "_text")) for run in byte_slices(pa.RecordBatch.from_arrays([texts], ["_text"]), "_text", BATCH_BYTES)]
+            yield pa.array(np.concatenate([np.zeros(0), *parts]))
 
-    return docs.select(*columns).mapInArrow(scored, schema)
+    return docs.select(*columns, scored(F.col(text_col)).alias(name))
 
 
 def accepted(docs: DataFrame, model: Model, text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:

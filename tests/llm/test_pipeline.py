@@ -32,5 +32,5 @@ def test_stages_take_awkward_rows(spark):
 def test_registration():
     names = set(__spark_entry__.queries())
     assert {*registry.queries(), "pipeline"} <= names
-    assert {n.split("_")[0] for n in registry.queries()} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in registry.queries()} == {f"op{i}" for i in range(1, 14)}
     assert set(registry.oracles()) <= set(registry.queries())
