@@ -124,8 +124,8 @@ def fit_model(
     ready = prepared or prepare(matrix, clustered, stage)
     params, trials = config.params, None
     if config.trials:
-        params, trials = train.search(ready.rows, ready.coded, config.trials, config.params, config.seed, stage=stage)
-    fitted = train.fit_trees(ready.coded, params, stage)
+        params, trials = train.search(ready.rows, ready.coded, config.trials, config.params, config.seed)
+    fitted = train.fit_trees(ready.coded, params)
     return Trained(
         fitted, clustered.clusters, ready.medians, ready.rows, clustered.splits, params, trials, ready.weight, config.threshold
     )

@@ -625,7 +625,7 @@ def _assigned(ws: Workspace) -> DataFrame:
 
 def _tuned(ws: Workspace) -> DataFrame:
     ready = _ready(ws)
-    _, trials = train.search(ready.rows, ready.coded, SEARCH_TRIALS, TRAINING.params, stage=ws.stage)
+    _, trials = train.search(ready.rows, ready.coded, SEARCH_TRIALS, TRAINING.params)
     return trials
 
 

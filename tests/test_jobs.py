@@ -222,7 +222,7 @@ def test_registered_training_and_search_are_whole(monkeypatch):
 
     asked = []
     monkeypatch.setattr(registry, "_ready", lambda ws: SimpleNamespace(rows=None, coded=None))
-    monkeypatch.setattr(train, "search", lambda rows, coded, *a, stage: (None, asked.append(train.random_params(*a))))
+    monkeypatch.setattr(train, "search", lambda rows, coded, *a: (None, asked.append(train.random_params(*a))))
     registry._tuned(SimpleNamespace(stage=None))
     assert registry.TRAINING.params == train.TreeParams()
     assert len(asked[0]) == 50 and {p.patience for p in asked[0]} == {30}
