@@ -4,8 +4,9 @@ A global window (``Window.orderBy`` without a partition) moves every row into a
 helpers here split the value range at hash-picked pivots, sort each range in its own task and add
 the totals of the lower ranges: a two-level prefix sum. The pivots are the values with the
 smallest hashes, so they are the same on every recomputation (a lost executor cannot shift a
-range border), and there is a fixed number of them, so broadcasting them and the range totals is
-bounded whatever the data volume. Results do not depend on the pivots, only the balance does.
+range border). Their number follows the shuffle partitions, between ``PIVOTS`` and ``MOST_PIVOTS``, so ranges
+keep up with the cluster and broadcasting pivots and range totals stays bounded whatever the data
+volume. A value finds its range by binary search. Results do not depend on the pivots, only the balance does.
 """
 
 from __future__ import annotations
@@ -15,6 +16,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 PIVOTS = 128
+MOST_PIVOTS = 4096
+#: Ranges for each shuffle partition.
+RANGES_EACH = 4
 
 
 def value_counts(df: DataFrame, keys: Sequence[str], value: str, n: str = "n") -> DataFrame:
@@ -32,12 +36,28 @@ def _pivots(df: DataFrame, keys: Sequence[str], value: str, pivots: int) -> Data
     return picked.groupBy(*keys).agg(F.array_sort(F.collect_list(value)).alias("_pivots"))
 
 
+def default_pivots(df: DataFrame) -> int:
+    """Pivots in proportion to the shuffle partitions of the session."""
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
+    return min(MOST_PIVOTS, max(PIVOTS, RANGES_EACH * partitions))
+
+
+def _with_range(df: DataFrame, value: str, pivots: int) -> DataFrame:
+    """Add ``_range``, the number of ``_pivots`` (sorted) that are not above the value, by binary search."""
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(pivots.bit_length()))])
+
+    def narrowed(low, step):
+        return F.when(F.get("_pivots", low + step - 1) <= F.col(value), low + step).otherwise(low)
+
+    return df.withColumn("_range", F.aggregate(steps, F.lit(0), narrowed))
+
+
 def running_totals(
     df: DataFrame,
     value: str,
     measures: Sequence[str],
     keys: Sequence[str] = (),
-    pivots: int = PIVOTS,
+    pivots: int | None = None,
 ) -> DataFrame:
     """Add ``<m>_before`` (sum over strictly smaller values) and ``<m>_total`` per measure.
 
@@ -46,15 +66,14 @@ def running_totals(
     broadcast, at most ``pivots + 1`` entries per key.
     """
     keys = list(keys)
+    pivots = pivots or default_pivots(df)
     split_at = _pivots(df, keys, value, pivots)
     if keys:
         # bounded: one array of at most `pivots` values per key
         ranged = df.join(F.broadcast(split_at), keys, "left")
     else:
         ranged = df.withColumn("_pivots", split_at.select("_pivots").scalar())
-    ranged = ranged.withColumn(
-        "_range", F.coalesce(F.size(F.filter("_pivots", lambda p: p <= F.col(value))), F.lit(0))
-    ).drop("_pivots")
+    ranged = _with_range(ranged, value, pivots).drop("_pivots")
 
     # at most `pivots + 1` ranges per key, so these windows and the broadcast stay small
     totals = ranged.groupBy(*keys, "_range").agg(*[F.sum(m).alias(m) for m in measures])

@@ -104,13 +104,32 @@ def prior_full(history: DataFrame, products: DataFrame) -> DataFrame:
     return history.where(F.col("eval_set") == "prior").join(products, "product_id")
 
 
+def first_of_each(frame: DataFrame, keys: list[str]) -> DataFrame:
+    """One row per key: the smallest in the order of the other columns as they stand (null first).
+
+    The aggregate is combined before its shuffle, so a key with very many rows is one row per task.
+    """
+    rest = [c for c in frame.columns if c not in keys]
+    if not rest:
+        return frame.distinct()
+    # a flag before each value, as structs compare null after all others in no engine's stated way
+    ordered = F.struct(*[e for i, c in enumerate(rest) for e in (F.col(c).isNotNull().alias(f"f{i}"), F.col(c).alias(f"v{i}"))])
+    best = frame.groupBy(*keys).agg(F.min(ordered).alias("_best"))
+    named = {c: F.col("_best")[f"v{i}"] for i, c in enumerate(rest)}
+    return best.select(*[named.get(c, F.col(c)).alias(c) for c in frame.columns])
+
+
 def backfill_dim_user(dim_user: DataFrame, incoming: DataFrame) -> DataFrame:
-    """Fill the descriptive columns of users without a name from an incoming list."""
-    new = incoming.select(
+    """Fill the descriptive columns of users without a name from an incoming list.
+
+    Of several incoming rows of a user with a name, the one with the smallest name, then address, counts.
+    """
+    named = incoming.where(F.col("user_name").isNotNull()).select(
         "user_key",
         F.col("user_name").alias("_name"),
         F.regexp_replace("user_address", "\n", ", ").alias("_address"),
-    ).dropDuplicates(["user_key"])
+    )
+    new = first_of_each(named, ["user_key"])
     missing = F.col("user_name").isNull() & F.col("_name").isNotNull()
     return dim_user.join(new, "user_key", "left").select(
         *[
@@ -123,5 +142,5 @@ def backfill_dim_user(dim_user: DataFrame, incoming: DataFrame) -> DataFrame:
 
 
 def insert_ignore(target: DataFrame, incoming: DataFrame, keys: list[str]) -> DataFrame:
-    """Rows of ``incoming`` to append: new keys only, one row per key."""
-    return incoming.dropDuplicates(keys).join(target.select(*keys), keys, "left_anti")
+    """Rows of ``incoming`` to append: new keys only, of several rows of a key the smallest."""
+    return first_of_each(incoming.join(target.select(*keys), keys, "left_anti"), keys)

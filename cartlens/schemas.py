@@ -80,11 +80,19 @@ FACT = _struct(
     ("get_eval", STRING, False),
 )
 STAR_SCHEMAS = {"dim_user": DIM_USER, "dim_product": DIM_PRODUCT, "fact_order_products": FACT}
+# Primary keys, references (column to table), longest texts and value rules of the star schema.
 STAR_KEYS = {
     "dim_user": ["user_key"],
     "dim_product": ["product_key"],
     "fact_order_products": ["order_key", "product_key"],
 }
+STAR_REFERENCES = {"fact_order_products": {"user_key": "dim_user", "product_key": "dim_product"}}
+STAR_LENGTHS = {
+    "dim_user": {"user_name": 150, "user_address": 300},
+    "dim_product": {"product_name": 300, "aisle_name": 100, "department_name": 100},
+    "fact_order_products": {"get_eval": 10},
+}
+STAR_RULES = {"fact_order_products": {"get_eval": "get_eval in ('train', 'prior')"}}
 
 # --- feature matrix: fixed column contract ------------------------------------------------------
 MATRIX = _struct(

@@ -256,6 +256,15 @@ _EXTENDED = " UNION ALL ".join(
     ]
     + [_check(f"{c}_not_all_null", f"CASE WHEN count({c}) > 0 THEN 0 ELSE 1 END", "failing") for c in _NULLABLE]
     + [_check(f"{c}_positive", f"count(*) FILTER ({c} <= 0)", "failing") for c in ("user_key", "product_key")]
+    + [
+        _check(f"{c}_not_negative", f"count(*) FILTER ({c} < 0)", "failing")
+        for c in ("user_total_orders", "product_total_purchases", "up_times_purchased", "user_distinct_products")
+    ]
+    + [
+        _check(f"{c}_is_fractional", f"CASE WHEN max(typeof({c})) IN ('FLOAT', 'DOUBLE') THEN 0 ELSE 1 END", "failing")
+        for c in ("user_avg_basket_size", "user_reorder_ratio", "product_reorder_rate", "up_reorder_rate")
+    ]
+    + [_check("label_is_integer", "CASE WHEN max(typeof(label)) LIKE '%INT%' THEN 0 ELSE 1 END", "failing")]
 )
 
 _BATCH = """, found AS (

@@ -29,6 +29,37 @@ def _counts(names: dict[str, str]) -> str:
     return f", counted AS ({body}) SELECT * FROM counted UNION ALL SELECT 'total', CAST(sum(rows) AS BIGINT) FROM counted"
 
 
+def _rule(table: str, kind: str, names: str, broken: str) -> str:
+    source = "fact" if table == "fact_order_products" else table
+    return f"""SELECT '{table}' AS "table", '{kind}' AS kind, '{names}' AS columns, ({broken.format(t=source)}) AS violations"""
+
+
+_REQUIRED = {
+    "dim_user": ["user_key"],
+    "dim_product": ["product_key", "product_name", "aisle_name", "department_name"],
+    "fact_order_products": [
+        "order_key", "user_key", "product_key", "order_dow", "order_hour_of_day", "add_to_cart_order", "reordered",
+        "order_number", "get_eval",
+    ],
+}
+_LENGTHS = [
+    ("dim_user", "user_name", 150), ("dim_user", "user_address", 300), ("dim_product", "product_name", 300),
+    ("dim_product", "aisle_name", 100), ("dim_product", "department_name", 100), ("fact_order_products", "get_eval", 10),
+]
+_CONSTRAINTS = " UNION ALL ".join(
+    [_rule(t, "not_null", c, f"SELECT count(*) - count({c}) FROM {{t}}") for t, names in _REQUIRED.items() for c in names]
+    + [_rule(t, "length", c, f"SELECT count(*) FILTER (length({c}) > {n}) FROM {{t}}") for t, c, n in _LENGTHS]
+    + [_rule("fact_order_products", "check", "get_eval", "SELECT count(*) FILTER (get_eval NOT IN ('train', 'prior')) FROM {t}")]
+    + [
+        _rule(t, "primary_key", keys, f"SELECT count(*) - (SELECT count(*) FROM (SELECT DISTINCT {keys} FROM {{t}})) FROM {{t}}")
+        for t, keys in (("dim_user", "user_key"), ("dim_product", "product_key"), ("fact_order_products", "order_key, product_key"))
+    ]
+    + [
+        _rule("fact_order_products", "foreign_key", k, f"SELECT count(*) FROM {{t}} WHERE {k} NOT IN (SELECT {k} FROM {d})")
+        for k, d in (("user_key", "dim_user"), ("product_key", "dim_product"))
+    ]
+)
+
 ORACLES = {
     "scan_csv_typed": with_sources(f"SELECT {_ORDERS} FROM src_orders"),
     "scan_parquet": with_features(f"SELECT {columns(MATRIX_COLUMNS)} FROM matrix"),
@@ -87,6 +118,12 @@ ORACLES = {
         " CAST(order_hour_of_day AS BIGINT) AS order_hour_of_day, days_since_prior_order, product_name, aisle, department"
         " FROM prior_full"
     ),
+    "load_report": with_star(
+        "SELECT 'dim_user' AS \"table\", 'completed' AS state, count(*) AS rows, CAST(NULL AS VARCHAR) AS error FROM dim_user"
+        " UNION ALL SELECT 'dim_product', 'completed', count(*), NULL FROM dim_product"
+        " UNION ALL SELECT 'fact_order_products', 'completed', count(*), NULL FROM fact"
+    ),
+    "star_constraints": with_star(_CONSTRAINTS),
     "etl_full_counts": with_star(
         "SELECT 'dim_user' AS \"table\", count(*) AS rows FROM dim_user UNION ALL"
         " SELECT 'dim_product', count(*) FROM dim_product UNION ALL SELECT 'fact_order_products', count(*) FROM fact"
