@@ -12,8 +12,9 @@ Classes are the connected components of the links, found without all pairs of a
 2. In each bucket the member with the smallest share of own occurrences is the hub, and every other
    member is a candidate with it. Verified links give classes.
 3. What remains are pairs of different classes in one bucket. Two sets share at most the sum, over hash
-   classes of occurrences, of the smaller number that each could share; all pairs that this bound
-   allows are verified. In the end no candidate pair of different classes is undecided, so the
+   classes of occurrences, of the smaller number that each could share. A set marks a bit per class and level (it
+   has one, it has two), so the sum is the number of common bits, compiled, with what is
+   above the levels added whole; all pairs that this bound allows are verified. In the end no candidate pair of different classes is undecided, so the
    classes are those that all pairs would give.
 
 Bucket counts and hubs are grouped with map-side combine, and members are joined with them, which
@@ -39,8 +40,9 @@ from cartlens.llm.common import byte_slices, fields, fresh, ship, strings, writt
 
 BATCH_BYTES = 1 << 20
 SIMILARITY = 0.8
-#: Hash classes of shingle occurrences; counts by class bound what two sets can share.
-CLASSES = 64
+#: Hash classes of shingle occurrences, and the occurrences of a class that are marked one by one.
+CLASSES = 1024
+LEVELS = 2
 KEY = ["_k1", "_k2"]
 
 
@@ -83,12 +85,12 @@ def sketched(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 
 def shingle_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Written table of member key, ``_n``, ``_codes`` (shingle occurrences) and their number by class, of the wanted documents."""
+    """Written table of member key, ``_n`` and ``_codes`` (shingle occurrences) of the wanted documents."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     small = docs.select(F.col(id_col).alias("_id"), F.xxhash64(text).alias("_tie"), text.alias("_text"))
     named = wanted.select(F.col("_id").alias("_wid"), F.col("_tie").alias("_wtie"))
     chosen = small.join(named, F.col("_id").eqNullSafe(F.col("_wid")) & (F.col("_tie") == F.col("_wtie")), "left_semi")
-    kind = "_k1 long, _k2 long, _n int, _codes array<int>, _classes array<int>"
+    kind = "_k1 long, _k2 long, _n int, _codes array<int>"
 
     def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from cartlens.llm import dart_minhash
@@ -109,9 +111,8 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame, id_col: str, text_col: str)
                         pa.array(two, pa.int64()),
                         pa.array(sizes, pa.int32()),
                         lists,
-                        pa.array([np.bincount(s & (CLASSES - 1), minlength=CLASSES) for s in sets], pa.list_(pa.int32())),
                     ],
-                    names=["_k1", "_k2", "_n", "_codes", "_classes"],
+                    names=["_k1", "_k2", "_n", "_codes"],
                 )
 
     sets = written(chosen.select("_text").mapInArrow(coded, kind), "sets")
@@ -189,9 +190,9 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
     central = written(placed.groupBy("_m").agg(F.sum("_size").alias("_degree")), "central")
     wanted = members.join(central.select("_m"), "_m", "left_semi")
     found = shingle_sets(docs, wanted.select("_first.id", "_first.tie").toDF("_id", "_tie"), id_col, text_col)
-    sets = written(wanted.select(*KEY, "_m").join(found, KEY).select("_m", "_n", "_codes", "_classes"), "member_sets")
+    sets = written(wanted.select(*KEY, "_m").join(found, KEY).select("_m", "_n", "_codes"), "member_sets")
     traits = written(linkable(sets, threshold).join(central, "_m"), "traits")
-    placed = written(placed.select("_bucket", "_m").join(traits.drop("_shareable"), "_m"), "linkable")
+    placed = written(placed.select("_bucket", "_m").join(traits.drop("_own"), "_m"), "linkable")
 
     hubs = written(placed.groupBy("_bucket").agg(F.max(_rank()).alias("_hub")), "hubs")
     pairs = placed.join(hubs, "_bucket").where(_possible(*(F.col(c) for c in ("_n", "_u", "_hub.n", "_hub.u")), threshold))
@@ -202,13 +203,15 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
     joined = written(placed.join(labels, "_m", "left").withColumn("_c", F.coalesce("_c", "_m")), "labelled")
     several = joined.groupBy("_bucket").agg(F.min("_c").alias("_low"), F.max("_c").alias("_high")).where("_low < _high")
     left = joined.join(written(several.select("_bucket"), "several"), "_bucket")
-    left = written(left.join(traits.select("_m", "_shareable"), "_m"), "mixed")
-    names = ("_m", "_c", "_n", "_u", "_shareable")
+    left = written(left, "mixed_members")
+    marked = marks(sets.join(left.select("_m").distinct(), "_m", "left_semi"), traits.select("_m", "_own"))
+    left = written(left.join(written(marked, "marks"), "_m"), "mixed")
+    names = ("_m", "_c", "_n", "_u", "_marks", "_above")
     a, b = (left.select("_bucket", *[F.col(c).alias(f"{c}{side}") for c in names]) for side in ("a", "b"))
     possible = _possible(*(F.col(c) for c in ("_na", "_ua", "_nb", "_ub")), threshold)
-    most = F.aggregate(
-        F.zip_with("_shareablea", "_shareableb", lambda x, y: F.least(x, y)), F.lit(0), lambda total, x: total + x
-    )
+    most = F.least("_abovea", "_aboveb")
+    for i in range(CLASSES * LEVELS // 64):
+        most = most + F.bit_count(F.col("_marksa")[i].bitwiseAND(F.col("_marksb")[i]))
     enough = most >= threshold * (F.col("_na") + F.col("_nb") - most) - 1e-9
     across = a.join(b, "_bucket").where((F.col("_ca") < F.col("_cb")) & possible & enough)
     pairs = _ordered(across.select(F.col("_ma").alias("_a"), F.col("_mb").alias("_b")))
@@ -225,23 +228,38 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
 
 
 def linkable(sets: DataFrame, threshold: float) -> DataFrame:
-    """Members that can be similar to another: ``_m``, ``_n``, ``_u`` and ``_shareable``.
+    """Members that can be similar to another: ``_m``, ``_n``, ``_u`` and ``_own``.
 
-    ``_u`` counts the occurrences that no other member has, ``_shareable`` the others by class. A partner shares at most ``n - u`` occurrences, and the union has at least ``n``.
+    ``_own`` has the occurrences that no other member has, ``_u`` their number. A partner shares at most ``n - u`` occurrences, and the union has at least ``n``.
     """
     codes = sets.select("_m", F.explode("_codes").alias("_code"))
     alone = codes.groupBy("_code").agg(F.count("*").alias("_times"), F.min("_m").alias("_m")).where("_times = 1")
-    place = F.col("_code").bitwiseAND(CLASSES - 1)
-    by_class = F.array(*[F.count_if(place == i).cast("int") for i in range(CLASSES)])
-    own = alone.groupBy("_m").agg(F.count("*").alias("_u"), by_class.alias("_own"))
-    joined = sets.select("_m", "_n", "_classes").join(own, "_m", "left")
-    shareable = F.when(F.col("_own").isNull(), F.col("_classes")).otherwise(
-        F.zip_with("_classes", "_own", lambda every, alone_: every - alone_)
-    )
-    known = joined.select("_m", "_n", F.coalesce("_u", F.lit(0)).alias("_u"), shareable.alias("_shareable"))
+    # a list is part of its member's set
+    own = alone.groupBy("_m").agg(F.count("*").alias("_u"), F.collect_list("_code").alias("_own"))
+    joined = sets.select("_m", "_n").join(own, "_m", "left")
+    known = joined.select("_m", "_n", F.coalesce("_u", F.lit(0)).alias("_u"), F.coalesce("_own", F.array().cast("array<int>")).alias("_own"))
     return known.where(F.col("_n") - F.col("_u") >= threshold * F.col("_n") - 1e-9)
 
 
+def marks(sets: DataFrame, own: DataFrame) -> DataFrame:
+    """``_m`` with ``_marks``, the shareable occurrences as bits by level and class, and ``_above``, their number above the levels."""
+
+    def marked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words, above = [], []
+            for i in range(batch.num_rows):
+                codes, alone = (batch.column(c)[i].values.to_numpy() for c in ("_codes", "_own"))
+                number = np.bincount(np.setdiff1d(codes, alone) & (CLASSES - 1), minlength=CLASSES)
+                bits = np.packbits(number >= np.arange(1, LEVELS + 1)[:, None], bitorder="little")
+                words.append(bits.view("<i8").tolist())
+                above.append(int(np.maximum(number - LEVELS, 0).sum()))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("_m"), pa.array(words, pa.list_(pa.int64())), pa.array(above, pa.int32())], names=["_m", "_marks", "_above"]
+            )
+
+    return sets.join(own, "_m").select("_m", "_codes", "_own").mapInArrow(marked, "_m long, _marks array<long>, _above int")
+
+
 def _possible(n: Column, u: Column, m: Column, v: Column, threshold: float) -> Column:
     """Whether sets of n and m occurrences, u and v of them shared with no other, can reach the threshold."""
     most = F.least(n - u, m - v)

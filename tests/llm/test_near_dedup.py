@@ -105,3 +105,36 @@ def test_edge_cases(spark):
     assert kept.columns == docs.columns
     assert kept.count() == len({r.class_id for r in found}) + 1  # id 6 stands for two texts
     assert near_dedup.near_copies(empty(spark)).collect() == [] and near_dedup.drop_near_copies(empty(spark)).collect() == []
+
+
+def test_marks_bound_what_two_sets_share(spark):
+    rng = np.random.default_rng(3)
+    sets, own = [], []
+    for m in range(30):
+        n = int(rng.choice([3, 50, 400, 6_000]))
+        codes = np.unique(rng.integers(0, 9_000, n)).astype(np.int32)
+        alone = rng.choice(codes, len(codes) // 5, replace=False)
+        sets.append((m, codes.tolist()))
+        own.append((m, alone.tolist()))
+    marked = near_dedup.marks(
+        spark.createDataFrame(sets, "_m long, _codes array<int>"), spark.createDataFrame(own, "_m long, _own array<int>")
+    ).collect()
+    assert len(marked) == 30
+    words = {r["_m"]: (np.asarray(r["_marks"], "<i8"), r["_above"]) for r in marked}
+    left = {m: set(c) - set(o) for (m, c), (_, o) in zip(sets, own)}
+    for a in left:
+        for b in left:
+            common = int(np.bitwise_count(words[a][0] & words[b][0]).sum()) + min(words[a][1], words[b][1])
+            assert len(left[a] & left[b]) <= common
+            if a == b:
+                assert common == len(left[a])
+
+
+def test_families_that_share_a_passage_stay_apart(spark):
+    """Many classes in the buckets of one passage: few pairs leave the bound, and classes are those of all pairs."""
+    passage, rows = prose(900, 60, 10_000), []
+    for family in range(60):
+        text = passage + " " + prose(1_000 + family, 80, 10_000)
+        rows += [(3 * family + k, edited(text, k, family)) for k in range(3)]
+    found = near_dedup.near_copies(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert {r.doc_id: r.class_id for r in found} == plain_classes(rows)
