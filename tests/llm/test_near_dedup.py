@@ -120,7 +120,7 @@ def test_marks_bound_what_two_sets_share(spark):
         spark.createDataFrame(sets, "_m long, _codes array<int>"), spark.createDataFrame(own, "_m long, _own array<int>")
     ).collect()
     assert len(marked) == 30
-    words = {r["_m"]: (np.asarray(r["_marks"], "<i8"), r["_above"]) for r in marked}
+    words = {r["_m"]: (np.asarray(r["_marks"], "<i8").view("<u8"), r["_above"]) for r in marked}
     left = {m: set(c) - set(o) for (m, c), (_, o) in zip(sets, own)}
     for a in left:
         for b in left:
