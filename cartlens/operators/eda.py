@@ -600,9 +600,9 @@ def high_correlations(pairwise: DataFrame, limit: float = HIGH_CORRELATION) -> D
 
 def label_correlations(matrix: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Correlation of each feature with the label."""
-    return _pair_correlations(matrix, [(c, "label") for c in columns]).select(
-        F.col("feature_a").alias("feature"), "correlation"
-    )
+    known = matrix.select(F.col("label").cast("double").alias("_label"), *[F.col(c).cast("double").alias(c) for c in columns])
+    found = known.agg(*[F.nullif(F.corr(c, "_label"), F.lit(float("nan"))).alias(c) for c in columns])
+    return found.unpivot([], list(columns), "feature", "correlation")
 
 
 def label_rate_by_segment(matrix_pairs: DataFrame, user_orders: DataFrame, upper: int = 9999) -> DataFrame:

@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from cartlens.functions.columns import narrow, ratio, segment_code
+from cartlens.functions.ordering import running_totals
 from cartlens.functions.staging import Stage, unstaged
 from cartlens.schemas import (
     MATRIX,
@@ -43,11 +44,11 @@ def train_rows(fact: DataFrame) -> DataFrame:
 def name_codes(dim: DataFrame, name: str, code: str) -> DataFrame:
     """Alphabetical code of each distinct name.
 
-    The window is unpartitioned but sees distinct names only, at most 32,767 by the SMALLINT
-    contract of the code.
+    The code of a name is the number of names before it: names are counted in ranges, each in a task of its own, and
+    range totals are added, so there may be any number of them.
     """
-    names = dim.select(name).where(F.col(name).isNotNull()).distinct()
-    return names.select(name, (F.row_number().over(Window.orderBy(name)) - 1).alias(code))
+    names = dim.select(name).where(F.col(name).isNotNull()).distinct().withColumn("_n", F.lit(1))
+    return running_totals(names, name, ["_n"]).select(name, F.col("_n_before").cast("int").alias(code))
 
 
 def product_codes(dim_product: DataFrame) -> DataFrame:

@@ -28,6 +28,7 @@ from cartlens.operators import (
 from cartlens.plans import jobs, load
 from cartlens.plans.workspace import AS_OF, Workspace
 from cartlens.schemas import (
+    SEGMENT_NAMES,
     FEATURE_COLUMNS,
     MATRIX,
     PRODUCT_CLUSTER_FEATURES,
@@ -308,9 +309,12 @@ INTEGRITY = {
 
 
 def _splits(ws: Workspace) -> DataFrame:
-    """Matrix rows with their split; the user assignment is written once."""
-    users = ws.written("split", lambda: split.split_users(ws.matrix))
-    return split.with_split(ws.matrix, users)
+    """Matrix rows with their split, written once in a folder per split: readers of one split read its files alone."""
+
+    def build() -> DataFrame:
+        return split.with_split(ws.matrix, ws.written("split", lambda: split.split_users(ws.matrix)))
+
+    return ws.written("matrix_by_split", build, "split")
 
 
 def _part(ws: Workspace, name: str) -> DataFrame:
@@ -611,6 +615,11 @@ def _step(ws: Workspace, name: str, build: Callable[[], object]):
         return _STEPS[key]
 
 
+def _one_hot(ws: Workspace) -> DataFrame:
+    encoded = train.one_hot(ws.matrix, {"user_segment_code": list(SEGMENT_NAMES)})
+    return encoded.select("user_key", "product_key", *[f"user_segment_code_{c}" for c in SEGMENT_NAMES])
+
+
 def _clustered(ws: Workspace) -> jobs.Clustered:
     return _step(ws, "clusters", lambda: jobs.fit_clusters(ws.matrix, TRAINING, ws.stage))
 
@@ -697,6 +706,7 @@ def _training_job(ws: Workspace) -> DataFrame:
 
 MODELS = {
     "fe_preprocess": _preprocessed,
+    "fe_one_hot": _one_hot,
     "kmeans_user_clusters": lambda ws: cluster.clustered(_clustered(ws).clusters[0]),
     "kmeans_product_clusters": lambda ws: cluster.clustered(_clustered(ws).clusters[1]),
     "cluster_assign": _assigned,

@@ -287,6 +287,11 @@ ORACLES = {
     ),
     "validate_matrix": with_features(_VALIDATE),
     "validate_extended": with_features(_EXTENDED),
+    "fe_one_hot": with_features(
+        "SELECT user_key, product_key, "
+        + ", ".join(f"CAST(coalesce(user_segment_code = {c}, false) AS BIGINT) AS user_segment_code_{c}" for c in range(1, 6))
+        + " FROM matrix"
+    ),
     "drift_psi": with_features(DRIFT + "SELECT feature, round(psi, 6) AS psi FROM psi"),
     "drift_ks": with_features(DRIFT + "SELECT feature, round(ks, 6) AS ks FROM ks"),
     "drift_by_feature": with_features(DRIFT + "SELECT * FROM by_feature"),

@@ -155,3 +155,23 @@ def test_reports(spark):
     assert fe.matrix_summary(out).first().users == 40
     nulls = {r.column_name: r.null_count for r in fe.null_report(out).collect()}
     assert nulls["up_delta_days"] == nulls["up_avg_days_between_orders"] > 0
+
+
+def test_one_hot_columns(spark):
+    from cartlens.operators import train
+
+    frame = spark.createDataFrame([(1, 2, None), (2, -1, 7), (3, 2, 8)], "user_key int, a int, b int")
+    codes = train.categories(frame.where("user_key < 3"), ["a", "b"])
+    assert codes == {"a": [-1, 2], "b": [7]}
+    encoded = train.one_hot(frame, codes)
+    assert encoded.columns == ["user_key", "a_-1", "a_2", "b_7"]
+    assert sorted(map(tuple, encoded.collect())) == [(1, 0, 1, 0), (2, 1, 0, 1), (3, 0, 1, 0)]
+
+
+def test_name_codes_are_alphabetical_for_any_number_of_names(spark):
+    from cartlens.operators import features as fe
+
+    names = [f"n{i * 7919 % 3001:04}" for i in range(3_001)]
+    dim = spark.createDataFrame([(n,) for n in names] * 2 + [(None,)], "name string")
+    found = {r.name: r.code for r in fe.name_codes(dim, "name", "code").collect()}
+    assert found == {n: i for i, n in enumerate(sorted(names))}
