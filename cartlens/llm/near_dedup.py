@@ -14,7 +14,7 @@ Classes are the connected components of the links, found without all pairs of a
 3. What remains are pairs of different classes in one bucket. Two sets share at most the sum, over hash
    classes of occurrences, of the smaller number that each could share. A set marks a bit per class and level (it
    has one, it has two), so the sum is the number of common bits, compiled, with what is
-   above the levels added whole; all pairs that this bound allows are verified. In the end no candidate pair of different classes is undecided, so the
+   above the levels added whole; all pairs that this bound allows are verified, each once, from the first bucket they share. In the end no candidate pair of different classes is undecided, so the
    classes are those that all pairs would give.
 
 Bucket counts and hubs are grouped with map-side combine, and members are joined with them, which
@@ -205,15 +205,18 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", thr
     left = joined.join(written(several.select("_bucket"), "several"), "_bucket")
     left = written(left, "mixed_members")
     marked = marks(sets.join(left.select("_m").distinct(), "_m", "left_semi"), traits.select("_m", "_own"))
-    left = written(left.join(written(marked, "marks"), "_m"), "mixed")
-    names = ("_m", "_c", "_n", "_u", "_marks", "_above")
+    marked = written(marked.join(members.select("_m", "_bands"), "_m"), "marks")
+    left = written(left.join(marked, "_m"), "mixed")
+    names = ("_m", "_c", "_n", "_u", "_marks", "_above", "_bands")
     a, b = (left.select("_bucket", *[F.col(c).alias(f"{c}{side}") for c in names]) for side in ("a", "b"))
     possible = _possible(*(F.col(c) for c in ("_na", "_ua", "_nb", "_ub")), threshold)
     most = F.least("_abovea", "_aboveb")
     for i in range(CLASSES * LEVELS // 64):
         most = most + F.bit_count(F.col("_marksa")[i].bitwiseAND(F.col("_marksb")[i]))
     enough = most >= threshold * (F.col("_na") + F.col("_nb") - most) - 1e-9
-    across = a.join(b, "_bucket").where((F.col("_ca") < F.col("_cb")) & possible & enough)
+    # a pair leaves from the first of the buckets it shares alone
+    first = F.col("_bucket") == F.array_min(F.array_intersect("_bandsa", "_bandsb"))
+    across = a.join(b, "_bucket").where((F.col("_ca") < F.col("_cb")) & possible & enough & first)
     pairs = _ordered(across.select(F.col("_ma").alias("_a"), F.col("_mb").alias("_b")))
     new = written(pairs.join(tried, ["_a", "_b"], "left_anti"), "pairs")
     if not new.isEmpty():
