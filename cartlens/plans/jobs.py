@@ -132,11 +132,17 @@ def fit_model(
 
 
 def assign_by_split(model: cluster.ClusterModel, rows: DataFrame) -> DataFrame:
-    """Assign clusters per split, as each split is profiled on its own rows."""
-    parts = [
-        cluster.assign(model, rows.where(F.col("split") == name)) for name in ("train", "val", "test")
-    ]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    """Assign clusters per split, as each split is profiled on its own rows.
+
+    Splits are by user, so no user of validation or test is in the train profiles: they are unseen without a look.
+    """
+    names = ("train", "val", "test")
+    parts = [rows.where(F.col("split") == name) for name in names]
+    if model.key == "user_key":
+        held_out = rows.where(F.col("split") != "train").withColumn(model.column, F.lit(cluster.UNSEEN))
+        return cluster.assign(model, parts[0]).unionByName(held_out)
+    one, two, three = (cluster.assign(model, part) for part in parts)
+    return one.unionByName(two).unionByName(three)
 
 
 def snapshot_job(
