@@ -2,6 +2,11 @@
 
 Every stage takes (spark, docs, sf_dir), works on all that its predecessor kept and, but for the last,
 returns the columns of ``documents``. ``run`` writes each result and reads it for the next stage.
+
+Defined results: null and empty texts have no features, so the classifier's bias decides on them, are one text for both
+dedups, and leave in the mix, which takes words; null ids and null sources are ids and sources like others; of
+rows of one text the longest original, then the smallest id stays, of rows that agree in id and text any one; an
+empty table gives an empty result at every stage; columns besides those of ``documents`` pass through.
 """
 
 from __future__ import annotations
