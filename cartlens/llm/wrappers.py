@@ -1,21 +1,21 @@
 """HTML extraction by wrapper inference.
 
 A page is read as a stream of tokens: block-level tags, and text with its inline markup. Streams of one
-host are aligned one after the other into a wrapper, a regular expression without unions: a text
+host and form (pages with text in an article or main element, and pages without) are aligned one after the other into a wrapper, a regular expression without unions: a text
 that differs between pages becomes a slot, a run of like elements a repeated group, and elements
 that only some pages have become optional groups. A page's texts are then read off by their slot.
 
 A slot belongs to the main text unless its place says otherwise: elements for menus, headers, footers,
 sidebars, forms, adverts, notices and comments (by tag, role, or a whole class or id name) are left out,
-but not a generic container that holds the host's main elements or most of its varying text; where pages
+but not a generic container that holds the host's main elements or most of its varying text, nor a list of
+other articles (``LISTED``) inside a main element that is text rather than links; where pages
 have an article or main element only its inside counts; elsewhere the deepest container does
 outside which all text is linked or left out, without the containers in it that hold links only;
-and a text that all pages of a host share beside varying ones is template text, if there are
+and a text that all pages of a host and form share beside varying ones is template text, if there are
 ``TEMPLATE_PAGES`` pages that are no near copies of each other. Pages without text do not count.
 
-Wrappers are inferred over all pages: each task aligns its pages into one wrapper per host, and those are
-merged in rounds of ``FAN_IN`` tasks per group, so no task holds more than ``FAN_IN`` wrappers
-of a host. Extraction is a second narrow pass: wrappers are broadcast if their measured size is under
+Wrappers are inferred over all pages: each task aligns its pages into one wrapper per host and form, and those are
+merged in rounds of ``FAN_IN`` tasks per group; a task that meets more than ``HOSTS`` of them passes several on. Extraction is a second narrow pass: wrappers are broadcast if their measured size is under
 ``BROADCAST_BYTES``, else joined by host, where adaptive execution splits a hot host.
 
 Defined results: null and empty pages, and pages without text, have an empty text; a null url or
@@ -67,9 +67,9 @@ INLINE = set(
 DROPPED_TAGS = set("nav header footer aside form button select dialog menu head".split())
 DROPPED_ROLES = set("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
 DROPPED_WORDS = set(
-    "ad ads advert adverts advertisement advertising adsense banner breadcrumb breadcrumbs byline comment comments "
-    "commentlist consent cookie cookies copyright dialog discussion disqus footer form gdpr header login masthead menu "
-    "message modal nav navbar navigation newsletter notice notices notification overlay pager pagination paywall popup "
+    "ad ads advert adverts advertisement advertising adsense banner breadcrumb breadcrumbs comment comments "
+    "commentlist consent cookie cookies dialog discussion disqus footer form gdpr header login masthead menu "
+    "nav navbar navigation newsletter notice notices notification overlay pager pagination paywall popup "
     "promo promotion reactions recommended recommendations related replies respond responses search share sharing "
     "sidebar signup skip social sponsor sponsored subscribe subscription teaser toolbar topbar widget".split()
 )
@@ -86,6 +86,8 @@ BESIDE = set(
     "ad ads advert adverts advertisement advertising adsense breadcrumb breadcrumbs menu nav navbar navigation promo promotion "
     "recommended recommendations related sidebar social sponsor sponsored teaser widget".split()
 )
+#: Of these, names of lists of other articles; inside a main element only those of linked text are left out.
+LISTED = set("recommended recommendations related teaser".split())
 #: Marks of elements that hold no main text: always; a header; unless they hold most of it; unless they hold it or a main element.
 MARKS = "!^~?"
 MAIN_TAGS = {"article", "main"}
@@ -168,6 +170,11 @@ def _tag(label: str) -> str:
     return label.lstrip(MARKS).split(".", 1)[0]
 
 
+def _is_listed(label: str) -> bool:
+    named = DROPPED_WORDS.intersection(re.split("[.-]", label.lstrip(MARKS)))
+    return bool(named) and named <= LISTED
+
+
 def _is_main(label: str) -> bool:
     parts = label.lstrip(MARKS).split(".")
     return parts[0] in MAIN_TAGS or "main" in parts[1:] and parts[0] == "div"
@@ -260,6 +267,8 @@ def read(page: str) -> tuple[Node, list[str]]:
         stack.append((tag, above, depth, lost))
         opened[tag] += 1
     flush()
+    if not blocks:
+        root.kids = []
     return root, blocks
 
 
@@ -378,14 +387,18 @@ def _distinct(sketches: list[list[int]]) -> list[list[int]]:
 def page_form(page: str, sketched: bool = True) -> tuple[Node, list[str]]:
     """The folded tree of a page, with a sketch of its text if wanted, and its texts."""
     root, blocks = read(page)
-    if not blocks:
-        root.kids = []
-    elif sketched:
+    if sketched:
+        _seen(root, blocks)
+    return fold(root), blocks
+
+
+def _seen(root: Node, blocks: list[str]) -> None:
+    """Give an unfolded page with text its sketch."""
+    if blocks:
         slots = list(_slots(root))
         has_main = any(inside and not out for _, out, inside in slots)
         own = [blocks[i] for s, out, inside in slots if not out and (inside or not has_main) for i in s.blocks]
         root.seen = [_sketch(own or blocks)]
-    return fold(root), blocks
 
 
 def _slots(node: Node, pardoned: set[int] = frozenset(), above: bool = False, inside: bool = False) -> Iterator[tuple[Node, bool, bool]]:
@@ -402,8 +415,14 @@ def _slots(node: Node, pardoned: set[int] = frozenset(), above: bool = False, in
             yield from _slots(kid, pardoned, above if title else own, inside or _is_main(kid.label))
 
 
+def has_article(node: Node, inside: bool = False) -> bool:
+    """The form of a page: whether it has text in an article or main element outside headers, comments and lists beside the main text."""
+    inside = inside or _is_main(node.label)
+    return any(inside if k.label == "#" else k.label[0] not in "!^~" and has_article(k, inside) for k in node.kids)
+
+
 class Wrapper:
-    """The expression of a host's pages, with what it says about slots."""
+    """The expression of a host's pages of one form, with what it says about slots."""
 
     def __init__(self, root: Node):
         self.root = root
@@ -462,10 +481,15 @@ class Wrapper:
                     continue
                 if kid.label[0] in "~?" and (inside or kept_main + kid.pages <= root.pages):
                     main = kid.label[0] == "?" and not inside and (_is_main(kid.label) or holds_main(kid))
-                    if main or 2 * weight(kid, inside) > total[inside]:
+                    told = inside and _is_listed(kid.label) and unlinked(kid)
+                    if main or told or 2 * weight(kid, inside) > total[inside]:
                         found.add(id(kid))
                 walk(kid, inside or _is_main(kid.label))
 
+        def unlinked(node: Node) -> bool:
+            slots = [s for s, _, _ in _slots(node)]
+            return sum(s.chars for s in slots) > 2 * sum(s.linked for s in slots)
+
         def holds_main(node: Node) -> bool:
             return any(_is_main(k.label) or holds_main(k) for k in node.kids if k.label[0] not in "#!^~")
 
@@ -526,7 +550,7 @@ def host_of(url):
 
 
 def infer_wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """One row per host: ``_host`` and ``_wrapper`` as JSON, inferred over all its pages."""
+    """One row per host: ``_host`` and ``_wrappers``, a map from the form (see ``has_article``) to JSON, inferred over all its pages."""
     ship(pages.sparkSession)
 
     def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -534,20 +558,29 @@ def infer_wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html
         for batch in batches:
             for run in byte_slices(batch, "_html", BATCH_BYTES):
                 for host, page in zip(run.column("_host").to_pylist(), strings(run, "_html")):
-                    form, _ = page_form(page, host not in held or len(held[host].seen) < TEMPLATE_PAGES)
+                    form, blocks = read(page)
+                    key = host, has_article(form)
+                    if key not in held or len(held[key].seen) < TEMPLATE_PAGES:
+                        _seen(form, blocks)
+                    form = fold(form)
                     _forget(form)
-                    held[host] = align(held[host], form) if host in held else form
+                    held[key] = align(held[key], form) if key in held else form
                 if len(held) > HOSTS:
                     yield dumped(held, part)
                     held = {}
         if held:
             yield dumped(held, part)
 
-    def dumped(held: dict[str, Node], part: int) -> pa.RecordBatch:
+    def dumped(held: dict[tuple[str, bool], Node], part: int) -> pa.RecordBatch:
         texts = [json.dumps(n.dump(), separators=(",", ":")) for n in held.values()]
         return pa.RecordBatch.from_arrays(
-            [pa.array(list(held), pa.string()), pa.array([part] * len(held), pa.int32()), pa.array(texts, pa.string())],
-            names=["_host", "_part", "_wrapper"],
+            [
+                pa.array([h for h, _ in held], pa.string()),
+                pa.array([f for _, f in held], pa.bool_()),
+                pa.array([part] * len(held), pa.int32()),
+                pa.array(texts, pa.string()),
+            ],
+            names=["_host", "_form", "_part", "_wrapper"],
         )
 
     def merged(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
@@ -555,18 +588,23 @@ def infer_wrappers(pages: DataFrame, url_col: str = "url", html_col: str = "html
         whole = forms[0]
         for form in forms[1:]:
             whole = align(whole, form)
-        return pd.DataFrame({"_host": [key[0]], "_part": [key[1]], "_wrapper": [json.dumps(whole.dump(), separators=(",", ":"))]})
+        text = json.dumps(whole.dump(), separators=(",", ":"))
+        return pd.DataFrame({"_host": [key[0]], "_form": [key[1]], "_part": [key[2]], "_wrapper": [text]})
 
     source = pages.select(host_of(F.col(url_col)).alias("_host"), F.col(html_col).alias("_html"))
-    kind = "_host string, _part int, _wrapper string"
+    kind = "_host string, _form boolean, _part int, _wrapper string"
+    keys = ["_host", "_form", "_part"]
     found = written(source.mapInArrow(own, kind), "wrappers")
     parts = (found.agg(F.max("_part")).first()[0] or 0) + 1
     while parts > 1:
         parts = -(-parts // FAN_IN)
         group = F.floor(F.col("_part") / FAN_IN).cast("int")
-        found = found.withColumn("_part", group).groupBy("_host", "_part").applyInPandas(merged, kind)
+        found = found.withColumn("_part", group).groupBy(*keys).applyInPandas(merged, kind)
     # several rows of a host from one task
-    return written(found.withColumn("_part", F.lit(0)).groupBy("_host", "_part").applyInPandas(merged, kind).drop("_part"), "hosts")
+    found = found.withColumn("_part", F.lit(0)).groupBy(*keys).applyInPandas(merged, kind)
+    # at most two forms of a host
+    forms = F.map_from_entries(F.collect_list(F.struct("_form", "_wrapper")))
+    return written(found.groupBy("_host").agg(forms.alias("_wrappers")), "hosts")
 
 
 def _forget(node: Node) -> None:
@@ -577,7 +615,8 @@ def _forget(node: Node) -> None:
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """One row per page: id, url, main ``text`` and ``n_chars``."""
     wrappers = infer_wrappers(pages, url_col, html_col)
-    small = (wrappers.agg(F.sum(F.octet_length("_wrapper"))).first()[0] or 0) <= BROADCAST_BYTES
+    sizes = F.aggregate(F.map_values("_wrappers"), F.lit(0).cast("long"), lambda total, w: total + F.octet_length(w))
+    small = (wrappers.agg(F.sum(sizes)).first()[0] or 0) <= BROADCAST_BYTES
     sized = pages.select(id_col, url_col, F.col(html_col).alias("_html"), host_of(F.col(url_col)).alias("_host"))
     joined = sized.join(F.broadcast(wrappers) if small else wrappers, "_host", "left")
     schema = fields(joined, [id_col, url_col], [("text", StringType()), ("n_chars", LongType())])
@@ -587,16 +626,17 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
         for batch in batches:
             for run in byte_slices(batch, "_html", BATCH_BYTES):
                 out = []
-                for page, form in zip(strings(run, "_html"), run.column("_wrapper").to_pylist()):
+                for page, forms in zip(strings(run, "_html"), run.column("_wrappers").to_pylist()):
+                    own, blocks = page_form(page, sketched=False)
+                    form = dict(forms)[has_article(own)]
                     if form not in known:
                         if len(known) > HOSTS:
                             known = {}
                         known[form] = Wrapper(Node.load(json.loads(form)))
-                    own, blocks = page_form(page)
                     out.append(" ".join(blocks[i] for i in known[form].blocks(own)))
                 yield pa.RecordBatch.from_arrays(
                     [run.column(id_col), run.column(url_col), pa.array(out, pa.string()), pa.array([len(t) for t in out], pa.int64())],
                     names=schema.names,
                 )
 
-    return joined.select(id_col, url_col, "_html", "_wrapper").mapInArrow(texts, schema)
+    return joined.select(id_col, url_col, "_html", "_wrappers").mapInArrow(texts, schema)

@@ -170,3 +170,36 @@ def test_text_after_a_deep_nest_stays_in_its_article(nest):
     # never closed
     open_ = [f"<{nest}>" * 500 + f"<article><p>{prose(i, 30)}</p><section class=comments><p>{prose(i, 9)}</section></article>" for i in range(5)]
     assert main_texts(open_) == [prose(i, 30) for i in range(5)]
+
+
+def test_pages_of_one_host_with_and_without_articles(spark):
+    """No page goes empty because others of its host have a main element."""
+    made = []
+    for i in range(24):
+        title, body = f"{prose(i, 4)}", prose(i + 100, 40)
+        inner = f"<h1>{title}</h1><p>{body}</p>"
+        around = ("<article>{}</article>", "<div class=content>{}</div>", "<article></article><div class=content>{}</div>")[i % 3]
+        made.append((f"<body><nav><a href=/>Home</a></nav>{around.format(inner)}<footer>x</footer>", f"{title} {body}"))
+    rows = [(i, f"https://mixed.example.org/{i}", h) for i, (h, _) in enumerate(made)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    for parts in (1, 6):
+        found = {r.page_id: r.text for r in wrappers.extract(pages.repartition(parts)).collect()}
+        assert found == {i: t for i, (_, t) in enumerate(made)}
+    few = wrappers.extract(pages.where("page_id < 2")).collect()
+    assert {r.page_id: r.text for r in few} == {i: made[i][1] for i in range(2)}
+
+
+@pytest.mark.parametrize("name", ["byline", "message", "copyright", "modal", "related", "teaser"])
+def test_article_parts_that_are_no_menu_stay(name):
+    texts = [[prose(i, 5), prose(i + 100, 30), prose(i + 200, 12)] for i in range(6)]
+    whole = "<article><h1>{}</h1><p>{}</p><div class={}><p>{}</p></div></article>"
+    assert main_texts([whole.format(*t[:2], name, t[2]) for t in texts]) == [" ".join(t) for t in texts]
+
+
+@pytest.mark.parametrize("name", ["related", "recommended", "teaser"])
+def test_lists_of_other_articles_are_left_out(name):
+    texts = [[prose(i, 5), prose(i + 100, 30), prose(i + 200, 12)] for i in range(6)]
+    inside = "<article><h1>{}</h1><p>{}</p><div class={}><a href=/x>{}</a></div></article>"
+    beside = "<article><h1>{}</h1><p>{}</p></article><div class={}><article>{}</article></div>"
+    for whole in (inside, beside):
+        assert main_texts([whole.format(*t[:2], name, t[2]) for t in texts]) == [" ".join(t[:2]) for t in texts]
