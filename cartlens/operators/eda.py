@@ -490,11 +490,28 @@ def catalog_coverage(products: DataFrame, prior_items: DataFrame, train_items: D
 def pairs_in_baskets(lines: DataFrame, block: int = BASKET_BLOCK) -> DataFrame:
     """All product pairs of every basket, (product_a < product_b, together), over distinct lines.
 
+    A basket of at most ``block`` products is one sorted list, which gives its pairs where it is grouped:
+    no copies of it are joined. Larger ones are joined with themselves in blocks.
+    """
+    large = lines.groupBy("order_id").agg(F.count("*").alias("_n")).where(F.col("_n") > block)
+    lists = (
+        lines.join(large.select("order_id"), "order_id", "left_anti")
+        .groupBy("order_id")
+        .agg(F.sort_array(F.collect_list("product_id")).alias("_products"))
+    )
+    first = lists.select("_products", F.posexplode("_products").alias("_at", "_a"))
+    listed = first.select("_a", F.explode(F.slice("_products", F.col("_at") + 2, F.lit(block))).alias("_b"))
+    pairs = listed.unionByName(_pairs_in_blocks(lines.join(large, "order_id"), block))
+    return pairs.groupBy(F.col("_a").alias("product_a"), F.col("_b").alias("product_b")).agg(F.count("*").alias("together"))
+
+
+def _pairs_in_blocks(lines: DataFrame, block: int) -> DataFrame:
+    """Pairs (_a < _b) of baskets with ``_n`` products.
+
     A basket is dealt into blocks of about ``block`` products; every pair of blocks is a join key of its
     own, so a basket with very many products is joined by as many tasks as it has block pairs.
     """
-    sizes = lines.groupBy("order_id").agg(F.count("*").alias("_n"))
-    dealt = lines.join(sizes, "order_id").withColumn("_blocks", F.ceil(F.col("_n") / block).cast("int"))
+    dealt = lines.withColumn("_blocks", F.ceil(F.col("_n") / block).cast("int"))
     own = F.pmod(F.xxhash64("product_id"), F.col("_blocks")).cast("int")
     other = dealt.withColumn("_own", own).withColumn("_other", F.explode(F.expr("sequence(0, _blocks - 1)")))
     placed = other.select(
@@ -504,12 +521,7 @@ def pairs_in_baskets(lines: DataFrame, block: int = BASKET_BLOCK) -> DataFrame:
     left = placed.where(F.col("_own") == F.col("_i")).select(*keys, F.col("product_id").alias("_a"))
     right = placed.where(F.col("_own") == F.col("_j")).select(*keys, F.col("product_id").alias("_b"))
     apart = (F.col("_i") < F.col("_j")) | (F.col("_a") < F.col("_b"))
-    return (
-        left.join(right, keys)
-        .where(apart)
-        .groupBy(F.least("_a", "_b").alias("product_a"), F.greatest("_a", "_b").alias("product_b"))
-        .agg(F.count("*").alias("together"))
-    )
+    return left.join(right, keys).where(apart).select(F.least("_a", "_b").alias("_a"), F.greatest("_a", "_b").alias("_b"))
 
 
 def co_purchases(
