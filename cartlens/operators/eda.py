@@ -7,12 +7,11 @@ department names), ``orders`` the order table, ``products`` the catalogue.
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from itertools import combinations
 
-from pyspark.ml.feature import VectorAssembler
-from pyspark.mllib.linalg.distributed import RowMatrix
-from pyspark.mllib.util import MLUtils
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cartlens.functions.columns import as_rows, ratio, segment_code, segment_name
@@ -561,21 +560,26 @@ def _pair_correlations(df: DataFrame, named: Sequence[tuple[str, str]]) -> DataF
     Every pair needs sums of x, y, xx, yy, xy and a count over its own complete rows. All of them
     are entries of one Gram matrix over (centred value or 0, its square, presence flag) of each
     column, so one distributed pass serves all pairs and the driver only sees a matrix whose size
-    is the number of columns.
+    is the number of columns. A task multiplies its rows by Arrow batch. Values must be finite.
     """
     columns = list(dict.fromkeys(c for pair in named for c in pair))
-    data = df.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    means = data.agg(*[F.avg(c).alias(c) for c in columns]).first()
-    centred = {c: F.coalesce(F.col(c) - F.lit(means[c] or 0.0), F.lit(0.0)) for c in columns}
-    present = {c: F.col(c).isNotNull().cast("double") for c in columns}
-    wide = data.select(
-        *[centred[c].alias(f"v{i}") for i, c in enumerate(columns)],
-        *[(centred[c] * centred[c]).alias(f"s{i}") for i, c in enumerate(columns)],
-        *[present[c].alias(f"p{i}") for i, c in enumerate(columns)],
-    )
-    vectors = VectorAssembler(inputCols=wide.columns, outputCol="v").transform(wide).select("v")
-    rows = RowMatrix(MLUtils.convertVectorColumnsFromML(vectors, "v"))
-    gram = rows.computeGramianMatrix().toArray()
+    data = df.select(*[F.col(c).cast("double").alias(f"_c{i}") for i, c in enumerate(columns)])
+    averages = data.agg(*[F.avg(c).alias(c) for c in data.columns]).first()
+    means = np.asarray([averages[c] or 0.0 for c in data.columns])
+    if not np.isfinite(means).all():
+        raise ValueError(f"not finite: {[c for c, m in zip(columns, means) if not np.isfinite(m)]}")
+
+    def multiplied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((3 * len(means),) * 2)
+        for batch in batches:
+            known = [c.is_valid().to_numpy(zero_copy_only=False) for c in batch.columns]
+            values = [c.fill_null(m).to_numpy() - m for c, m in zip(batch.columns, means)]
+            wide = np.column_stack([*values, *[v * v for v in values], *known]).astype(np.float64)
+            total += wide.T @ wide
+        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary())], names=["gram"])
+
+    parts = data.mapInArrow(multiplied, "gram binary").rdd.map(lambda r: np.frombuffer(bytes(r.gram)))
+    gram = parts.treeAggregate(np.zeros(9 * len(means) ** 2), np.add, np.add).reshape(3 * len(means), -1)
 
     width = len(columns)
     place = {c: i for i, c in enumerate(columns)}

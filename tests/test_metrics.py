@@ -1,10 +1,11 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from cartlens.operators import metrics, split
+from cartlens.operators import eda, metrics, split
 
 SCHEMA = "user_key long, product_key long, label int, score double, product_total_purchases long"
 
@@ -132,3 +133,24 @@ def test_pairs_of_a_large_basket_come_from_blocks(spark):
     for frequent in (2, 10, 100):
         top = eda.co_purchases(lines, names, frequent=frequent, block=7).collect()
         assert sorted(((r.product_a, r.product_b), r.together) for r in top) == sorted(ranked)
+
+
+def test_correlations_take_complete_rows_of_each_pair(spark):
+    draw = np.random.default_rng(3)
+    table = draw.normal(5, 2, (700, 3))
+    table[:, 1] += table[:, 0]
+    gaps = draw.random((700, 3)) < 0.2
+    rows = [tuple(None if g else float(x) for x, g in zip(r, own)) for r, own in zip(table, gaps)]
+    frame = spark.createDataFrame(rows, "a double, b double, c double").withColumn("d", F.lit(7.0))
+    found = {(r.feature_a, r.feature_b): r.correlation for r in eda.correlations(frame.repartition(3), ["a", "b", "c", "d"]).collect()}
+    for (i, a), (j, b) in (((0, "a"), (1, "b")), ((0, "a"), (2, "c")), ((1, "b"), (2, "c"))):
+        whole = ~gaps[:, i] & ~gaps[:, j]
+        assert found[a, b] == pytest.approx(np.corrcoef(table[whole, i], table[whole, j])[0, 1])
+    assert all(found[c, "d"] is None for c in "abc")
+    with pytest.raises(ValueError, match="'a'"):
+        eda.correlations(frame.withColumn("a", F.lit(float("nan"))), ["a", "b"])
+
+
+def test_correlations_of_no_rows_are_null(spark):
+    empty = spark.createDataFrame([], "a double, b double")
+    assert [tuple(r) for r in eda.correlations(empty, ["a", "b"]).collect()] == [("a", "b", None)]
