@@ -26,7 +26,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from cartlens.llm.common import Powers, byte_slices, fresh, ship, utf8
 
-BATCH_BYTES = 1 << 20
+#: Text scored at a time; arrays of features and powers take over 100 bytes for each of its bytes, in every worker.
+BATCH_BYTES = 1 << 18
 #: Labelled rows used for training, at most.
 SAMPLE = 8_000
 BUCKETS = 1 << 17

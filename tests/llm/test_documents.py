@@ -2,12 +2,15 @@
 
 import hashlib
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from cartlens.llm import exact_dedup, licenses, mixing, piecewise_hash, quality
+from cartlens.llm.common import byte_slices, utf8
 from tests.llm.cases import awkward, empty, prose, rows_of
 
 
@@ -24,6 +27,20 @@ def test_classifier_learns_and_holds_out(spark):
     assert quality.classify(docs, labels).collect() == found
 
 
+def test_scoring_memory_is_that_of_a_batch():
+    texts = [prose(i, 1_500).encode() for i in range(200)]
+    assert sum(map(len, texts)) > 4 * quality.BATCH_BYTES
+    model = quality.fit(texts[:6], [0, 1] * 3, epochs=1)
+    alone = [float(model.scores([t])[0]) for t in texts[:20]]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], ["_text"])
+    tracemalloc.start()
+    found = np.concatenate([model.scores(utf8(run, "_text")) for run in byte_slices(batch, "_text", quality.BATCH_BYTES)])
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(found) == 200 and found[:20].tolist() == pytest.approx(alone, abs=1e-12)
+    assert peak < 60_000_000
+
+
 def test_held_out_labels_are_not_read(spark):
     docs = spark.createDataFrame([(i, prose(i, 40)) for i in range(100)], "doc_id long, text string")
     flags = {r[0]: r[1] for r in docs.select("doc_id", quality.fold(docs["doc_id"])).collect()}
