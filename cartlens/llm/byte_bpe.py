@@ -29,7 +29,7 @@ from cartlens.llm.common import byte_slices, fields, fresh, ship, strings
 
 BATCH_BYTES = 1 << 20
 #: Entries of the per-worker memory of encoded matches; beyond it the memory starts afresh.
-REMEMBERED = 400_000
+REMEMBERED = 100_000
 #: Matches up to this many bytes go through the row-wise tree and are remembered.
 SHORT = 64
 #: Matches of a text that are held at a time.
