@@ -3,7 +3,8 @@
 The pipeline's reports all read a loaded star schema. ``Workspace`` runs the load on first use and
 writes each table to the shared folder named by ``spark.checkpoint.dir``; later readers scan
 parquet with partition pruning and column pruning instead of re-deriving the tables, and a lost
-executor costs no recomputation of the load.
+executor costs no recomputation of the load. Writes have shuffle partitions in proportion to the order lines,
+so the memory of a task is bounded whatever the input.
 """
 
 from __future__ import annotations
@@ -12,9 +13,11 @@ import hashlib
 import tempfile
 import threading
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cartlens.functions.spreading import spread
 from cartlens.operators import etl, features
 from cartlens.sources.adapter import BasketSources, basket_sources
 
@@ -63,13 +66,19 @@ class Workspace:
                 _OPEN[key] = cls(spark, sf_dir)
             return _OPEN[key]
 
+    @cached_property
+    def lines(self) -> int:
+        """Order lines of the input, read off the files' footers."""
+        return self.spark.read.parquet(f"{self.sf_dir}/lineitem.parquet").count()
+
     def written(self, name: str, build: Callable[[], DataFrame], partition: str | None = None) -> DataFrame:
         """Read a table, writing it first when this application has not done so yet."""
         with self._lock:  # concurrent callers must not write one table twice
             if name not in self._tables:
                 path = f"{self.path}/{name}"
                 writer = build().write.mode("overwrite")
-                (writer.partitionBy(partition) if partition else writer).parquet(path)
+                with spread(self.spark, self.lines):
+                    (writer.partitionBy(partition) if partition else writer).parquet(path)
                 self._tables[name] = self.spark.read.parquet(path)
             return self._tables[name]
 
