@@ -301,7 +301,9 @@ INTEGRITY = {
         F.count("*").alias("users_in_both")
     ),
     "star_expectations": _expectations,
-    "duplicate_pairs": lambda ws: integrity.duplicate_pairs(raw_lines(ws.spark, ws.sf_dir, ws.sources().orders)),
+    "duplicate_pairs": lambda ws: ws.stage(
+        "duplicate_pairs", integrity.duplicate_pairs(raw_lines(ws.spark, ws.sf_dir, ws.sources().orders))
+    ),
     "order_stats": lambda ws: integrity.order_stats(ws.sources().orders),
     "catalog_listing": lambda ws: integrity.catalog_listing(ws.dim_product),
     "risk_temporal_leakage": lambda ws: integrity.temporal_leakage(ws.sources().orders),
