@@ -542,10 +542,10 @@ def co_purchases(
     ranking = [F.desc("together"), "product_a", "product_b"]
     # at most ``frequent`` rows
     head = F.broadcast(support.orderBy(F.desc("_baskets"), "product_id").limit(frequent).select("product_id"))
-    known = pairs_in_baskets(lines.join(head, "product_id", "left_semi"), block).orderBy(*ranking).limit(limit)
+    known = stage("basket_head", pairs_in_baskets(lines.join(head, "product_id", "left_semi"), block).orderBy(*ranking).limit(limit))
     bound = known.agg(F.when(F.count("*") == limit, F.min("together")).otherwise(F.lit(1))).scalar()
     able = support.where(F.col("_baskets") >= bound).select("product_id")
-    top = pairs_in_baskets(lines.join(able, "product_id", "left_semi"), block).orderBy(*ranking).limit(limit)
+    top = stage("basket_pairs", pairs_in_baskets(lines.join(able, "product_id", "left_semi"), block).orderBy(*ranking).limit(limit))
     names = products.select("product_id", "product_name")
     for side in ("a", "b"):
         named = names.withColumnsRenamed({"product_id": f"product_{side}", "product_name": f"name_{side}"})
