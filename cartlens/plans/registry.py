@@ -367,17 +367,22 @@ def _requests(ws: Workspace) -> DataFrame:
 
 
 def _routed(ws: Workspace) -> DataFrame:
-    return recommend.routes(_requests(ws), _rec_history(ws), _known_users(ws))
+    return ws.written("routed", lambda: recommend.routes(_requests(ws), _rec_history(ws), _known_users(ws)))
 
 
 def _scoring(ws: Workspace) -> DataFrame:
-    return recommend.scoring_matrix(_routed(ws), _rec_history(ws), ws.dim_product, stage=ws.stage)
+    return ws.written(
+        "scoring", lambda: recommend.scoring_matrix(_routed(ws), _rec_history(ws), ws.dim_product, stage=ws.stage)
+    )
+
+
+def _cold_personal(ws: Workspace) -> DataFrame:
+    return recommend.with_names(recommend.personal_top(_routed(ws), _rec_history(ws)), ws.dim_product)
 
 
 def _rec_batch(ws: Workspace) -> DataFrame:
-    scoring = ws.written("scoring", lambda: _scoring(ws))
-    flat = recommend.batch(
-        _routed(ws), _rec_history(ws), ws.dim_product, scoring, score="up_reorder_rate"
+    flat = ws.written(
+        "rec_batch", lambda: recommend.batch(_routed(ws), _rec_history(ws), ws.dim_product, _scoring(ws), score="up_reorder_rate")
     )
     return flat.na.fill({"rank": 0, "product_key": -1, "probability": 0.0, "product_name": "", "error": ""})
 
@@ -421,9 +426,7 @@ MODELLING = {
 RECOMMENDATION = {
     "rec_order_counts": lambda ws: recommend.order_counts(_requests(ws), _rec_history(ws)),
     "rec_routing": _routed,
-    "rec_cold_personal": lambda ws: recommend.with_names(
-        recommend.personal_top(_routed(ws), _rec_history(ws)), ws.dim_product
-    ),
+    "rec_cold_personal": lambda ws: ws.written("cold_personal", lambda: _cold_personal(ws)),
     "rec_global_top": lambda ws: recommend.with_names(recommend.global_top(_rec_history(ws)), ws.dim_product),
     "rec_product_features": lambda ws: recommend.catalogue_features(
         fe.product_totals(fe.pair_base(_rec_history(ws))), ws.dim_product
@@ -672,8 +675,7 @@ def _comparison(ws: Workspace) -> DataFrame:
 
 
 def _model_batch(ws: Workspace) -> DataFrame:
-    scoring = ws.written("scoring", lambda: _scoring(ws))
-    return recommend.scored_top(jobs.score_requests(scoring, _trained(ws)))
+    return recommend.scored_top(jobs.score_requests(_scoring(ws), _trained(ws)))
 
 
 def _published_batch(ws: Workspace) -> DataFrame:
