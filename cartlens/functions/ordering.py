@@ -127,7 +127,13 @@ def exact_percentiles(
     days or cart positions, and for group sizes: ``d`` different sizes need at least
     ``d * (d + 1) / 2`` rows, so a trillion rows give under 1.5 million of them.
     """
-    counted = value_counts(df, keys, value)
+    return counted_percentiles(value_counts(df, keys, value), value, percents, keys, small_domain)
+
+
+def counted_percentiles(
+    counted: DataFrame, value: str, percents: Sequence[int], keys: Sequence[str] = (), small_domain: bool = False
+) -> DataFrame:
+    """:func:`exact_percentiles` over non-null values with their counts ``n``."""
     if small_domain:
         shares = F.array(*[F.lit(p / 100) for p in percents])
         found = counted.groupBy(*keys).agg(F.percentile(value, shares, F.col("n")).alias("_found"))

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from cartlens.functions.columns import as_rows, ratio, segment_code, segment_name
 from cartlens.functions.ordering import (
+    counted_percentiles,
     exact_percentiles,
     percentile_of,
     running_totals,
@@ -47,21 +48,35 @@ def describe(
     columns: Sequence[str],
     percents: Sequence[int] = (25, 50, 75),
     small_domain: bool = False,
+    stage: Stage = unstaged,
 ) -> DataFrame:
     """Count, mean, sample deviation, range and exact percentiles of each column.
 
-    Values are counted first, so the percentile ranking handles distinct values only;
-    ``small_domain`` as in :func:`exact_percentiles`.
+    Values are counted first, in the one pass over all rows; what follows reads distinct values with their counts, which
+    ``stage`` may write. ``small_domain`` as in :func:`exact_percentiles`.
     """
-    long = _long(df, columns)
-    moments = long.groupBy("feature").agg(
-        F.count("value").alias("count"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
+    values = _long(df, columns).groupBy("feature", "value").agg(F.count("*").alias("n"))
+    counted = stage("value_counts", values)
+    n, value = F.when(F.col("value").isNotNull(), F.col("n")), F.col("value")
+    totals = counted.groupBy("feature").agg(
+        F.coalesce(F.sum(n), F.lit(0)).alias("count"),
+        F.try_divide(F.sum(value * n), F.sum(n)).alias("mean"),
         F.min("value").alias("min"),
         F.max("value").alias("max"),
     )
-    return moments.join(exact_percentiles(long, "value", percents, ["feature"], small_domain), "feature", "left")
+    # a row per column; deviations from the mean lose no digits to large values
+    off = counted.join(F.broadcast(totals.select("feature", "mean")), "feature").groupBy("feature")
+    squares = off.agg(F.sum(n * (value - F.col("mean")) * (value - F.col("mean"))).alias("_squares"))
+    moments = totals.join(squares, "feature").select(
+        "feature",
+        "count",
+        "mean",
+        F.when(F.col("count") > 1, F.sqrt(F.try_divide(F.col("_squares"), F.col("count") - 1))).alias("std"),
+        "min",
+        "max",
+    )
+    known = counted.where(F.col("value").isNotNull())
+    return moments.join(counted_percentiles(known, "value", percents, ["feature"], small_domain), "feature", "left")
 
 
 def histogram(df: DataFrame, column: str, bins: int, cap: float | Column | None = None) -> DataFrame:

@@ -580,7 +580,9 @@ EDA = {
     "label_rate_by_segment": lambda ws: eda.label_rate_by_segment(_labelled(ws), _star_user_orders(ws)),
     "times_purchased_by_label": lambda ws: eda.times_by_label(_labelled(ws)),
     "popularity_stats": lambda ws: eda.popularity_stats(_prior_full(ws, False)),
-    "feature_describe": lambda ws: eda.describe(ws.matrix, FEATURE_COLUMNS, (25, 50, 75, 99)),
+    "feature_describe": lambda ws: eda.describe(
+        ws.matrix, FEATURE_COLUMNS, (25, 50, 75, 99), stage=ws.stage_under("feature_describe")
+    ),
     "cart_position_stats": lambda ws: eda.describe(
         _prior(ws), ["add_to_cart_order"], (50,), small_domain=True
     ),

@@ -154,3 +154,23 @@ def test_correlations_take_complete_rows_of_each_pair(spark):
 def test_correlations_of_no_rows_are_null(spark):
     empty = spark.createDataFrame([], "a double, b double")
     assert [tuple(r) for r in eda.correlations(empty, ["a", "b"]).collect()] == [("a", "b", None)]
+
+
+def test_describe_reads_the_rows_once_and_keeps_columns_without_values(spark):
+    rows = [(1.0, 1e9 + 1, None), (1.0, 1e9 + 2, None), (4.0, 1e9 + 4, None), (None, None, None)]
+    frame = spark.createDataFrame(rows, "a double, b double, c double")
+    kept = []
+
+    def stage(name, counts):
+        kept.append(name)
+        return counts.localCheckpoint()
+
+    found = {r["feature"]: r for r in eda.describe(frame, ["a", "b", "c"], (50,), stage=stage).collect()}
+    assert kept == ["value_counts"]
+    assert (found["a"]["count"], found["a"]["mean"], found["a"]["min"], found["a"]["max"], found["a"]["p50"]) == (3, 2.0, 1.0, 4.0, 1.0)
+    assert found["a"]["std"] == pytest.approx(3**0.5)
+    assert found["b"]["std"] == pytest.approx((7 / 3) ** 0.5, rel=1e-9)
+    assert (found["c"]["count"], found["c"]["mean"], found["c"]["std"], found["c"]["p50"]) == (0, None, None, None)
+    single = eda.describe(frame.where("a = 4"), ["a"], (50,)).first()
+    assert (single["count"], single["mean"], single["std"]) == (1, 4.0, None)
+    assert eda.describe(frame.where("false"), ["a"], (50,)).count() == 0
