@@ -4,13 +4,21 @@ A text is cut at ASCII white space. The supported tokenizers drop white space an
 normalise or match special strings across it, so the ids of a text are the ids of its pieces in a
 row (``safe`` checks the settings this rests on). Equal pieces are encoded once per worker, which
 is most of the gain on prose, and a very long text never goes to the library in one call.
+
+Most calls of the library are for rare words, and cost more than the words in them. Where the tokenizer's words are those of
+``WORDS``, the last punctuation of a piece is encoded apart from what it follows, and words of plain letters go to the library
+many in a text; the end-of-word mark of their last token tells them apart again.
 """
 
 from __future__ import annotations
 
 import json
 import os
+import re
 from array import array
+from collections.abc import Iterator
+
+import numpy as np
 
 #: Entries of the per-worker memory of encoded pieces; beyond it the memory starts afresh.
 REMEMBERED = 1_500_000
@@ -18,6 +26,15 @@ REMEMBERED = 1_500_000
 LONG_PIECE = 64
 #: Pieces given to the library in one call.
 CALL = 20_000
+#: Words of plain letters in one text of a call.
+JOINED = 100
+#: Words between which nothing merges: letters never stand in one word with the punctuation after them.
+WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+#: ASCII punctuation without the apostrophe, which may begin a word of letters.
+CLOSING = rb"""!"#$%&()*+,-./:;<=>?@[\]^_`{|}~"""
+#: Letters of ASCII and Latin-1.
+_LETTER = rb"(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])"
+_PLAIN = re.compile(_LETTER + rb"+")
 
 _ENCODERS: dict[str, "PieceEncoder"] = {}
 
@@ -54,11 +71,61 @@ class PieceEncoder:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.known: dict[bytes, bytes] = {}
+        self.closes = self._word_ends(settings) if self.splits else None
+
+    def _word_ends(self, settings: dict) -> np.ndarray | None:
+        """Whether each id ends a word; None for a tokenizer with other words than ``WORDS`` or without a mark at their end."""
+        steps = settings["pre_tokenizer"].get("pretokenizers", [settings["pre_tokenizer"]])
+        suffix = settings["model"].get("end_of_word_suffix")
+        rest = all(s["type"] == "ByteLevel" and not s.get("use_regex", True) for s in steps[1:])
+        if not suffix or not rest or steps[0]["pattern"] != {"Regex": WORDS}:
+            return None
+        ends = np.zeros(self.tokenizer.get_vocab_size() + 1, bool)
+        for token, number in settings["model"]["vocab"].items():
+            ends[number] = token.endswith(suffix)
+        return ends
 
     def _call(self, pieces: list[bytes]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast([p.decode("utf-8") for p in pieces], add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in found]
 
+    def _bare(self, piece: bytes) -> bytes:
+        """A piece without its last punctuation; the whole piece where that may be part of a word or a special string."""
+        stem = piece.rstrip(CLOSING)
+        if not (stem[-1:].isalnum() or _PLAIN.fullmatch(stem[-2:])):
+            return piece
+        small = piece.lower()
+        for special in self.special:
+            if special in small:
+                return piece
+        return stem
+
+    def _plain(self, words: list[bytes]) -> list[bytes]:
+        """Packed ids of words of plain letters, ``JOINED`` words in a text."""
+        runs = [words[i : i + JOINED] for i in range(0, len(words), JOINED)]
+        out = []
+        for run, ids in zip(runs, self._call([b" ".join(r) for r in runs])):
+            ends = 4 * (np.flatnonzero(self.closes[np.frombuffer(ids, "<u4")]) + 1)
+            if len(ends) != len(run) or ends[-1] != len(ids):
+                out += self._call(run)
+                continue
+            ends = ends.tolist()
+            out += [ids[a:b] for a, b in zip([0, *ends], ends)]
+        return out
+
+    def _encoded(self, pieces: list[bytes]) -> Iterator[tuple[bytes, bytes]]:
+        """Each piece with its ids."""
+        if self.closes is None:
+            return zip(pieces, self._call(pieces))
+        bare = [self._bare(p) if p[-1] in CLOSING else p for p in pieces]
+        tails = [p[len(b) :] for p, b in zip(pieces, bare)]
+        new = {*bare, *tails}.difference(self.known)
+        plain = list(filter(_PLAIN.fullmatch, new))
+        other = list(new.difference(plain))
+        found = dict(zip(plain + other, self._plain(plain) + self._call(other)))
+        stems, ends = ([found[p] if p in found else self.known[p] for p in parts] for parts in (bare, tails))
+        return zip(pieces, map(bytes.__add__, stems, ends))
+
     def _cut(self, text: bytes) -> list[bytes]:
         """Pieces of a text; a tokenizer that lower-cases gets ASCII letters lower-cased, so more pieces are equal.
 
@@ -82,7 +149,7 @@ class PieceEncoder:
         new = list(set().union(*cut).difference(known))
         for i in range(0, len(new), CALL):
             part = new[i : i + CALL]
-            for piece, ids in zip(part, self._call(part)):
+            for piece, ids in self._encoded(part):
                 (known if len(piece) <= LONG_PIECE else extra)[piece] = ids
         if not extra:
             return [b"".join(map(known.__getitem__, c)) for c in cut]
