@@ -120,7 +120,8 @@ def links(distinct: DataFrame, matches: int = MATCHES) -> DataFrame:
     paired = table.join(crowded, "_key", "left_anti") if some else table
     near = F.bit_count(F.col("_f").bitwiseXOR(F.col("_g"))) <= DISTANCE
     once = ~F.col("_own") | (F.col("_f") < F.col("_g"))
-    matched = probes.join(paired.select("_key", F.col("_f").alias("_g")), "_key").where(once & near)
+    # merged by hint: the optimiser takes the 33 probes of a fingerprint for one row and would broadcast them from the driver
+    matched = probes.join(paired.select("_key", F.col("_f").alias("_g")).hint("merge"), "_key").where(once & near)
     found = matched.select(F.col("_f").alias("_a"), F.col("_g").alias("_b"))
     return found.unionByName(_met(table, probes, crowded)) if some else found
 

@@ -96,3 +96,10 @@ def test_awkward_rows(spark):
     assert len(blank) == 4 and {r[2] for r in blank} == {1}  # null and empty texts, one with a null id
     assert len([r for r in rows if r[0] == 6]) == 3
     assert rows_of(simhash.link_fingerprints(empty(spark))) == []
+
+
+def test_probes_are_not_broadcast(spark, capsys):
+    """Probes are 33 rows a fingerprint, which the driver must not gather however small their estimate is."""
+    distinct = spark.createDataFrame([(i * 7919,) for i in range(200)], "_f long")
+    simhash.links(distinct).explain()
+    assert "BroadcastHashJoin" not in capsys.readouterr().out
