@@ -98,8 +98,8 @@ def test_awkward_rows(spark):
     assert rows_of(simhash.link_fingerprints(empty(spark))) == []
 
 
-def test_probes_are_not_broadcast(spark, capsys):
+def test_probes_are_not_broadcast(spark, capsys, tmp_path):
     """Probes are 33 rows a fingerprint, which the driver must not gather however small their estimate is."""
-    distinct = spark.createDataFrame([(i * 7919,) for i in range(200)], "_f long")
-    simhash.links(distinct).explain()
+    spark.createDataFrame([(i * 7919,) for i in range(200)], "_f long").write.parquet(f"{tmp_path}/distinct")
+    simhash.links(spark.read.parquet(f"{tmp_path}/distinct")).explain()
     assert "BroadcastHashJoin" not in capsys.readouterr().out
